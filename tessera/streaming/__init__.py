@@ -1,0 +1,9 @@
+"""Streaming: nothing to build.
+
+The reference is a batch application: every input is read with a batch
+reader and it has no watermark, window, session, state or late-data handling.
+This package stays empty on purpose rather than adding operators the
+reference does not have. The batch operators in ``tessera.operators`` are
+plain DataFrame transformations, so a user can apply them to each micro-batch
+through ``writeStream.foreachBatch`` without new code.
+"""
