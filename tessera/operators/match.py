@@ -22,7 +22,8 @@ def _keys(on: Keys) -> list[str]:
 
 def effective_exclusions(exclusions: DataFrame, accepted: DataFrame, on: Keys) -> DataFrame:
     """Exclusion rows minus the manually accepted exceptions."""
-    return exclusions.join(accepted.select(*_keys(on)), _keys(on), "left_anti")
+    return (exclusions.join(accepted.select(*_keys(on)), _keys(on), "left_anti")
+            .select(*exclusions.columns))
 
 
 def exclude(df: DataFrame, exclusions: DataFrame, on: Keys) -> DataFrame:
@@ -32,7 +33,7 @@ def exclude(df: DataFrame, exclusions: DataFrame, on: Keys) -> DataFrame:
     (``NOT IN`` would drop everything once the list holds a null). Every
     duplicate of an excluded key is removed.
     """
-    return df.join(exclusions.select(*_keys(on)), _keys(on), "left_anti")
+    return df.join(exclusions.select(*_keys(on)), _keys(on), "left_anti").select(*df.columns)
 
 
 def attach_label(features: DataFrame, labels: DataFrame, on: str,
@@ -61,14 +62,17 @@ def reduce_facts(df: DataFrame, user: str, item: str, value: str,
              .agg(F.count(F.col(value)).alias("user_items"), F.sum(value).alias("user_total"))
              .where(F.col("user_items") > min_user_items))
     if keep_stats:
-        return df.join(items, item, "inner").join(users, user, "inner")
+        out = df.join(items, item, "inner").join(users, user, "inner")
+        extra = ["item_users", "item_total", "user_items", "user_total"]
+        return out.select(*df.columns, *extra)
     return (df.join(items.select(item), item, "left_semi")
               .join(users.select(user), user, "left_semi"))
 
 
 def uncovered(test: DataFrame, train: DataFrame, on: Keys) -> DataFrame:
     """Rows of ``test`` whose key has no row in ``train``."""
-    return test.join(train.select(*_keys(on)).distinct(), _keys(on), "left_anti")
+    return (test.join(train.select(*_keys(on)).distinct(), _keys(on), "left_anti")
+            .select(*test.columns))
 
 
 def union_rows(a: DataFrame, b: DataFrame) -> DataFrame:

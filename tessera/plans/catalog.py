@@ -127,18 +127,21 @@ def q_reduce_facts_stats(spark, d):
 
 @query("uncovered_keys", with_ctes("SELECT user_id, song_id, play_count FROM unc", "unc"))
 def q_uncovered_keys(spark, d):
-    s = fr.splitted(spark, d)
+    s = fr.cold_split(spark, d)
     test = s.where(F.col("split") == "test").drop("split")
     train = s.where(F.col("split") == "train")
     return match.uncovered(test, train, "user_id")
 
 
 @query("exclude_pairs", with_ctes(
-    "SELECT * FROM splitted s WHERE NOT EXISTS (SELECT 1 FROM splitted t WHERE t.split = 'train' "
-    "AND t.user_id = s.user_id AND t.song_id = s.song_id)", "splitted"))
+    "SELECT * FROM cold c WHERE split = 'test' AND NOT EXISTS (SELECT 1 FROM repaired r "
+    "WHERE r.split = 'train' AND r.user_id = c.user_id AND r.song_id = c.song_id)", "cold", "repaired"))
 def q_exclude_pairs(spark, d):
-    s = fr.splitted(spark, d)
-    return match.exclude(s, s.where(F.col("split") == "train"), ["user_id", "song_id"])
+    """The reference's second step of the repair: test rows minus every
+    (user, item) pair that is now in training."""
+    test = fr.cold_split(spark, d).where(F.col("split") == "test")
+    moved = fr.repaired(spark, d).where(F.col("split") == "train")
+    return match.exclude(test, moved, ["user_id", "song_id"])
 
 
 @query("union_rows", with_ctes(

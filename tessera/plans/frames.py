@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.functions.columns import hash_key
+from tessera.functions.columns import hash_key, uniform
 from tessera.operators import match, sample, shape, summary
 from tessera.operators.features import string_index
 from tessera.plans import params as P
@@ -59,8 +59,15 @@ def splitted(spark: SparkSession, d: str) -> DataFrame:
                                [P.TRAIN_FRAC, 1 - P.TRAIN_FRAC], P.SPLIT_SEED)
 
 
+def cold_split(spark: SparkSession, d: str) -> DataFrame:
+    """Row-level split, then every row of a ``COLD_USER_FRAC`` share of users
+    (by a per-user draw) moved to test: cold users the repair must cover."""
+    cold = uniform(["user_id"], P.COLD_SEED) < F.lit(P.COLD_USER_FRAC)
+    return splitted(spark, d).withColumn("split", F.when(cold, "test").otherwise(F.col("split")))
+
+
 def repaired(spark: SparkSession, d: str) -> DataFrame:
-    return sample.repair_coverage(splitted(spark, d), "user_id", "song_id", "split",
+    return sample.repair_coverage(cold_split(spark, d), "user_id", "song_id", "split",
                                   P.REPAIR_FRAC, P.REPAIR_SEED)
 
 

@@ -27,8 +27,11 @@ TOP_ROWS_N = 20
 TOP_PER_USER = 3
 ITEM_LIST_K = 10
 LOOKUP_USER = "U000000007"
+# Share of users held out entirely (cold users), so coverage repair has work.
+COLD_USER_FRAC = 0.1
 
 SPLIT_SEED = 42
+COLD_SEED = 29
 STRAT_SEED = 11
 REPAIR_SEED = 13
 SAMPLE_SEED = 17

@@ -8,7 +8,7 @@ SQL over the shared tables; it is the oracle, not part of the Spark path.
 from __future__ import annotations
 
 from tessera.plans.params import (
-    DOWNSAMPLE_RATE, GENRE_POSITIVE, SCORE_SEED, SPLIT_SEED, STRAT_FRAC, STRAT_SEED,
+    COLD_SEED, COLD_USER_FRAC, DOWNSAMPLE_RATE, GENRE_POSITIVE, SCORE_SEED, SPLIT_SEED, STRAT_FRAC, STRAT_SEED,
     TRAIN_FRAC, REPAIR_FRAC, REPAIR_SEED, UPSAMPLE_N, UPSAMPLE_P, SAMPLE_SEED,
 )
 from tessera.sources.fixtures import (
@@ -61,14 +61,17 @@ CTES: list[tuple[str, tuple[str, ...], str]] = [
     ("splitted", ("reduced",),
      f"SELECT user_id, song_id, play_count, CASE WHEN {u_sql(['user_id', 'song_id'], SPLIT_SEED)} "
      f"< {_d(TRAIN_FRAC)} THEN 'train' ELSE 'test' END AS split FROM reduced"),
-    ("unc", ("splitted",),
-     "SELECT * FROM splitted s WHERE split = 'test' AND NOT EXISTS "
-     "(SELECT 1 FROM splitted t WHERE t.split = 'train' AND t.user_id = s.user_id)"),
-    ("repaired", ("splitted", "unc"),
+    ("cold", ("splitted",),
+     f"SELECT user_id, song_id, play_count, CASE WHEN {u_sql(['user_id'], COLD_SEED)} < {_d(COLD_USER_FRAC)} "
+     "THEN 'test' ELSE split END AS split FROM splitted"),
+    ("unc", ("cold",),
+     "SELECT * FROM cold s WHERE split = 'test' AND NOT EXISTS "
+     "(SELECT 1 FROM cold t WHERE t.split = 'train' AND t.user_id = s.user_id)"),
+    ("repaired", ("cold", "unc"),
      f"SELECT user_id, song_id, play_count, CASE WHEN row_number() OVER (PARTITION BY user_id "
      f"ORDER BY {h_sql(['user_id', 'song_id'], REPAIR_SEED)}) < count(*) OVER (PARTITION BY user_id) "
      f"* {_d(REPAIR_FRAC)} THEN 'train' ELSE 'test' END AS split FROM unc "
-     "UNION ALL SELECT s.* FROM splitted s WHERE NOT EXISTS "
+     "UNION ALL SELECT s.* FROM cold s WHERE NOT EXISTS "
      "(SELECT 1 FROM unc u WHERE u.user_id = s.user_id AND u.song_id = s.song_id)"),
     ("feat_raw", (), TRACK_FEATURES_SQL),
     ("feat", ("feat_raw",),
