@@ -140,7 +140,7 @@ def q_exclude_pairs(spark, d):
     """The reference's second step of the repair: test rows minus every
     (user, item) pair that is now in training."""
     test = fr.cold_split(spark, d).where(F.col("split") == "test")
-    moved = fr.repaired(spark, d).where(F.col("split") == "train")
+    moved = fr.repaired(spark, d).where(F.col("split") == "train")  # reads the pinned split
     return match.exclude(test, moved, ["user_id", "song_id"])
 
 
@@ -492,7 +492,7 @@ def _popular_lists(spark, d) -> tuple[DataFrame, DataFrame]:
     """Popularity baseline: every training user gets the ``RECOMMEND_K`` songs
     with the most training plays (ties by id). The list is a scalar subquery
     of ``k`` items, so it is attached to users without a join."""
-    rep = fr.repaired(spark, d)
+    rep = fr.repaired_pinned(spark, d)
     train = rep.where(F.col("split") == "train")
     truth = rep.where(F.col("split") == "test").select("user_id", "song_id")
     totals = train.groupBy("song_id").agg(F.sum("play_count").alias("t"))

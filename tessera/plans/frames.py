@@ -2,8 +2,15 @@
 
 These follow the reference's three flows on the fixture analogues:
 clean -> profile -> reduce -> split -> repair (recommendation), and
-features -> labels -> split -> resample (classification). Each returns a lazy
-DataFrame; nothing is cached, so each query is one plan Spark can optimise.
+features -> labels -> split -> resample (classification).
+
+Frames that later steps read several times are pinned with a reliable
+checkpoint (``pin``): the clean facts feed the reduction five times (facts,
+two profiles, two median subqueries), the split feeds four branches of the
+repair, and the repaired split feeds train, test and list branches.
+Recomputing a join-and-aggregate chain per consumer costs far more at scale
+than writing its result once to the shared checkpoint folder. Nothing is
+pinned across queries.
 """
 
 from __future__ import annotations
@@ -15,9 +22,17 @@ from tessera.functions.columns import hash_key, uniform
 from tessera.operators import match, sample, shape, summary
 from tessera.operators.features import string_index
 from tessera.plans import params as P
+from tessera.session import checkpoint_dir
 from tessera.sources import fixtures as fx
 
 
+def pin(df: DataFrame) -> DataFrame:
+    """Materialise ``df`` once under ``spark.checkpoint.dir`` and cut its
+    lineage (survives executor loss, unlike a local checkpoint or cache)."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def mismatches(spark: SparkSession, d: str) -> DataFrame:
     return shape.extract_fixed(fx.mismatch_lines(spark, d), "value",
                                {"song_id": (9, 18), "track_id": (27, 19)})
@@ -46,11 +61,13 @@ def item_popularity(spark: SparkSession, d: str) -> DataFrame:
                               ("n_users", "total_plays"))
 
 
-def reduced(spark: SparkSession, d: str) -> DataFrame:
+def reduced(spark: SparkSession, d: str, facts: DataFrame | None = None) -> DataFrame:
     """Facts of popular items and active users, thresholds = exact medians."""
-    facts = clean_triplets(spark, d)
-    min_items = summary.quantile_value(user_activity(spark, d), "n_songs", 0.5)
-    min_total = summary.quantile_value(item_popularity(spark, d), "total_plays", 0.5)
+    facts = facts if facts is not None else pin(clean_triplets(spark, d))
+    users = summary.profile_by(facts, "user_id", "play_count", "play_count", ("n_songs", "total_plays"))
+    items = summary.profile_by(facts, "song_id", "user_id", "play_count", ("n_users", "total_plays"))
+    min_items = summary.quantile_value(users, "n_songs", 0.5)
+    min_total = summary.quantile_value(items, "total_plays", 0.5)
     return match.reduce_facts(facts, "user_id", "song_id", "play_count", min_items, min_total)
 
 
@@ -67,10 +84,15 @@ def cold_split(spark: SparkSession, d: str) -> DataFrame:
 
 
 def repaired(spark: SparkSession, d: str) -> DataFrame:
-    return sample.repair_coverage(cold_split(spark, d), "user_id", "song_id", "split",
+    return sample.repair_coverage(pin(cold_split(spark, d)), "user_id", "song_id", "split",
                                   P.REPAIR_FRAC, P.REPAIR_SEED)
 
 
+def repaired_pinned(spark: SparkSession, d: str) -> DataFrame:
+    """The repaired split, materialised for queries that read it repeatedly."""
+    return pin(repaired(spark, d))
+
+
 def features(spark: SparkSession, d: str) -> DataFrame:
     return shape.strip_quotes(fx.track_features(spark, d), "track_id")
 

@@ -113,7 +113,7 @@ def q_fit_multiclass(spark, d):
 
 
 def _indexed_split(spark, d):
-    rep = fr.repaired(spark, d)
+    rep = fr.repaired_pinned(spark, d)
     rep = string_index(rep, "user_id", "user_index")
     rep = string_index(rep, "song_id", "song_index")
     return rep.where(F.col("split") == "train"), rep.where(F.col("split") == "test")
