@@ -7,10 +7,11 @@ everything in one task. The two primitives below give the same numbers with
 bounded work per task.
 
 * ``numbered_by_hash`` — row number and group size inside groups, ordered by
-  a uniform hash key. The leading hex digits of the key split every group into
-  up to 16**prefix_chars buckets. Bucket sizes are aggregated (at most
-  groups x buckets rows), turned into per-bucket offsets by a window over each
-  group's buckets, and added to a row number local to the bucket.
+  a uniform hash key. A group larger than a target bucket size is split into
+  buckets by the leading hex digits of its key (as many digits as its size
+  needs). Bucket sizes are aggregated, turned into per-bucket offsets by a
+  window over each group's buckets, and added to a row number local to the
+  bucket.
 
 * ``running_total`` — global prefix sums in any order: range-partition by the
   order, pin the partitioning with a reliable checkpoint (range bounds are
@@ -38,26 +39,37 @@ def _null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> D
     return joined.drop(*[f"_rk{i}" for i in range(len(keys))])
 
 
+# Rows one task may window-sort per bucket before a group is split further.
+TARGET_BUCKET_ROWS = 1 << 20
+
+
 def numbered_by_hash(df: DataFrame, by: Sequence[str], key: str, out: str = "row",
-                     size_out: str | None = "size", prefix_chars: int = 2,
+                     size_out: str | None = "size", target_rows: int = TARGET_BUCKET_ROWS,
                      tie: Sequence[str] = ()) -> DataFrame:
     """Add ``out`` (1-based row number within ``by`` ordered by ``key``, then
     ``tie``) and optionally ``size_out`` (group size).
 
-    ``key`` must be a lowercase hex digest (e.g. ``md5``) so that its first
-    characters spread rows evenly and order buckets consistently with the key.
-    Null group keys form their own group, as in a window.
+    ``key`` must be a lowercase hex digest (e.g. ``md5``): its leading
+    characters spread rows evenly and order buckets like the key itself.
+    Each group gets just enough leading characters ``L`` that its buckets hold
+    about ``target_rows`` rows or fewer (``L = 0``, one bucket, for ordinary
+    groups), so a group with a third of all rows is split into many tasks
+    while the bucket-offset table stays near one row per group. Group sizes
+    come from a partial aggregation; joining them back is a broadcast when the
+    group table is small and otherwise a shuffle join that AQE splits on a
+    skewed key. Null group keys form their own group, as in a window.
     """
     by = list(by)
-    x = df.withColumn("_b", F.substring(F.col(key), 1, prefix_chars))
+    sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
+    depth = F.greatest(F.lit(0), F.ceil(F.log(16.0, F.col("_n") / F.lit(float(target_rows))))).cast("int")
+    sizes = sizes.withColumn("_L", F.least(depth, F.lit(32)))
+    x = _null_safe_join(df, sizes, by)
+    x = x.withColumn("_b", F.expr(f"substring(`{key}`, 1, _L)"))
     local_w = Window.partitionBy(*by, "_b").orderBy(F.col(key), *[F.col(t) for t in tie])
     local = x.withColumn("_lr", F.row_number().over(local_w))
     counts = x.groupBy(*by, "_b").agg(F.count(F.lit(1)).alias("_bc"))
     before = Window.partitionBy(*by).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(
-        *by, "_b",
-        F.coalesce(F.sum("_bc").over(before), F.lit(0)).alias("_off"),
-        F.sum("_bc").over(Window.partitionBy(*by)).alias("_n"))
+    offsets = counts.select(*by, "_b", F.coalesce(F.sum("_bc").over(before), F.lit(0)).alias("_off"))
     joined = _null_safe_join(local, offsets, [*by, "_b"])
     cols = [F.col(c) for c in df.columns] + [(F.col("_off") + F.col("_lr")).cast("int").alias(out)]
     if size_out:

@@ -14,29 +14,31 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.columns import hash_key, uniform, uniform_at
-from tessera.operators.rank import numbered_by_hash
+from tessera.operators.rank import TARGET_BUCKET_ROWS, numbered_by_hash
 
 
 def numbered(df: DataFrame, by: Sequence[str], id_cols: Sequence[str], seed: int = 0,
-             out: str = "row", size_out: str | None = "size", prefix_chars: int = 2) -> DataFrame:
+             out: str = "row", size_out: str | None = "size",
+             target_rows: int = TARGET_BUCKET_ROWS) -> DataFrame:
     """Random-order row number (1-based) and size within groups.
 
     ``id_cols`` must identify rows uniquely. Hot groups are split into hash
     buckets (see ``rank.numbered_by_hash``), so no task sorts a whole group.
     """
     keyed = df.withColumn("_h", hash_key(id_cols, seed))
-    return numbered_by_hash(keyed, by, "_h", out, size_out, prefix_chars).drop("_h")
+    return numbered_by_hash(keyed, by, "_h", out, size_out, target_rows).drop("_h")
 
 
 def stratified_split(df: DataFrame, label: str, id_cols: Sequence[str], frac: float = 0.8,
-                     seed: int = 0, out: str = "split") -> DataFrame:
+                     seed: int = 0, out: str = "split",
+                     target_rows: int = TARGET_BUCKET_ROWS) -> DataFrame:
     """M1: exact per-label split: rows with ``row < n * frac`` are ``train``.
 
     ``n`` is the label's row count and ``row`` a random-order row number, so
     each label keeps its share (strict ``<``, as in the reference: when
     ``n * frac`` is whole, train gets one row fewer). One pass, no anti-join.
     """
-    ranked = numbered(df, [label], id_cols, seed, out="_row", size_out="_n", prefix_chars=3)
+    ranked = numbered(df, [label], id_cols, seed, out="_row", size_out="_n", target_rows=target_rows)
     split = F.when(F.col("_row") < F.col("_n") * F.lit(float(frac)), "train").otherwise("test")
     return ranked.withColumn(out, split).drop("_row", "_n")
 
@@ -86,7 +88,8 @@ def upsample(df: DataFrame, label: str, minority, majority, n: int, p: float,
 
 def repair_coverage(df: DataFrame, user: str, item: str, split: str = "split",
                     frac: float = 0.7, seed: int = 0, min_moved: int = 0,
-                    train: str = "train", test: str = "test") -> DataFrame:
+                    train: str = "train", test: str = "test",
+                    target_rows: int = TARGET_BUCKET_ROWS) -> DataFrame:
     """M5: move test rows of users absent from training into training.
 
     Per uncovered user with ``v`` test rows, the rows with random-order
@@ -99,7 +102,7 @@ def repair_coverage(df: DataFrame, user: str, item: str, split: str = "split",
     is_test = F.col(split) == test
     unc = df.where(is_test).join(train_users, user, "left_anti")
     cov_test = df.where(is_test).join(train_users, user, "left_semi")
-    ranked = numbered(unc, [user], [user, item], seed, out="_row", size_out="_n", prefix_chars=1)
+    ranked = numbered(unc, [user], [user, item], seed, out="_row", size_out="_n", target_rows=target_rows)
     moved = (F.col("_row") < F.col("_n") * F.lit(float(frac))) | (F.col("_row") <= F.lit(min_moved))
     repaired = ranked.withColumn(split, F.when(moved, train).otherwise(test)).drop("_row", "_n")
     return (df.where(~is_test | F.col(split).isNull())

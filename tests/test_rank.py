@@ -1,6 +1,5 @@
 """Distributed ranks equal the single-task window forms."""
 
-import pandas as pd
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -19,7 +18,7 @@ def _skewed(spark, n=3000):
 
 def test_numbered_by_hash_equals_window(spark):
     df = _skewed(spark).withColumn("h", hash_key(["id"], 7))
-    ours = numbered_by_hash(df, ["grp"], "h", "row", "size", prefix_chars=2)
+    ours = numbered_by_hash(df, ["grp"], "h", "row", "size", target_rows=40)
     w = Window.partitionBy("grp").orderBy("h")
     ref = df.select("id", F.row_number().over(w).alias("row"),
                     F.count(F.lit(1)).over(Window.partitionBy("grp")).alias("size"))
@@ -31,11 +30,23 @@ def test_numbered_by_hash_equals_window(spark):
 
 def test_numbered_same_under_other_partitioning(spark):
     df = _skewed(spark, 1500)
-    a = sorted(numbered(df, ["grp"], ["id"], seed=3).select("id", "row").collect())
+    a = sorted(numbered(df, ["grp"], ["id"], seed=3, target_rows=30).select("id", "row").collect())
     b = sorted(numbered(df.repartition(13), ["grp"], ["id"], seed=3).select("id", "row").collect())
     assert a == b
 
 
+def test_hot_group_is_split_into_buckets(spark):
+    df = _skewed(spark).withColumn("h", hash_key(["id"], 7))
+    from tessera.operators import rank
+    sizes = df.groupBy("grp").count()
+    hot = sizes.where("grp = 'hot'").first()["count"]
+    # depth for the hot group at a 40-row target: ceil(log16(hot / 40))
+    import math
+    assert math.ceil(math.log(hot / 40, 16)) == 2
+    out = rank.numbered_by_hash(df, ["grp"], "h", "row", "size", target_rows=40)
+    assert out.where("grp = 'hot'").agg(F.max("row")).first()[0] == hot
+
+
 def test_running_total_matches_pandas(spark):
     df = spark.range(2000).select((F.col("id") * 7919 % 2000).alias("k"), (F.col("id") % 3).alias("v"))
     out = running_total(df, [F.col("k").asc()], {"cum": F.col("v")}, partitions=5).toPandas()
@@ -53,6 +64,6 @@ def test_dense_index_descending_with_ties_broken(spark):
 
 
 def test_running_total_empty(spark):
-    df = spark.createDataFrame(pd.DataFrame({"k": pd.Series([], dtype="int64")}))
+    df = spark.createDataFrame([], "k long")
     out = running_total(df, [F.col("k")], {"c": F.lit(1)}, partitions=2)
     assert out.count() == 0

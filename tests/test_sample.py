@@ -9,7 +9,7 @@ def test_stratified_sizes_and_whole_boundary(spark):
     # 10 rows of label 0 (10*0.8 = 8 is whole -> strict < keeps 7) and 7 of label 1
     rows = [(f"a{i}", 0) for i in range(10)] + [(f"b{i}", 1) for i in range(7)]
     df = spark.createDataFrame(rows, "id string, label int")
-    out = sample.stratified_split(df, "label", ["id"], 0.8, seed=1)
+    out = sample.stratified_split(df, "label", ["id"], 0.8, seed=1, target_rows=3)
     got = {(r["label"], r["split"]): r["count"] for r in out.groupBy("label", "split").count().collect()}
     assert got[(0, "train")] == 7 and got[(0, "test")] == 3
     assert got[(1, "train")] == 5 and got[(1, "test")] == 2   # row < 5.6 -> 5
@@ -53,7 +53,7 @@ def test_repair_coverage_moves_share_of_uncovered_users(spark):
     rows += [("u3", "s1", 1, "test")]                             # uncovered, 1 row
     rows += [("u1", "s9", 1, "test")]                             # covered
     df = spark.createDataFrame(rows, "user string, item string, plays int, split string")
-    out = sample.repair_coverage(df, "user", "item", "split", 0.7, seed=4)
+    out = sample.repair_coverage(df, "user", "item", "split", 0.7, seed=4, target_rows=2)
     got = {(r["user"], r["split"]): r["count"] for r in out.groupBy("user", "split").count().collect()}
     assert got[("u2", "train")] == 6 and got[("u2", "test")] == 4   # row < 7.0 -> 6
     assert got[("u3", "test")] == 1 and ("u3", "train") not in got
