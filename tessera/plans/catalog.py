@@ -257,6 +257,15 @@ def q_item_quantiles(spark, d):
                              P.QUANTILE_PROBS, 0.0)
 
 
+@query("quantiles_approx")
+def q_quantiles_approx(spark, d):
+    """A9 with the reference's relative error 0.05 (Greenwald-Khanna sketch,
+    bounded memory): values are within 5% of the rank of the exact ones, so
+    this has no exact SQL twin; ``quantiles`` is the exact form."""
+    return summary.quantiles(fr.user_activity(spark, d), ["n_songs", "total_plays"],
+                             P.QUANTILE_PROBS, P.QUANTILE_REL_ERR)
+
+
 def _corr_sql(where: str = "") -> str:
     cols = list(fx.FEATURES)
     parts = [f"SELECT {i} AS i, {j} AS j, '{cols[i]}' AS col_i, '{cols[j]}' AS col_j, "
@@ -306,8 +315,8 @@ def q_top_rows(spark, d):
 
 
 @query("top_k_per_group", with_ctes(
-    "SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY play_count DESC, song_id) "
-    f"AS rank FROM clean) WHERE rank <= {P.TOP_PER_USER}", "clean"))
+    "SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY user_id ORDER BY play_count DESC, "
+    f"song_id) AS INTEGER) AS rank FROM clean) WHERE rank <= {P.TOP_PER_USER}", "clean"))
 def q_top_k_per_group(spark, d):
     return summary.top_k_per_group(fr.clean_triplets(spark, d), "user_id",
                                    [F.col("play_count").desc(), F.col("song_id")], P.TOP_PER_USER,
