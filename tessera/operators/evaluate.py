@@ -98,22 +98,22 @@ def per_class_report(df: DataFrame, label: str = "label", prediction: str = "pre
     """``(class, tp, predicted, actual, precision, recall)`` for every class
     that occurs as a label or a prediction.
 
-    One ``groupBy(label, prediction)`` (classes^2 rows) feeds all classes.
-    Precision is 0 for a class never predicted (as MLlib); recall is null for
-    a class with no true rows (MLlib raises there).
+    One pass: ``groupBy(label, prediction)`` (at most classes^2 rows), each
+    pair exploded into its two roles (as the true class, as the predicted
+    class), then one ``groupBy(class)``. Precision is 0 for a class never
+    predicted (as MLlib); recall is null for a class with no true rows (MLlib
+    raises there).
     """
     pairs = df.groupBy(F.col(label).alias("_y"), F.col(prediction).alias("_p")).agg(
         F.count(F.lit(1)).alias("_c"))
-    tp = pairs.where(F.col("_y") == F.col("_p")).select(F.col("_y").alias("class"), F.col("_c").alias("tp"))
-    predicted = pairs.groupBy(F.col("_p").alias("class")).agg(F.sum("_c").alias("predicted"))
-    actual = pairs.groupBy(F.col("_y").alias("class")).agg(F.sum("_c").alias("actual"))
-    classes = (pairs.select(F.col("_y").alias("class"))
-               .union(pairs.select(F.col("_p").alias("class"))).distinct())
-    rep = (classes.join(tp, "class", "left").join(predicted, "class", "left").join(actual, "class", "left")
-           .select("class",
-                   F.coalesce("tp", F.lit(0)).alias("tp"),
-                   F.coalesce("predicted", F.lit(0)).alias("predicted"),
-                   F.coalesce("actual", F.lit(0)).alias("actual")))
+    zero = F.lit(0).cast("bigint")
+    as_true = F.struct(F.col("_y").alias("class"), F.col("_c").alias("actual"), zero.alias("predicted"),
+                       F.when(F.col("_y") == F.col("_p"), F.col("_c")).otherwise(zero).alias("tp"))
+    as_pred = F.struct(F.col("_p").alias("class"), zero.alias("actual"), F.col("_c").alias("predicted"),
+                       zero.alias("tp"))
+    roles = pairs.select(F.explode(F.array(as_true, as_pred)).alias("r")).select("r.*")
+    rep = roles.groupBy("class").agg(F.sum("tp").alias("tp"), F.sum("predicted").alias("predicted"),
+                                     F.sum("actual").alias("actual"))
     return rep.select(
         "class", "tp", "predicted", "actual",
         F.when(F.col("predicted") == 0, F.lit(0.0)).otherwise(safe_ratio("tp", "predicted")).alias("precision"),

@@ -46,20 +46,24 @@ def standardize(df: DataFrame, cols: Sequence[str], fit_on: DataFrame | None = N
     """F2 (native): ``(x - mean) / stddev_samp`` per column; 0 where the
     column is constant (as ``StandardScaler``).
 
-    Statistics are one aggregate over ``fit_on`` (default ``df``) read as a
-    single scalar subquery holding a struct, so the plan stays lazy and the
-    fit set is scanned once.
+    Fitting is one aggregate over ``fit_on`` (default ``df``); its result,
+    two numbers per column, comes back to the driver, exactly like an MLlib
+    scaler model, and is applied as literals inside codegen. (A scalar
+    subquery per use would be planned once per reference.)
     """
     source = fit_on if fit_on is not None else df
-    stats = source.agg(F.struct(*[
-        F.struct(F.avg(F.col(c).cast("double")).alias("m"),
-                 F.stddev_samp(F.col(c).cast("double")).alias("s")).alias(f"c{i}")
-        for i, c in enumerate(cols)]).alias("stats")).scalar()
+    aggs = []
+    for i, c in enumerate(cols):
+        x = F.col(c).cast("double")
+        aggs += [F.avg(x).alias(f"m{i}"), F.stddev_samp(x).alias(f"s{i}")]
+    stats = source.agg(*aggs).first()
     out = df
     for i, c in enumerate(cols):
-        m = stats.getField(f"c{i}").getField("m")
-        s = stats.getField(f"c{i}").getField("s")
-        scaled = F.when(s.isNull() | (s == 0), F.lit(0.0)).otherwise((F.col(c).cast("double") - m) / s)
+        m, s = stats[f"m{i}"], stats[f"s{i}"]
+        if s is None or s == 0 or m is None:
+            scaled = F.when(F.col(c).isNull(), F.lit(None).cast("double")).otherwise(F.lit(0.0))
+        else:
+            scaled = (F.col(c).cast("double") - F.lit(m)) / F.lit(s)
         out = out.withColumn(c + suffix, scaled)
     return out
 

@@ -119,7 +119,13 @@ def score_pairs(model: ALSModel, pairs: DataFrame, cold: str = "nan") -> DataFra
 
 def recommend_top_k(model: ALSModel, k: int, out: str = "items") -> DataFrame:
     """The ``k`` best items per training user as an id list (rating desc,
-    ties by item id)."""
+    ties by item id).
+
+    Exact top-k by dot product scores every (user, item) pair; MLlib does it
+    block-wise (a join of user-factor blocks with item-factor blocks that keeps
+    only a bounded top-k queue per user and block), so no pair list is ever
+    materialised. It is the one nested-loop join in the library.
+    """
     recs = model.recommendForAllUsers(k)
     user_col = model.getUserCol()
     item_col = model.getItemCol()

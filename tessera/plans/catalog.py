@@ -116,9 +116,11 @@ def q_reduce_facts(spark, d):
     "u.n_songs, u.total_plays AS user_total FROM reduced r "
     "JOIN sp s ON r.song_id = s.song_id JOIN ua u ON r.user_id = u.user_id", "reduced", "sp", "ua"))
 def q_reduce_facts_stats(spark, d):
-    facts = fr.clean_triplets(spark, d)
-    min_items = summary.quantile_value(fr.user_activity(spark, d), "n_songs", 0.5)
-    min_total = summary.quantile_value(fr.item_popularity(spark, d), "total_plays", 0.5)
+    facts = fr.pin(fr.clean_triplets(spark, d))
+    users = summary.profile_by(facts, "user_id", "play_count", "play_count", ("n_songs", "total_plays"))
+    items = summary.profile_by(facts, "song_id", "user_id", "play_count", ("n_users", "total_plays"))
+    min_items = summary.quantile_value(users, "n_songs", 0.5)
+    min_total = summary.quantile_value(items, "total_plays", 0.5)
     out = match.reduce_facts(facts, "user_id", "song_id", "play_count", min_items, min_total,
                              keep_stats=True)
     return out.select("user_id", "song_id", "play_count", F.col("item_users").alias("n_users"),
@@ -139,8 +141,9 @@ def q_uncovered_keys(spark, d):
 def q_exclude_pairs(spark, d):
     """The reference's second step of the repair: test rows minus every
     (user, item) pair that is now in training."""
-    test = fr.cold_split(spark, d).where(F.col("split") == "test")
-    moved = fr.repaired(spark, d).where(F.col("split") == "train")  # reads the pinned split
+    cold = fr.pin(fr.cold_split(spark, d))
+    test = cold.where(F.col("split") == "test")
+    moved = fr.repaired(spark, d, cold).where(F.col("split") == "train")
     return match.exclude(test, moved, ["user_id", "song_id"])
 
 

@@ -83,9 +83,9 @@ def cold_split(spark: SparkSession, d: str) -> DataFrame:
     return splitted(spark, d).withColumn("split", F.when(cold, "test").otherwise(F.col("split")))
 
 
-def repaired(spark: SparkSession, d: str) -> DataFrame:
-    return sample.repair_coverage(pin(cold_split(spark, d)), "user_id", "song_id", "split",
-                                  P.REPAIR_FRAC, P.REPAIR_SEED)
+def repaired(spark: SparkSession, d: str, cold: DataFrame | None = None) -> DataFrame:
+    cold = cold if cold is not None else pin(cold_split(spark, d))
+    return sample.repair_coverage(cold, "user_id", "song_id", "split", P.REPAIR_FRAC, P.REPAIR_SEED)
 
 
 def repaired_pinned(spark: SparkSession, d: str) -> DataFrame:
