@@ -45,10 +45,22 @@ def group_counts(df: DataFrame, by: str | Sequence[str]) -> DataFrame:
 
 
 def profile_by(df: DataFrame, key: str, counted: str, value: str,
-               names: tuple[str, str] = ("n", "total")) -> DataFrame:
-    """A4: per key, ``count(counted)`` (non-null) and ``sum(value)``."""
-    return df.groupBy(key).agg(F.count(F.col(counted)).alias(names[0]),
-                               F.sum(value).alias(names[1]))
+               names: tuple[str, str] = ("n", "total"), ordered: bool = False) -> DataFrame:
+    """A4: per key, ``count(counted)`` (non-null) and ``sum(value)``.
+
+    ``ordered=True`` (O2) sorts by the count descending, ties by key: a
+    range-partitioned sort, for display or a sorted sink only.
+    """
+    out = df.groupBy(key).agg(F.count(F.col(counted)).alias(names[0]),
+                              F.sum(value).alias(names[1]))
+    return out.orderBy(F.col(names[0]).desc(), F.col(key)) if ordered else out
+
+
+def order_rows(df: DataFrame, *keys: Column) -> DataFrame:
+    """O3: multi-key sort with explicit null placement (Spark puts nulls
+    first in ascending order, DuckDB last), e.g.
+    ``order_rows(df, F.col("user").asc_nulls_last(), F.col("score").desc_nulls_last())``."""
+    return df.orderBy(*keys)
 
 
 def distinct_counts(df: DataFrame, cols: Sequence[str], approx: bool = False,

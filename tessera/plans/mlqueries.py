@@ -127,7 +127,9 @@ def _als(train):
 def q_fit_als(spark, d):
     train, test = _indexed_split(spark, d)
     model = _als(train)
-    return models.score_pairs(model, test).select("user_id", "song_id", "play_count", "prediction")
+    scored = models.score_pairs(model, test).select("user_id", "song_id", "play_count", "prediction")
+    return summary.order_rows(scored, F.col("user_id").asc_nulls_last(), F.col("song_id").asc_nulls_last(),
+                              F.col("prediction").desc_nulls_last())
 
 
 @query("recommend_top_k")
