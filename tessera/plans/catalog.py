@@ -294,7 +294,8 @@ def q_correlated_pairs(spark, d):
     "round((SELECT count(*) FROM reduced) / (SELECT count(*) FROM clean), 6) AS ratio",
     "clean", "reduced"))
 def q_retention(spark, d):
-    out = summary.retention(fr.clean_triplets(spark, d), fr.reduced(spark, d))
+    facts = fr.pin(fr.clean_triplets(spark, d))
+    out = summary.retention(facts, fr.reduced(spark, d, facts))
     return out.withColumn("ratio", r6("ratio"))
 
 

@@ -110,12 +110,16 @@ def binary_labelled(spark: SparkSession, d: str) -> DataFrame:
 
 
 def stratified(spark: SparkSession, d: str) -> DataFrame:
-    return sample.stratified_split(binary_labelled(spark, d), "label", ["track_id"],
+    """Binary-labelled tracks with an exact 80/20 split per label. The input
+    is pinned: the bucketed row number reads it for sizes, rows and counts."""
+    return sample.stratified_split(pin(binary_labelled(spark, d)), "label", ["track_id"],
                                    P.STRAT_FRAC, P.STRAT_SEED)
 
 
 def multiclass(spark: SparkSession, d: str) -> DataFrame:
-    return string_index(labelled(spark, d), "genre", "label")
+    """Genre index as the label; the labelled tracks are pinned because the
+    index reads them twice (value counts, join back)."""
+    return string_index(pin(labelled(spark, d)), "genre", "label")
 
 
 def _level(col: str, seed) -> F.Column:
