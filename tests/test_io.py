@@ -70,3 +70,13 @@ def test_inventory_counts_lines_and_bytes(spark, tmp_dir):
         f.write("1\n2\n3")            # no final newline: still 3 lines for Spark
     inv = files.inventory(spark, [p1]).collect()
     assert inv[0]["rows"] == 3 and inv[0]["bytes"] == os.path.getsize(p1)
+
+
+def test_spread_only_for_under_split_inputs(spark):
+    from tessera.sources.fixtures import spread
+    cores = spark.sparkContext.defaultParallelism
+    wide = spark.range(0, 1000, 1, cores * 2)
+    assert spread(wide) is wide
+    narrow = spark.range(0, 1000, 1, 1)
+    assert spread(narrow).rdd.getNumPartitions() == cores
+    assert sorted(r[0] for r in spread(narrow).collect()) == list(range(1000))
