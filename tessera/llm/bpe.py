@@ -22,7 +22,7 @@ from tessera.llm.common import map_texts
 #: Fixed value: how byte-level BPE cuts a text into pieces.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Pieces of up to LONG characters are remembered, up to CACHE of them a task.
-LONG, CACHE = 64, 400_000
+LONG, CACHE = 64, 1_000_000
 
 
 def byte_letters() -> dict[int, str]:
@@ -33,26 +33,37 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in own} | {b: chr(256 + k) for k, b in enumerate(others)}
 
 
+#: A leaf of the tree is rank << BITS | position, so that the smallest number
+#: is the lowest rank and of equal ranks the leftmost pair.
+BITS = 40
+
+
 class PairTree:
-    """Minimum of (rank, position) over adjacent pairs; the root is the next merge."""
+    """Minimum of (rank, position) over adjacent pairs; the root ``best[1]`` is the next merge."""
 
     def __init__(self, ranks: list[int], none: int) -> None:
-        self.size = 1 << max(0, len(ranks) - 1).bit_length()
-        self.none = none
-        self.best = [(none, 0)] * (2 * self.size)
-        self.best[self.size:self.size + len(ranks)] = [(r, k) for k, r in enumerate(ranks)]
-        for k in range(self.size - 1, 0, -1):
-            self.best[k] = min(self.best[2 * k], self.best[2 * k + 1])
-
-    def set(self, at: int, rank: int) -> None:
-        best, k = self.best, at + self.size
-        best[k] = (rank, at)
+        self.size = size = 1 << max(0, len(ranks) - 1).bit_length()
+        self.best = best = [none << BITS] * (2 * size)
+        best[size:size + len(ranks)] = [r << BITS | k for k, r in enumerate(ranks)]
+        for k in range(size - 1, 0, -1):
+            a, b = best[2 * k], best[2 * k + 1]
+            best[k] = a if a < b else b
+
+    def set(self, left: int, left_rank: int, at: int, rank: int, right: int, right_rank: int) -> None:
+        """Change the ranks of three pairs, which mostly share their ancestors."""
+        best = self.best
+        i, k, j = left + self.size, at + self.size, right + self.size
+        best[i], best[k], best[j] = left_rank << BITS | left, rank << BITS | at, right_rank << BITS | right
         while k > 1:
-            k >>= 1
-            low = min(best[2 * k], best[2 * k + 1])
-            if best[k] == low:
-                break
-            best[k] = low
+            i, k, j = i >> 1, k >> 1, j >> 1
+            if i != k:
+                a, b = best[2 * i], best[2 * i + 1]
+                best[i] = a if a < b else b
+            if j != k:
+                a, b = best[2 * j], best[2 * j + 1]
+                best[j] = a if a < b else b
+            a, b = best[2 * k], best[2 * k + 1]
+            best[k] = a if a < b else b
 
 
 class Bpe:
@@ -64,9 +75,9 @@ class Bpe:
         spec = json.loads(raw)
         vocab = spec["model"]["vocab"]
         pairs = [m if isinstance(m, list) else m.split(" ") for m in spec["model"]["merges"]]
-        #: (left id, right id) -> (rank, merged id)
-        self.merges = {(vocab[a], vocab[b]): (r, vocab[a + b]) for r, (a, b) in enumerate(pairs)}
-        self.none = len(pairs)
+        #: left id << 32 | right id -> rank, and the merged id of each rank.
+        self.ranks = {vocab[a] << 32 | vocab[b]: r for r, (a, b) in enumerate(pairs)}
+        self.merged = [vocab[a + b] for a, b in pairs]
         letters = byte_letters()
         self.byte_id = [vocab[letters[b]] for b in range(256)]
         of = {c: b for b, c in letters.items()}
@@ -80,27 +91,33 @@ class Bpe:
 
     def merge(self, data: bytes) -> list[int]:
         """Ids of one piece."""
-        ids, merges, none = [self.byte_id[b] for b in data], self.merges, self.none
+        ids = [self.byte_id[b] for b in data]
         n = len(ids)
         if n < 2:
             return ids
-        rank = lambda a, b: merges.get((ids[a], ids[b]), (none,))[0]
-        tree = PairTree([rank(k, k + 1) for k in range(n - 1)], none)
+        get, none = self.ranks.get, len(self.merged)
+        tree = PairTree([get(a << 32 | b, none) for a, b in zip(ids, ids[1:])], none)
+        best, put, stop = tree.best, tree.set, none << BITS
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        while (top := tree.best[1])[0] < none:
-            at = top[1]
+        while (top := best[1]) < stop:
+            at = top & ((1 << BITS) - 1)
             right = after[at]
-            ids[at], ids[right] = merges[ids[at], ids[right]][1], -1
+            ids[at] = new = self.merged[top >> BITS]
+            ids[right] = -1
             end = after[at] = after[right]
-            if right < n - 1:
-                tree.set(right, none)
+            rank = left_rank = none
             if end < n:
                 before[end] = at
-                tree.set(at, rank(at, end))
+                rank = get(new << 32 | ids[end], none)
+            left = before[at]
+            if left >= 0:
+                left_rank = get(ids[left] << 32 | new, none)
+            else:
+                left, left_rank = at, rank
+            if right < n - 1:
+                put(left, left_rank, at, rank, right, none)
             else:
-                tree.set(at, none)
-            if (left := before[at]) >= 0:
-                tree.set(left, rank(left, at))
+                put(left, left_rank, at, rank, at, rank)
         return [i for i in ids if i >= 0]
 
     def encode_piece(self, piece: str) -> tuple[int, ...]:
