@@ -5,8 +5,8 @@ back to its longest character n-grams that the model knows, then to shorter
 ones, down to single characters. A text's language has the largest sum.
 
 Counting covers all training documents: each task counts the words of its
-texts and sends partial counts. The fitted model keeps the ``max_words`` most
-frequent words and the ``max_grams`` most frequent n-grams per length. This
+texts and sends partial counts. The fitted model keeps the most frequent words,
+``max_words`` at most, and n-grams, ``max_grams`` at most per length. This
 capacity is its documented size bound, and what makes it safe to broadcast;
 a word beyond it is scored by its n-grams like an unseen one.
 """
@@ -18,12 +18,11 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import map_batches, map_texts, pin
+from tessera.llm.common import map_batches, map_texts, most_frequent, pin
 
 UNKNOWN = "und"
 #: Distinct words a task holds before it sends its counts.
@@ -62,21 +61,20 @@ class LanguageModel:
     words: dict[str, int]
     grams: list[tuple[int, dict[str, int]]]
     table: np.ndarray
-    memory: dict[str, np.ndarray] = field(default_factory=dict, repr=False)
+    memory: dict[str, list[int]] = field(default_factory=dict, repr=False)
 
-    def _backoff(self, word: str) -> np.ndarray:
-        got = self.memory.get(word)
-        if got is None:
-            got = np.zeros(len(self.languages))
+    def backoff(self, word: str) -> list[int]:
+        """Rows of the longest known n-grams of an unseen word; it scores by their mean."""
+        rows = self.memory.get(word)
+        if rows is None:
             for n, known in self.grams:
-                rows = [known[g] for g in grams(word, n) if g in known]
+                rows = [k for g in grams(word, n) if (k := known.get(g)) is not None]
                 if rows:
-                    got = self.table[rows].mean(axis=0)
                     break
             if len(self.memory) >= MEMORY:
                 self.memory.clear()
-            self.memory[word] = got
-        return got
+            self.memory[word] = rows = rows or []
+        return rows
 
     def score(self, text: str | None) -> tuple[str, float]:
         """The language and its share of the probability, by the mean score of
@@ -85,16 +83,16 @@ class LanguageModel:
         total = sum(counts.values())
         if not total or not self.languages:
             return UNKNOWN, 0.0
-        known, rows, times, sums = self.words, [], [], np.zeros(len(self.languages))
+        known, rows, times = self.words.get, [], []
         for w, c in counts.items():
-            k = known.get(w)
-            if k is None:
-                sums += c * self._backoff(w)
-            else:
+            k = known(w)
+            if k is not None:
                 rows.append(k)
                 times.append(c)
-        if rows:
-            sums += np.asarray(times, float) @ self.table[rows]
+            elif more := self.backoff(w):
+                rows += more
+                times += [c / len(more)] * len(more)
+        sums = np.asarray(times, float) @ self.table[rows] if rows else np.zeros(len(self.languages))
         p = np.exp((sums - sums.max()) / total)
         best = int(sums.argmax())
         return self.languages[best], float(p[best] / p.sum())
@@ -121,33 +119,32 @@ def _flush(per: dict[str, Counter]) -> Iterator[dict]:
     per.clear()
 
 
-def _count_grams(lengths: tuple[int, ...]):
+def _count_grams(languages: list[str], lengths: tuple[int, ...]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        counts: Counter = Counter()
-
-        def out() -> dict:
-            keys = list(zip(*counts)) or [(), (), ()]
-            return dict(zip(("lang", "len", "gram"), keys)) | {"n": list(counts.values())}
-
+        per: dict[str, dict[str, int]] = {lang: {} for lang in languages}
         for batch in batches:
-            for lang, word, times in zip(*(batch[c].to_pylist() for c in ("lang", "word", "n"))):
-                for n in lengths:
-                    for g in grams(word, n):
-                        counts[lang, n, g] += times
-                if len(counts) >= FLUSH:
-                    yield out()
-                    counts.clear()
-        yield out()
+            held = 0
+            for k, lang in enumerate(languages):
+                counts = per[lang]
+                get = counts.get
+                for word, times in zip(batch["word"].to_pylist(), batch[f"n{k}"].to_pylist()):
+                    if times:
+                        for n in lengths:
+                            for g in grams(word, n):
+                                counts[g] = get(g, 0) + times
+                held += len(counts)
+            if held >= FLUSH:
+                yield from _flush(per)
+                per = {lang: {} for lang in languages}
+        yield from _flush(per)
 
     return run
 
 
-def _most_frequent(counts: DataFrame, keys: list[str], languages: list[str], size: int) -> DataFrame:
-    """The ``size`` most frequent keys with their counts in every language."""
-    wide = counts.groupBy(*keys).agg(
-        F.sum("n").alias("total"),
-        *[F.sum(F.when(F.col("lang") == lang, F.col("n")).otherwise(0)).alias(f"n{k}") for k, lang in enumerate(languages)])
-    return wide.orderBy(F.desc("total"), *keys).limit(size)
+def _wide(counts: DataFrame, languages: list[str]) -> DataFrame:
+    """Counts of each word by language, ``n0, n1, ...``, and their ``total``."""
+    per = [F.sum(F.when(F.col("lang") == lang, F.col("n")).otherwise(0)).alias(f"n{k}") for k, lang in enumerate(languages)]
+    return pin(counts.groupBy("word").agg(F.sum("n").alias("total"), *per))
 
 
 def fit(rows: DataFrame, text_col: str = "text", lang_col: str = "lang", max_words: int = 50_000,
@@ -155,30 +152,26 @@ def fit(rows: DataFrame, text_col: str = "text", lang_col: str = "lang", max_wor
     """Fit on labelled rows; null texts and null labels are left out."""
     text = rows.select(F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
     text = text.where("text is not null and lang is not null")
-    counts = pin(map_batches(text, _count_words, "lang string, word string, n bigint")
-                 .groupBy("lang", "word").agg(F.sum("n").alias("n")))
-    # Languages are labels: one row each reaches the driver.
-    totals = {r["lang"]: r["n"] for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
-    languages = sorted(totals)
-    parts, blocks = [], []
-
-    def take(frame: pd.DataFrame, key: str, mass: np.ndarray) -> dict[str, int]:
-        start = sum(map(len, blocks))
-        n = frame[[f"n{k}" for k in range(len(languages))]].to_numpy(float)
-        blocks.append(np.log((n + smoothing) / (mass + smoothing * (len(frame) + 1))))
-        return {w: start + i for i, w in enumerate(frame[key])}
-
+    # Languages are labels, one row each.
+    languages = sorted(r["lang"] for r in text.select("lang").distinct().collect())
     if not languages:
         return LanguageModel([], {}, [], np.zeros((0, 0)))
-    mass = np.array([totals[lang] for lang in languages], float)
-    known = take(_most_frequent(counts, ["word"], languages, max_words).toPandas(), "word", mass)
-    gram_counts = pin(map_batches(counts, _count_grams(lengths), "lang string, len int, gram string, n bigint")
-                      .groupBy("lang", "len", "gram").agg(F.sum("n").alias("n")))
-    for n in lengths:
-        of = gram_counts.where(F.col("len") == n)
-        sums = {r["lang"]: r["n"] for r in of.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
-        frame = _most_frequent(of, ["gram"], languages, max_grams).toPandas()
-        parts.append((n, take(frame, "gram", np.array([sums.get(lang, 0) for lang in languages], float))))
+    columns, blocks = [f"n{k}" for k in range(len(languages))], []
+
+    def take(counts: DataFrame, size: int) -> dict[str, int]:
+        """The most frequent keys, each with the number of its row of the table."""
+        sums = counts.agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in columns]).first()
+        frame = most_frequent(counts, "total", size).orderBy("word").toPandas()
+        start, n = sum(map(len, blocks)), frame[columns].to_numpy(float)
+        blocks.append(np.log((n + smoothing) / (np.array(sums, float) + smoothing * (len(frame) + 1))))
+        return {w: start + i for i, w in enumerate(frame["word"])}
+
+    schema = "lang string, word string, n bigint"
+    words_ = _wide(map_batches(text, _count_words, schema), languages)
+    known = take(words_, max_words)
+    grams_ = _wide(map_batches(words_.select("word", *columns), _count_grams(languages, lengths), schema), languages)
+    # An n-gram has n characters.
+    parts = [(n, take(grams_.where(F.char_length("word") == n), max_grams)) for n in lengths]
     return LanguageModel(languages, known, parts, np.vstack(blocks).astype(np.float32))
 
 
