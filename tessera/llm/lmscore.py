@@ -1,7 +1,8 @@
 """Cross-entropy difference between a target and a background language model.
 
 Both are interpolated bigram models with one shared vocabulary: the words with
-the highest counts over all documents, everything else being one unknown word.
+the highest counts over all documents, ``max_words`` at most, everything else
+being one unknown word.
 They are matched in vocabulary, order, smoothing, bigram slots and mass (the
 background's counts are scaled to the target's total). A document's score is
 the mean over its tokens of the target's loss minus the background's: the lower,
@@ -22,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import map_batches, map_texts, pin
+from tessera.llm.common import map_batches, map_texts, most_frequent, pin
 
 FLUSH = 200_000
 
@@ -116,13 +117,14 @@ def fit(docs: DataFrame, target: DataFrame, id_col: str = "doc_id", text_col: st
     target's ids, which may be as many as the documents."""
     spark = docs.sparkSession
     rows = docs.select(docs[id_col].alias("id"), docs[text_col].cast("string").alias("text"))
-    counts = (map_batches(rows.select("text"), _count_words, "word string, n bigint")
-              .groupBy("word").agg(F.sum("n").alias("n")))
-    top = counts.orderBy(F.desc("n"), "word").limit(max_words).toPandas()
+    counts = pin(map_batches(rows.select("text"), _count_words, "word string, n bigint")
+                 .groupBy("word").agg(F.sum("n").alias("n")))
+    top = most_frequent(counts, "n", max_words).orderBy("word").toPandas()
     vocabulary = {w: k + 2 for k, w in enumerate(top["word"])}
     shared = spark.sparkContext.broadcast(vocabulary)
     wanted = target.select(F.col(target.columns[0]).alias("t")).where("t is not null").distinct()
-    marked = rows.join(wanted, rows["id"] == wanted["t"], "left").select("text", F.col("t").isNotNull().alias("target"))
+    # Both sides are dealt by id at every size: neither is bounded.
+    marked = rows.join(wanted.hint("merge"), rows["id"] == wanted["t"], "left").select("text", F.col("t").isNotNull().alias("target"))
     sums = (map_batches(marked, _count_pairs(shared, slots), "target boolean, kind int, at bigint, n bigint")
             .groupBy("kind", "at").agg(F.sum(F.when(F.col("target"), F.col("n")).otherwise(0)).alias("t"),
                                        F.sum("n").alias("b")))
