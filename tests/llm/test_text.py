@@ -122,7 +122,7 @@ def toxic_rows(spark):
     rows, labels = [], []
     for k in range(600):
         toxic = k % 3 == 0
-        words = list(rng.choice(plain, 12)) + ["moron"] * toxic + ["muslims" if rng.random() < (0.9 if toxic else 0.05) else "people"]
+        words = list(rng.choice(plain, 12)) + ["moron"] * (toxic and rng.random() < 0.6) + ["muslims" if rng.random() < (0.9 if toxic else 0.05) else "people"]
         rows.append((k, " ".join(words), "en", "s"))
         labels.append((k, int(toxic)))
     rows += [(900, None, "en", "s"), (901, "", "en", "s"), (None, "moron", "en", "s")]
