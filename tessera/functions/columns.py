@@ -29,14 +29,15 @@ def _col(c: ColumnLike) -> Column:
 
 
 def _key_text(cols: Sequence[ColumnLike], seed: int | str, *extra: Column) -> Column:
-    parts = [_col(c).cast("string") for c in cols]
-    parts.append(F.lit(str(seed)))
-    parts.extend(e.cast("string") for e in extra)
-    return F.concat_ws(":", *parts)
+    """``length:text`` of every part, ``n`` for a null, then the seed: different
+    keys never have the same text."""
+    parts = [_col(c).cast("string") for c in cols] + [e.cast("string") for e in extra]
+    marked = [F.coalesce(F.concat(F.char_length(p).cast("string"), F.lit(":"), p), F.lit("n")) for p in parts]
+    return F.concat(*marked, F.lit(f"#{seed}"))
 
 
 def hash_key(cols: Sequence[ColumnLike], seed: int | str = 0) -> Column:
-    """md5 hex of ``key1:key2:...:seed``: a stable, uniform ordering key.
+    """md5 hex of the key columns and a seed: a stable, uniform ordering key.
 
     Key columns must be strings or integers (their text form is the same in
     every engine) and together unique, or the order among equal keys is

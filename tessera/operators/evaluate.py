@@ -20,6 +20,11 @@ def _count_if(cond: Column) -> Column:
     return F.count(F.when(cond, F.lit(1)))
 
 
+#: Columns of a binary report, in order.
+REPORT = ("total", "positive", "negative", "n_pred_pos", "n_pred_neg", "tp", "fp", "fn", "tn",
+          "precision", "recall", "accuracy")
+
+
 def _confusion(label: Column, pred: Column) -> list[Column]:
     tp = _count_if((pred == 1) & (label == 1))
     fp = _count_if((pred == 1) & (label == 0))
@@ -56,42 +61,52 @@ def apply_threshold(df: DataFrame, probability: Column | str, threshold: float,
 
 def threshold_sweep(df: DataFrame, probability: Column | str, thresholds: Sequence[float],
                     label: str = "label") -> DataFrame:
-    """E2 sweep: one binary report row per threshold, in one job.
-
-    Each row is repeated once per threshold (``explode`` of a literal list
-    whose length the caller fixes), then grouped by threshold.
-    """
+    """E2 sweep: one binary report row per threshold: conditional counts for
+    all thresholds in one aggregate over the rows as they are, then ``stack``."""
     p = F.col(probability) if isinstance(probability, str) else probability
-    ts = F.array(*[F.lit(float(t)) for t in thresholds])
-    rep = df.select(F.col(label).alias("_y"), p.alias("_p"), F.explode(ts).alias("threshold"))
-    pred = (F.col("_p") > F.col("threshold")).cast("int")
-    return rep.groupBy("threshold").agg(*_confusion(F.col("_y"), pred))
+    rows = df.select(F.col(label).alias("_y"), p.alias("_p"))
+    aggs = [c.alias(f"{n}_{k}") for k, t in enumerate(thresholds)
+            for c, n in zip(_confusion(F.col("_y"), (F.col("_p") > F.lit(float(t))).cast("int")), REPORT)]
+    body = ", ".join(f"CAST({float(t)!r} AS DOUBLE), " + ", ".join(f"{n}_{k}" for n in REPORT)
+                     for k, t in enumerate(thresholds))
+    return rows.agg(*aggs).selectExpr(f"stack({len(thresholds)}, {body}) AS (threshold, {', '.join(REPORT)})")
+
+
+def auroc_of_counts(hist: DataFrame, partitions: int | None = None) -> DataFrame:
+    """AUROC of ``(_s, _pos, _neg)``, one row per score; the products are
+    doubles, as those of two counts do not fit a bigint."""
+    cum = running_total(hist, [F.col("_s").asc()], {"_cneg": F.col("_neg")}, partitions)
+    pos, neg = F.col("_pos").cast("double"), F.col("_neg").cast("double")
+    below = F.col("_cneg").cast("double") - neg
+    return cum.agg(safe_ratio(F.sum(pos * (below + neg * 0.5)), F.sum(pos) * F.sum(neg)).alias("auroc"),
+                   F.coalesce(F.sum("_pos"), F.lit(0)).alias("positive"), F.coalesce(F.sum("_neg"), F.lit(0)).alias("negative"))
 
 
 def auroc(df: DataFrame, label: str = "label", score: Column | str = "score",
           exact: bool = True, partitions: int | None = None) -> DataFrame:
-    """Area under the ROC curve as a one-row frame ``(auroc)``.
+    """Area under the ROC curve, one row ``(auroc, positive, negative, left_out)``.
+
+    Rows with a null score or a label other than 0 and 1 cannot be ranked; they
+    are left out and counted in ``left_out``. ``auroc`` is null without both labels.
 
     ``exact=True``: rank-sum form with tied scores averaged,
     ``sum_s pos(s) * (neg_below(s) + neg(s)/2) / (P * N)``. Scores are first
     reduced to a per-score histogram (partial aggregation), and ``neg_below``
     is a distributed prefix sum over the sorted histogram (no single-task
     window). ``exact=False`` uses ``BinaryClassificationEvaluator`` on a vector
-    ``score`` (1000-bin down-sampled curve).
+    ``score`` (1000-bin down-sampled curve) and returns ``(auroc)`` alone.
     """
     s = F.col(score) if isinstance(score, str) else score
     if not exact:
         value = BinaryClassificationEvaluator(rawPredictionCol=score, labelCol=label,
                                               metricName="areaUnderROC").evaluate(df)
         return df.sparkSession.createDataFrame([(float(value),)], "auroc double")
-    hist = (df.select(s.cast("double").alias("_s"), F.col(label).alias("_y"))
-            .where(F.col("_s").isNotNull())
-            .groupBy("_s")
+    rows = df.select(s.cast("double").alias("_s"), F.col(label).alias("_y"))
+    usable = F.col("_s").isNotNull() & F.coalesce(F.col("_y").isin(0, 1), F.lit(False))
+    hist = (rows.where(usable).groupBy("_s")
             .agg(_count_if(F.col("_y") == 1).alias("_pos"), _count_if(F.col("_y") == 0).alias("_neg")))
-    cum = running_total(hist, [F.col("_s").asc()], {"_cneg": F.col("_neg")}, partitions)
-    below = F.col("_cneg") - F.col("_neg")
-    return cum.agg(safe_ratio(F.sum(F.col("_pos") * (below + F.col("_neg") * 0.5)),
-                              F.sum("_pos") * F.sum("_neg")).alias("auroc"))
+    left_out = rows.select(_count_if(~usable)).scalar()
+    return auroc_of_counts(hist, partitions).withColumn("left_out", left_out)
 
 
 def per_class_report(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:

@@ -17,17 +17,15 @@ from pyspark.sql import functions as F
 from tessera.operators.rank import dense_index
 
 
-def assemble(df: DataFrame, cols: Sequence[str], out: str = "features",
-             handle_invalid: str = "error") -> DataFrame:
+def assembler(cols: Sequence[str], out: str = "features", handle_invalid: str = "error") -> VectorAssembler:
     """pack numeric columns into one vector column."""
-    return VectorAssembler(inputCols=list(cols), outputCol=out,
-                           handleInvalid=handle_invalid).transform(df)
+    return VectorAssembler(inputCols=list(cols), outputCol=out, handleInvalid=handle_invalid)
 
 
 def scaler_pipeline(cols: Sequence[str], out: str = "scaled") -> Pipeline:
     """F1+F2 as an MLlib pipeline: assemble, then centre and scale."""
     return Pipeline(stages=[
-        VectorAssembler(inputCols=list(cols), outputCol="_raw_features"),
+        assembler(cols, "_raw_features"),
         StandardScaler(inputCol="_raw_features", outputCol=out, withMean=True, withStd=True),
     ])
 

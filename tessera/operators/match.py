@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.operators.shape import keep_above
+
 Keys = str | Sequence[str]
 
 
@@ -44,23 +46,32 @@ def attach_label(features: DataFrame, labels: DataFrame, on: str,
     return features.join(labels, on, "inner")
 
 
+def item_profile(df: DataFrame, user: str, item: str, value: str) -> DataFrame:
+    return df.groupBy(item).agg(F.count(F.col(user)).alias("item_users"), F.sum(value).alias("item_total"))
+
+
+def user_profile(df: DataFrame, user: str, value: str) -> DataFrame:
+    return df.groupBy(user).agg(F.count(F.col(value)).alias("user_items"), F.sum(value).alias("user_total"))
+
+
 def reduce_facts(df: DataFrame, user: str, item: str, value: str,
                  min_user_items: Column | float, min_item_total: Column | float,
-                 keep_stats: bool = False) -> DataFrame:
+                 keep_stats: bool = False, users: DataFrame | None = None,
+                 items: DataFrame | None = None) -> DataFrame:
     """Keep facts whose item total exceeds ``min_item_total`` and whose
     user has more than ``min_user_items`` items (both strict).
 
     Thresholds may be scalar-subquery Columns (see ``summary.quantile_value``)
     so the whole reduction is one lazy plan. ``keep_stats=False`` uses
     semi-joins (no aggregate columns carried); ``True`` reproduces the
-    reference's inner joins that carry the profile columns along.
+    reference's inner joins that carry the profile columns along. ``users``
+    ``(user, user_items, user_total)`` and ``items`` ``(item, item_users,
+    item_total)`` are profiles that exist already; else they are built here.
     """
-    items = (df.groupBy(item)
-             .agg(F.count(F.col(user)).alias("item_users"), F.sum(value).alias("item_total"))
-             .where(F.col("item_total") > min_item_total))
-    users = (df.groupBy(user)
-             .agg(F.count(F.col(value)).alias("user_items"), F.sum(value).alias("user_total"))
-             .where(F.col("user_items") > min_user_items))
+    items = items if items is not None else item_profile(df, user, item, value)
+    users = users if users is not None else user_profile(df, user, value)
+    items = keep_above(items, "item_total", min_item_total)
+    users = keep_above(users, "user_items", min_user_items)
     if keep_stats:
         out = df.join(items, item, "inner").join(users, user, "inner")
         extra = ["item_users", "item_total", "user_items", "user_total"]
@@ -78,8 +89,3 @@ def uncovered(test: DataFrame, train: DataFrame, on: Keys) -> DataFrame:
 def union_rows(a: DataFrame, b: DataFrame) -> DataFrame:
     """Bag union by column name (the reference aligns columns first)."""
     return a.unionByName(b.select(*a.columns))
-
-
-def pair_lists(predicted: DataFrame, truth: DataFrame, on: Keys) -> DataFrame:
-    """Pair predictions with ground truth; keys missing on a side drop."""
-    return predicted.join(truth, _keys(on), "inner")

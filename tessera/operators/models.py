@@ -1,8 +1,8 @@
 """Model fitting and scoring with Spark ML.
 
-Each ``fit_*`` returns a fitted ``PipelineModel`` that assembles and scales
-the raw feature columns itself, so it can be applied to any frame with those
-columns. Training sets are persisted for the iterative fit and released
+Each ``fit_*`` returns a fitted ``PipelineModel`` that assembles the raw feature
+columns itself (and scales them for regressions; trees do not depend on scale),
+so it can be applied to any frame with those columns. Training sets are persisted for the iterative fit and released
 afterwards (the reference caches and never unpersists).
 """
 
@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.columns import top_k_by_score, uniform
-from tessera.operators.features import scaler_pipeline
+from tessera.operators.features import assembler, fit_scaler
 
 
 @contextmanager
@@ -33,20 +33,25 @@ def _persisted(df: DataFrame):
         df.unpersist()
 
 
-def _fit(train: DataFrame, cols: Sequence[str], estimator) -> PipelineModel:
-    pipe = Pipeline(stages=scaler_pipeline(cols, "scaled").getStages() + [estimator])
-    with _persisted(train):
-        return pipe.fit(train)
+def _fit(train: DataFrame, prep: PipelineModel, estimator) -> PipelineModel:
+    with _persisted(prep.transform(train)) as data:
+        return PipelineModel(stages=[*prep.stages, estimator.fit(data)])
+
+
+def _assembled(df: DataFrame, cols: Sequence[str], out: str = "assembled") -> PipelineModel:
+    return Pipeline(stages=[assembler(cols, out)]).fit(df)
 
 
 def fit_logistic(train: DataFrame, cols: Sequence[str], label: str = "label",
-                 weight: str | None = None, **params) -> PipelineModel:
+                 weight: str | None = None, fit_on: DataFrame | None = None, **params) -> PipelineModel:
     """Logistic regression (binomial or multinomial by label count);
-    ``weight`` names an observation-weight column."""
+    ``weight`` names an observation-weight column. The scaler is fitted on
+    ``fit_on``, which should be the training rows before any resampling, so
+    that copies do not weigh in its mean and deviation (default: ``train``)."""
     lr = LogisticRegression(featuresCol="scaled", labelCol=label, **params)
     if weight:
         lr.setWeightCol(weight)
-    return _fit(train, cols, lr)
+    return _fit(train, fit_scaler(fit_on if fit_on is not None else train, cols, "scaled"), lr)
 
 
 def fit_multiclass(train: DataFrame, cols: Sequence[str], label: str = "label",
@@ -58,20 +63,26 @@ def fit_multiclass(train: DataFrame, cols: Sequence[str], label: str = "label",
 def fit_forest(train: DataFrame, cols: Sequence[str], label: str = "label", seed: int = 0,
                **params) -> PipelineModel:
     """L2: random forest (20 trees, depth 5 by default), seeded."""
-    return _fit(train, cols, RandomForestClassifier(featuresCol="scaled", labelCol=label,
-                                                    seed=seed, **params))
+    forest = RandomForestClassifier(featuresCol="assembled", labelCol=label, seed=seed, **params)
+    return _fit(train, _assembled(train, cols), forest)
 
 
 def fit_gbt(train: DataFrame, cols: Sequence[str], label: str = "label", seed: int = 0,
             **params) -> PipelineModel:
     """L3: gradient-boosted trees, binary labels only, seeded."""
-    return _fit(train, cols, GBTClassifier(featuresCol="scaled", labelCol=label, seed=seed, **params))
+    gbt = GBTClassifier(featuresCol="assembled", labelCol=label, seed=seed, **params)
+    return _fit(train, _assembled(train, cols), gbt)
 
 
 # The reference's tuning grid.
 GBT_GRID = {"maxDepth": [2, 4, 8], "maxBins": [24, 32, 48], "stepSize": [0.01, 0.1]}
 
 
+def fold_of(id_cols: Sequence[str], folds: int, seed: int):
+    """The fold of a row: equal for all copies of a key."""
+    return (uniform(id_cols, f"fold{seed}") * folds).cast("int")
+
+
 def tune_gbt(train: DataFrame, cols: Sequence[str], label: str = "label",
              id_cols: Sequence[str] = (), grid: dict | None = None, folds: int = 5,
              seed: int = 0, parallelism: int = 2, **params):
@@ -82,17 +93,17 @@ def tune_gbt(train: DataFrame, cols: Sequence[str], label: str = "label",
     reference cuts folds from upsampled rows. Returns the ``CrossValidatorModel``.
     """
     grid = grid or GBT_GRID
-    gbt = GBTClassifier(featuresCol="scaled", labelCol=label, seed=seed, **params)
+    gbt = GBTClassifier(featuresCol="assembled", labelCol=label, seed=seed, **params)
     builder = ParamGridBuilder()
     for name, values in grid.items():
         builder = builder.addGrid(gbt.getParam(name), list(values))
     cv = CrossValidator(estimator=gbt, estimatorParamMaps=builder.build(),
                         evaluator=BinaryClassificationEvaluator(labelCol=label),
                         numFolds=folds, seed=seed, parallelism=parallelism)
-    prep = scaler_pipeline(cols, "scaled").fit(train)
-    data = prep.transform(train)
+    prep = _assembled(train, cols)
+    data = prep.transform(train).select("assembled", label, *id_cols)
     if id_cols:
-        data = data.withColumn("_fold", (uniform(id_cols, f"fold{seed}") * folds).cast("int"))
+        data = data.withColumn("_fold", fold_of(id_cols, folds, seed))
         cv.setFoldCol("_fold")
     with _persisted(data):
         cv_model = cv.fit(data)
@@ -113,20 +124,19 @@ def fit_als(train: DataFrame, user: str, item: str, rating: str, seed: int = 0,
 def score_pairs(model: ALSModel, pairs: DataFrame, cold: str = "nan") -> DataFrame:
     """R2: predicted preference for known pairs; ``cold='drop'`` removes pairs
     whose user or item was not in training (NaN otherwise)."""
-    model.setColdStartStrategy(cold)
-    return model.transform(pairs)
+    return model.copy().setColdStartStrategy(cold).transform(pairs)
 
 
-def recommend_top_k(model: ALSModel, k: int, out: str = "items") -> DataFrame:
+def recommend_top_k(model: ALSModel, k: int, out: str = "items", users: DataFrame | None = None) -> DataFrame:
     """The ``k`` best items per training user as an id list (rating desc,
-    ties by item id).
+    ties by item id); with ``users`` only for the users in that frame.
 
     Exact top-k by dot product scores every (user, item) pair; MLlib does it
     block-wise (a join of user-factor blocks with item-factor blocks that keeps
     only a bounded top-k queue per user and block), so no pair list is ever
     materialised. It is the one nested-loop join in the library.
     """
-    recs = model.recommendForAllUsers(k)
+    recs = model.recommendForAllUsers(k) if users is None else model.recommendForUserSubset(users, k)
     user_col = model.getUserCol()
     item_col = model.getItemCol()
     return recs.select(user_col, top_k_by_score("recommendations", k, item=item_col,

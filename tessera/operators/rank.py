@@ -13,6 +13,9 @@ bounded work per task.
   window over each group's buckets, and added to a row number local to the
   bucket.
 
+* ``hash_cuts`` — per group, the hash key of its n-th row, from counts of hash
+  prefixes and a row number inside one prefix only; a split needs no more.
+
 * ``running_total`` — global prefix sums in any order: range-partition by the
   order, pin the partitioning with a reliable checkpoint (range bounds are
   sampled, so a recomputation could move rows), sum inside each partition,
@@ -71,12 +74,41 @@ def numbered_by_hash(df: DataFrame, by: Sequence[str], key: str, out: str = "row
     before = Window.partitionBy(*by).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(*by, "_b", F.coalesce(F.sum("_bc").over(before), F.lit(0)).alias("_off"))
     joined = _null_safe_join(local, offsets, [*by, "_b"])
-    cols = [F.col(c) for c in df.columns] + [(F.col("_off") + F.col("_lr")).cast("int").alias(out)]
+    cols = [F.col(c) for c in df.columns] + [(F.col("_off") + F.col("_lr")).cast("bigint").alias(out)]
     if size_out:
         cols.append(F.col("_n").alias(size_out))
     return joined.select(*cols)
 
 
+# Leading hex digits of a key that are counted to find a cut.
+CUT_PREFIX = 3
+
+
+def hash_cuts(df: DataFrame, by: Sequence[str], key: str, take, tie: Sequence[str] = (),
+              out: str = "cut") -> DataFrame:
+    """``(by..., out)``: the struct ``(key, tie...)`` of the row numbered ``take``
+    in each group's (key, tie) order; no row where that number is below 1.
+
+    ``take`` maps the group size (a Column) to a row number. Rows are counted
+    per group and hash prefix (partial aggregation, at most 16^CUT_PREFIX rows
+    per group); only the rows of the prefix that holds the wanted one, 1/4096 of
+    a large group, are ranked.
+    """
+    by = list(by)
+    prefix = F.substring(F.col(key), 1, CUT_PREFIX)
+    counts = df.groupBy(*by, prefix.alias("_p")).agg(F.count(F.lit(1)).alias("_c"))
+    group = Window.partitionBy(*by)
+    sums = (counts.withColumn("_upto", F.sum("_c").over(group.orderBy("_p")))
+            .withColumn("_need", take(F.sum("_c").over(group)).cast("bigint")))
+    need, upto = F.col("_need"), F.col("_upto")
+    at = (sums.where((need >= 1) & (upto >= need) & (upto - F.col("_c") < need))
+          .select(*by, "_p", (need - upto + F.col("_c")).alias("_r")))
+    inside = _null_safe_join(df.select(*dict.fromkeys([*by, key, *tie]), prefix.alias("_p")), at, [*by, "_p"])
+    row = F.row_number().over(group.orderBy(F.col(key), *[F.col(t) for t in tie]))
+    return (inside.withColumn("_row", row).where(F.col("_row") == F.col("_r"))
+            .select(*by, F.struct(key, *tie).alias(out)))
+
+
 def running_total(df: DataFrame, order: Sequence[Column], values: Mapping[str, Column],
                   partitions: int | None = None) -> DataFrame:
     """Append inclusive prefix sums ``values`` in the global ``order``.

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.columns import hash_key, uniform, uniform_at
-from tessera.operators.rank import TARGET_BUCKET_ROWS, numbered_by_hash
+from tessera.operators.rank import TARGET_BUCKET_ROWS, hash_cuts, numbered_by_hash
 
 
 def numbered(df: DataFrame, by: Sequence[str], id_cols: Sequence[str], seed: int = 0,
@@ -26,21 +26,31 @@ def numbered(df: DataFrame, by: Sequence[str], id_cols: Sequence[str], seed: int
     buckets (see ``rank.numbered_by_hash``), so no task sorts a whole group.
     """
     keyed = df.withColumn("_h", hash_key(id_cols, seed))
-    return numbered_by_hash(keyed, by, "_h", out, size_out, target_rows).drop("_h")
+    return numbered_by_hash(keyed, by, "_h", out, size_out, target_rows, tie=id_cols).drop("_h")
+
+
+def _taken(df: DataFrame, cuts: DataFrame, by: Sequence[str], key: str, tie: Sequence[str], out: str) -> DataFrame:
+    """Add ``out``: whether the row comes no later than its group's cut; null without a cut."""
+    named = cuts.select(*[F.col(c).alias(f"_by{i}") for i, c in enumerate(by)], F.col("cut").alias("_cut"))
+    same = [F.col(c).eqNullSafe(F.col(f"_by{i}")) for i, c in enumerate(by)]
+    return (df.join(named, same, "left").withColumn(out, F.struct(key, *tie) <= F.col("_cut"))
+            .drop("_cut", *[f"_by{i}" for i in range(len(by))]))
 
 
 def stratified_split(df: DataFrame, label: str, id_cols: Sequence[str], frac: float = 0.8,
-                     seed: int = 0, out: str = "split",
-                     target_rows: int = TARGET_BUCKET_ROWS) -> DataFrame:
+                     seed: int = 0, out: str = "split") -> DataFrame:
     """M1: exact per-label split: rows with ``row < n * frac`` are ``train``.
 
-    ``n`` is the label's row count and ``row`` a random-order row number, so
-    each label keeps its share (strict ``<``, as in the reference: when
-    ``n * frac`` is whole, train gets one row fewer). One pass, no anti-join.
+    ``n`` is the label's row count and ``row`` the number in random (hash)
+    order, ties by ``id_cols``, so each label keeps its share (strict ``<``, as
+    in the reference: when ``n * frac`` is whole, train gets one row fewer).
+    Only the hash of each label's last training row is looked for; every row
+    then compares its own with it (``rank.hash_cuts``).
     """
-    ranked = numbered(df, [label], id_cols, seed, out="_row", size_out="_n", target_rows=target_rows)
-    split = F.when(F.col("_row") < F.col("_n") * F.lit(float(frac)), "train").otherwise("test")
-    return ranked.withColumn(out, split).drop("_row", "_n")
+    keyed = df.withColumn("_h", hash_key(id_cols, seed))
+    cuts = hash_cuts(keyed, [label], "_h", lambda n: F.ceil(n * F.lit(float(frac))) - 1, id_cols)
+    marked = _taken(keyed, cuts, [label], "_h", id_cols, "_train")
+    return marked.withColumn(out, F.when(F.col("_train"), "train").otherwise("test")).drop("_h", "_train")
 
 
 def random_split(df: DataFrame, id_cols: Sequence[str], weights: Sequence[float], seed: int = 0,
@@ -88,23 +98,22 @@ def upsample(df: DataFrame, label: str, minority, majority, n: int, p: float,
 
 def repair_coverage(df: DataFrame, user: str, item: str, split: str = "split",
                     frac: float = 0.7, seed: int = 0, min_moved: int = 0,
-                    train: str = "train", test: str = "test",
-                    target_rows: int = TARGET_BUCKET_ROWS) -> DataFrame:
+                    train: str = "train", test: str = "test") -> DataFrame:
     """M5: move test rows of users absent from training into training.
 
     Per uncovered user with ``v`` test rows, the rows with random-order
     ``row < v * frac`` (or ``row <= min_moved``) switch to ``train``; the rest
-    stay in test. The reference loops one filter per user; here it is one
-    anti-join plus a bucketed row number, and only uncovered users' rows are
-    ranked. ``(user, item)`` must be unique.
+    stay in test. The reference loops one filter per user; here one aggregate
+    finds the uncovered users, and a cut key per such user tells which of its
+    rows move. ``(user, item)`` must be unique.
     """
-    train_users = df.where(F.col(split) == train).select(user).distinct()
-    is_test = F.col(split) == test
-    unc = df.where(is_test).join(train_users, user, "left_anti")
-    cov_test = df.where(is_test).join(train_users, user, "left_semi")
-    ranked = numbered(unc, [user], [user, item], seed, out="_row", size_out="_n", target_rows=target_rows)
-    moved = (F.col("_row") < F.col("_n") * F.lit(float(frac))) | (F.col("_row") <= F.lit(min_moved))
-    repaired = ranked.withColumn(split, F.when(moved, train).otherwise(test)).drop("_row", "_n")
-    return (df.where(~is_test | F.col(split).isNull())
-            .unionByName(cov_test)
-            .unionByName(repaired.select(*df.columns)))
+    in_train, in_test = F.col(split) == train, F.col(split) == test
+    users = (df.groupBy(user).agg(F.max(F.when(in_train, 1)).alias("_tr"), F.max(F.when(in_test, 1)).alias("_te"))
+             .where(F.col("_tr").isNull() & F.col("_te").isNotNull() & F.col(user).isNotNull()).select(user))
+    keyed = df.withColumn("_h", hash_key([user, item], seed))
+    rows = keyed.where(in_test).select(user, item, "_h").join(users, user, "left_semi")
+    cuts = hash_cuts(rows, [user], "_h",
+                     lambda v: F.greatest(F.ceil(v * F.lit(float(frac))) - 1, F.least(F.lit(min_moved), v)), [item])
+    moved = _taken(keyed, cuts, [user], "_h", [item], "_moved")
+    return (moved.withColumn(split, F.when(in_test & F.col("_moved"), train).otherwise(F.col(split)))
+            .select(*df.columns))

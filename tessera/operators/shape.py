@@ -30,14 +30,11 @@ def strip_quotes(df: DataFrame, col: str, quote: str = '"') -> DataFrame:
     return df.withColumn(col, unquote(col, quote))
 
 
-def drop_columns(df: DataFrame, names: Iterable[str]) -> DataFrame:
-    """P5: drop by name (ordinal positions are fragile under schema changes)."""
-    return df.drop(*list(names))
-
-
-def columns_with_prefix(df: DataFrame, prefix: str) -> list[str]:
-    """Column names starting with ``prefix``, in schema order."""
-    return [c for c in df.columns if c.startswith(prefix)]
+def select_prefixed(df: DataFrame, prefix: str, drop: Iterable[str] = ()) -> DataFrame:
+    """The columns starting with ``prefix``, in schema order, but for
+    those in ``drop`` (by name, as positions are fragile under schema changes)."""
+    gone = set(drop)
+    return df.select(*[c for c in df.columns if c.startswith(prefix) and c not in gone])
 
 
 def keep_above(df: DataFrame, col: str, n) -> DataFrame:
@@ -46,7 +43,8 @@ def keep_above(df: DataFrame, col: str, n) -> DataFrame:
 
 
 def lookup(df: DataFrame, key_col: str, value) -> DataFrame:
-    """Point lookup; pushed to the scan as an equality filter."""
+    """Point lookup. On a stored column the equality is pushed to the scan;
+    on a computed one it is a filter above whatever computes it."""
     return df.where(F.col(key_col) == F.lit(value))
 
 

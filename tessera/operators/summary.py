@@ -13,10 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.columns import safe_ratio
-
-# Above this many columns the pairwise F.corr form (O(n^2) expressions in one
-# aggregate) gives way to MLlib's Correlation on an assembled vector.
-MAX_PAIRWISE_CORR_COLUMNS = 100
+from tessera.operators.rank import dense_index, running_total
 
 
 def row_counts(frames: Mapping[str, DataFrame]) -> DataFrame:
@@ -30,10 +27,10 @@ def row_counts(frames: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def class_balance(df: DataFrame, label: str) -> DataFrame:
-    """A2: ``(label, count, ratio)``; the total comes from a window over the
-    per-label counts (one row per class), so the input is scanned once."""
+    """A2: ``(label, count, ratio)``; the total is a one-row aggregate of the
+    same frame, joined as a scalar, so no task sees all groups."""
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("count"))
-    total = F.sum("count").over(Window.partitionBy())
+    total = df.select(F.count(F.lit(1))).scalar()
     return counts.select(label, "count", (F.col("count") / total).alias("ratio"))
 
 
@@ -71,9 +68,10 @@ def distinct_counts(df: DataFrame, cols: Sequence[str], approx: bool = False,
     return df.agg(*[F.countDistinct(c).alias(c) for c in cols])
 
 
-def values_per_group(df: DataFrame, by: str, col: str, out: str = "values") -> DataFrame:
-    """Sorted set of ``col`` values per group (bounded by distinct values)."""
-    return df.groupBy(by).agg(F.array_sort(F.collect_set(col)).alias(out))
+def values_per_group(df: DataFrame, by: str, col: str) -> DataFrame:
+    """The distinct non-null ``col`` values of each group, one row each, so
+    that a group of any number of values fits."""
+    return df.where(F.col(col).isNotNull()).select(by, col).distinct()
 
 
 def top_k_per_group(df: DataFrame, by: str | Sequence[str], order: Sequence[Column], k: int,
@@ -91,19 +89,22 @@ def top_k_per_group(df: DataFrame, by: str | Sequence[str], order: Sequence[Colu
     return out if rank_col else out.drop(name)
 
 
-def item_lists(df: DataFrame, user: str, item: str, weight: str, k: int,
-               out: str = "items") -> DataFrame:
-    """Each user's items, heaviest first (ties by item), at most ``k``.
+def ranked_items(df: DataFrame, user: str, item: str, weight: str, k: int | None = None,
+                 position: str = "position") -> DataFrame:
+    """Each user's items, heaviest first (ties by item), as rows
+    ``(user, position, item)`` with positions from 1; ``k=None`` is the whole list.
 
-    The top-k cut runs before the grouping, so no list grows with a hot
-    user's row count.
+    No list is ever one row. With ``k`` the cut runs before the shuffle (O7).
+    Whole lists are numbered globally in (user, weight, item) order by
+    distributed prefix sums, and a user's first number is taken off.
     """
-    top = top_k_per_group(df, user, [F.col(weight).desc(), F.col(item)], k)
-    lists = top.groupBy(user).agg(F.collect_list(F.struct(F.col(weight).alias("w"),
-                                                          F.col(item).alias("i"))).alias("_l"))
-    ordered = F.array_sort("_l", lambda a, b: F.when(a["w"] > b["w"], -1).when(a["w"] < b["w"], 1)
-                           .when(a["i"] < b["i"], -1).when(a["i"] > b["i"], 1).otherwise(0))
-    return lists.select(user, F.transform(ordered, lambda z: z["i"]).alias(out))
+    if k is not None:
+        top = top_k_per_group(df, user, [F.col(weight).desc(), F.col(item)], k, rank_col=position)
+        return top.select(user, F.col(position).cast("bigint").alias(position), item)
+    placed = dense_index(df.select(user, item, weight), [F.col(user).asc(), F.col(weight).desc(), F.col(item).asc()], "_at")
+    first = placed.groupBy(F.col(user).alias("_user")).agg(F.min("_at").alias("_first"))
+    return (placed.join(first, F.col(user).eqNullSafe(F.col("_user")))
+            .select(user, (F.col("_at") - F.col("_first") + 1).alias(position), item))
 
 
 def describe_long(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -124,61 +125,65 @@ def describe_long(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def quantile_value(df: DataFrame, col: str, p: float, rel_err: float = 0.0) -> Column:
-    """A scalar-subquery Column holding one quantile of ``col``.
-
-    ``rel_err=0`` is exact: ``percentile_disc`` (the smallest value whose
-    cumulative share reaches ``p``; equal to ``approxQuantile(..., 0)``). Its
-    buffer keeps one counter per distinct value and is combined map-side, so
-    it suits integer-valued profiles such as counts. ``rel_err>0`` uses the
-    bounded Greenwald-Khanna sketch of ``percentile_approx``.
-    """
-    return df.select(_quantile_expr(col, p, rel_err).alias("q")).scalar()
-
-
-def _quantile_expr(col: str, p: float, rel_err: float) -> Column:
-    if rel_err <= 0:
-        return F.expr(f"percentile_disc({float(p)!r}) WITHIN GROUP (ORDER BY `{col}`)").cast("double")
-    accuracy = max(1, int(round(1.0 / rel_err)))
-    return F.percentile_approx(col, float(p), accuracy).cast("double")
+    """A scalar-subquery Column holding one quantile of ``col`` (see ``quantiles``)."""
+    return quantiles(df, [col], [p], rel_err).select("value").scalar()
 
 
 def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
               rel_err: float = 0.0) -> DataFrame:
-    """``(column, probability, value)`` for every column and probability,
-    all in one aggregate."""
-    aggs, names = [], []
-    for i, c in enumerate(cols):
-        for j, p in enumerate(probs):
-            name = f"q_{i}_{j}"
-            aggs.append(_quantile_expr(c, p, rel_err).alias(name))
-            names.append((c, float(p), name))
-    wide = df.agg(*aggs)
-    body = ", ".join(f"'{c}', CAST({p!r} AS DOUBLE), {n}" for c, p, n in names)
+    """``(column, probability, value)`` for every column and probability.
+
+    ``rel_err=0`` is exact: the smallest value whose cumulative share reaches
+    ``p`` (equal to ``approxQuantile(..., 0)``); a column without values gives
+    nulls. Values are counted per (column, value), the counts are summed up in
+    value order by distributed prefix sums, and each probability takes the first
+    value that reaches it, so that a column of distinct doubles is never in one
+    task. ``rel_err>0`` uses the bounded Greenwald-Khanna sketch of
+    ``percentile_approx``. Nulls are left out.
+    """
+    names = [(c, float(p)) for c in cols for p in probs]
+    if rel_err > 0:
+        accuracy = max(1, int(round(1.0 / rel_err)))
+        wide = df.agg(*[F.percentile_approx(c, p, accuracy).cast("double").alias(f"q{k}") for k, (c, p) in enumerate(names)])
+    else:
+        long = df.select(F.explode(F.array(*[F.struct(F.lit(i).alias("c"), F.col(c).cast("double").alias("v"))
+                                             for i, c in enumerate(cols)])).alias("x")).select("x.c", "x.v")
+        counts = long.where(F.col("v").isNotNull()).groupBy("c", "v").agg(F.count(F.lit(1)).alias("n"))
+        upto = running_total(counts, [F.col("c").asc(), F.col("v").asc()], {"cum": F.col("n")})
+        # One row of bounds per column of the call.
+        bounds = F.broadcast(upto.groupBy("c").agg((F.max("cum") - F.sum("n")).alias("before"), F.sum("n").alias("total")))
+        share = (F.col("cum") - F.col("before")) / F.col("total")
+        at = upto.join(bounds, "c").select("c", "v", share.alias("share"))
+        place = {c: i for i, c in enumerate(cols)}
+        wide = at.agg(*[F.min(F.when((F.col("c") == place[c]) & (F.col("share") >= p), F.col("v"))).alias(f"q{k}")
+                        for k, (c, p) in enumerate(names)])
+    body = ", ".join(f"'{c}', CAST({p!r} AS DOUBLE), q{k}" for k, (c, p) in enumerate(names))
     return wide.selectExpr(f"stack({len(names)}, {body}) AS (column, probability, value)")
 
 
 def correlation_pairs(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """A10: Pearson ``r`` for every pair ``i < j`` as ``(i, j, col_i, col_j, r)``.
 
-    Up to ``MAX_PAIRWISE_CORR_COLUMNS`` columns: one aggregate of ``corr``
-    expressions (single scan, partial aggregation). Wider: MLlib
-    ``Correlation`` on an assembled vector; its matrix is columns x columns,
-    independent of row count.
+    A pair leaves out the rows in which one of its two columns is null, at any
+    number of columns. Each row hands its pairs of values to a hash aggregation
+    keyed by pair, combined in the task that reads the row, so the plan has the
+    same few expressions for eight columns and for thousands, and what is
+    shuffled is one row per pair and task. No rows give no pairs.
     """
     cols = list(cols)
-    if len(cols) <= MAX_PAIRWISE_CORR_COLUMNS:
-        pairs = [(i, j) for i in range(len(cols)) for j in range(i + 1, len(cols))]
-        wide = df.agg(*[F.corr(F.col(cols[i]).cast("double"), F.col(cols[j]).cast("double"))
-                        .alias(f"r_{i}_{j}") for i, j in pairs])
-        body = ", ".join(f"{i}, {j}, '{cols[i]}', '{cols[j]}', r_{i}_{j}" for i, j in pairs)
-        return wide.selectExpr(f"stack({len(pairs)}, {body}) AS (i, j, col_i, col_j, r)")
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.stat import Correlation
-    vec = VectorAssembler(inputCols=cols, outputCol="_v", handleInvalid="skip").transform(df)
-    matrix = Correlation.corr(vec.select("_v"), "_v", "pearson").head()[0].toArray()
-    rows = [(i, j, cols[i], cols[j], float(matrix[i, j]))
-            for i in range(len(cols)) for j in range(i + 1, len(cols))]
-    return df.sparkSession.createDataFrame(rows, "i int, j int, col_i string, col_j string, r double")
+    if len(cols) < 2:
+        return df.sparkSession.createDataFrame([], "i int, j int, col_i string, col_j string, r double")
+    values = df.select(F.array(*[F.col(c).cast("double") for c in cols]).alias("v"))
+    v, last = F.col("v"), F.lit(len(cols) - 1)
+
+    def with_later(i: Column) -> Column:
+        return F.transform(F.sequence(i + 1, last), lambda j: F.struct(
+            i.alias("i"), j.alias("j"), F.get(v, i).alias("x"), F.get(v, j).alias("y")))
+
+    pairs = F.flatten(F.transform(F.sequence(F.lit(0), last - 1), with_later))
+    r = values.select(F.inline(pairs)).groupBy("i", "j").agg(F.corr("x", "y").alias("r"))
+    names = F.array(*[F.lit(c) for c in cols])
+    return r.select("i", "j", F.get(names, F.col("i")).alias("col_i"), F.get(names, F.col("j")).alias("col_j"), "r")
 
 
 def correlated_pairs(df: DataFrame, cols: Sequence[str], threshold: float = 0.8,
@@ -214,6 +219,12 @@ def decorrelate(df: DataFrame, cols: Sequence[str], threshold: float = 0.8,
     return df.drop(*drop), list(drop)
 
 
+def kept_columns(df: DataFrame, cols: Sequence[str], threshold: float = 0.8, absolute: bool = False) -> DataFrame:
+    """A11 as rows: ``(column, kept)`` for every candidate column."""
+    _, dropped = decorrelate(df, cols, threshold, absolute)
+    return df.sparkSession.createDataFrame([(c, c not in dropped) for c in cols], "column string, kept boolean")
+
+
 def retention(before: DataFrame, after: DataFrame) -> DataFrame:
     """``(before, after, ratio)`` in one row; null ratio on an empty input."""
     n_after = after.select(F.count(F.lit(1))).scalar()

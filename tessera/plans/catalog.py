@@ -17,6 +17,7 @@ from tessera.operators.features import standardize, string_index_table
 from tessera.plans import frames as fr
 from tessera.plans import params as P
 from tessera.plans.sqlparts import h_sql, u_sql, with_ctes
+from tessera.session import scratch_path
 from tessera.sources import fixtures as fx
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -46,9 +47,9 @@ def _d(x: float) -> str:
 # Projections and filters
 # --------------------------------------------------------------------------
 
-@query("fixed_width", with_ctes("SELECT song_id, track_id FROM mis", "mis"))
+@query("fixed_width", with_ctes("SELECT song_id, track_id FROM line_ids", "line_ids"))
 def q_fixed_width(spark, d):
-    return fr.mismatches(spark, d)
+    return fr.line_ids(spark, d)
 
 
 @query("prefix_filter", with_ctes(
@@ -62,10 +63,20 @@ def q_strip_quotes(spark, d):
     return fr.features(spark, d)
 
 
+@query("select_prefixed", with_ctes(
+    "SELECT f_lines, f_quantity, f_revenue, f_discount, f_price, f_size FROM feat", "feat"))
+def q_select_prefixed(spark, d):
+    """The feature columns by their prefix, two of them dropped."""
+    return shape.select_prefixed(fr.features(spark, d), "f_", drop=["f_tax", "f_key"])
+
+
 @query("point_lookup", with_ctes(
     f"SELECT * FROM clean WHERE user_id = '{P.LOOKUP_USER}'", "clean"))
 def q_point_lookup(spark, d):
-    return shape.lookup(fr.clean_triplets(spark, d), "user_id", P.LOOKUP_USER)
+    """P9 on stored facts: the equality is a pushed filter of the scan."""
+    path = scratch_path(spark, "facts")
+    fr.clean_triplets(spark, d).write.parquet(path)
+    return shape.lookup(spark.read.parquet(path), "user_id", P.LOOKUP_USER)
 
 
 @query("binary_label", with_ctes("SELECT track_id, genre, label FROM binlab", "binlab"))
@@ -116,13 +127,7 @@ def q_reduce_facts(spark, d):
     "u.n_songs, u.total_plays AS user_total FROM reduced r "
     "JOIN sp s ON r.song_id = s.song_id JOIN ua u ON r.user_id = u.user_id", "reduced", "sp", "ua"))
 def q_reduce_facts_stats(spark, d):
-    facts = fr.pin(fr.clean_triplets(spark, d))
-    users = summary.profile_by(facts, "user_id", "play_count", "play_count", ("n_songs", "total_plays"))
-    items = summary.profile_by(facts, "song_id", "user_id", "play_count", ("n_users", "total_plays"))
-    min_items = summary.quantile_value(users, "n_songs", 0.5)
-    min_total = summary.quantile_value(items, "total_plays", 0.5)
-    out = match.reduce_facts(facts, "user_id", "song_id", "play_count", min_items, min_total,
-                             keep_stats=True)
+    out = fr.reduced(spark, d, keep_stats=True)
     return out.select("user_id", "song_id", "play_count", F.col("item_users").alias("n_users"),
                       "item_total", F.col("user_items").alias("n_songs"), "user_total")
 
@@ -148,9 +153,9 @@ def q_exclude_pairs(spark, d):
 
 
 @query("union_rows", with_ctes(
-    "SELECT song_id, track_id FROM mis UNION ALL SELECT song_id, track_id FROM acc", "mis", "acc"))
+    "SELECT song_id, track_id FROM line_ids UNION ALL SELECT song_id, track_id FROM acc", "line_ids", "acc"))
 def q_union_rows(spark, d):
-    return match.union_rows(fr.mismatches(spark, d), fr.accepted(spark, d))
+    return match.union_rows(fr.line_ids(spark, d), fr.accepted(spark, d))
 
 
 # --------------------------------------------------------------------------
@@ -204,20 +209,28 @@ def q_distinct_counts(spark, d):
 
 
 @query("weight_audit", with_ctes(
-    f"SELECT label, list_sort(list_distinct(list({_weights_sql()}))) AS weights FROM multi GROUP BY label",
-    "multi"))
+    f"SELECT DISTINCT label, {_weights_sql()} AS weight FROM multi", "multi"))
 def q_weight_audit(spark, d):
     w = shape.weight_by_label(fr.multiclass(spark, d), "label", P.WEIGHT_BUCKETS, P.WEIGHT_DEFAULT)
-    return summary.values_per_group(w, "label", "weight", "weights")
+    return summary.values_per_group(w, "label", "weight")
 
 
-@query("relevant_items", with_ctes(
-    "SELECT user_id, list(song_id ORDER BY play_count DESC, song_id) AS items FROM ("
-    "SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY play_count DESC, song_id) AS rn "
-    f"FROM repaired WHERE split = 'test') WHERE rn <= {P.ITEM_LIST_K} GROUP BY user_id", "repaired"))
+_ITEMS_SQL = ("SELECT user_id, row_number() OVER (PARTITION BY user_id ORDER BY play_count DESC, song_id) AS position, "
+              "song_id FROM repaired WHERE split = 'test'")
+
+
+@query("relevant_items", with_ctes(_ITEMS_SQL, "repaired"))
 def q_relevant_items(spark, d):
+    """The whole ranked list of every user, as rows."""
+    test = fr.repaired(spark, d).where(F.col("split") == "test")
+    return summary.ranked_items(test, "user_id", "song_id", "play_count")
+
+
+@query("item_list_lookup", with_ctes(f"SELECT * FROM ({_ITEMS_SQL}) WHERE user_id = '{P.LOOKUP_USER}'", "repaired"))
+def q_item_list_lookup(spark, d):
+    """P9 on the list output: one user's ranked items."""
     test = fr.repaired(spark, d).where(F.col("split") == "test")
-    return summary.item_lists(test, "user_id", "song_id", "play_count", P.ITEM_LIST_K)
+    return shape.lookup(summary.ranked_items(test, "user_id", "song_id", "play_count"), "user_id", P.LOOKUP_USER)
 
 
 def _describe_sql(src: str, cols: list[str]) -> str:
@@ -234,6 +247,12 @@ def q_describe(spark, d):
                       "min", "max")
 
 
+@query("describe_items", with_ctes(_describe_sql("sp", ["n_users", "total_plays"]), "sp"))
+def q_describe_items(spark, d):
+    out = summary.describe_long(fr.item_popularity(spark, d), ["n_users", "total_plays"])
+    return out.select("column", "count", r6("mean").alias("mean"), r6("stddev").alias("stddev"), "min", "max")
+
+
 @query("describe_features", with_ctes(_describe_sql("feat", list(fx.FEATURES)), "feat"))
 def q_describe_features(spark, d):
     out = summary.describe_long(fr.features(spark, d), list(fx.FEATURES))
@@ -289,6 +308,24 @@ def q_correlated_pairs(spark, d):
     return out.withColumn("r", r6("r")).where(F.col("r") > P.CORR_THRESHOLD)
 
 
+def _decorrelate_sql() -> str:
+    """The greedy rule over columns in order: a column is kept unless a kept
+    earlier one correlates with it."""
+    cols = ", ".join(f"({i}, '{c}')" for i, c in enumerate(fx.FEATURES))
+    ctes = with_ctes("", "feat").rstrip().replace("WITH ", "WITH RECURSIVE ", 1)
+    return (f"{ctes}, pairs AS ({_corr_sql(f'WHERE r > {P.CORR_THRESHOLD}')}), "
+            f"cols(k, name) AS (VALUES {cols}), "
+            "walk(k, kept) AS (SELECT 0, CAST([] AS INTEGER[]) UNION ALL SELECT k + 1, CASE WHEN EXISTS "
+            "(SELECT 1 FROM pairs p WHERE p.j = walk.k AND list_contains(walk.kept, p.i)) THEN kept "
+            f"ELSE list_append(kept, k) END FROM walk WHERE k < {len(fx.FEATURES)}) "
+            "SELECT name AS column, list_contains((SELECT kept FROM walk ORDER BY k DESC LIMIT 1), k) AS kept FROM cols")
+
+
+@query("decorrelate", _decorrelate_sql())
+def q_decorrelate(spark, d):
+    return summary.kept_columns(fr.features(spark, d), list(fx.FEATURES), P.CORR_THRESHOLD)
+
+
 @query("retention", with_ctes(
     "SELECT (SELECT count(*) FROM clean) AS before, (SELECT count(*) FROM reduced) AS after, "
     "round((SELECT count(*) FROM reduced) / (SELECT count(*) FROM clean), 6) AS ratio",
@@ -332,12 +369,12 @@ def q_top_k_per_group(spark, d):
     "SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY play_count DESC, song_id) AS rn "
     f"FROM repaired WHERE split = 'train') WHERE rn <= {P.RECOMMEND_K} GROUP BY user_id", "repaired"))
 def q_top_k_items(spark, d):
-    """O5 on score lists: each user's training items as (item, rating)
-    structs (at most ``ITEM_LIST_K`` per user), reduced to the best ``k``."""
+    """O5 on score lists: each user's best ``k`` training items as (item, rating)
+    structs, cut to ``k`` before they are grouped, and ordered."""
     from tessera.functions.columns import top_k_by_score
     train = fr.repaired(spark, d).where(F.col("split") == "train")
     top = summary.top_k_per_group(train, "user_id", [F.col("play_count").desc(), F.col("song_id")],
-                                  P.ITEM_LIST_K)
+                                  P.RECOMMEND_K)
     lists = top.groupBy("user_id").agg(F.collect_list(F.struct(
         F.col("song_id").alias("item"), F.col("play_count").cast("float").alias("rating"))).alias("recs"))
     return lists.select("user_id", top_k_by_score("recs", P.RECOMMEND_K).alias("items"))
@@ -358,35 +395,66 @@ def q_stratified_balance(spark, d):
     return fr.stratified(spark, d).groupBy("split", "label").agg(F.count(F.lit(1)).alias("count"))
 
 
+def _balance_sql(src: str) -> str:
+    return (f"SELECT label, count(*) AS count, round(count(*) / sum(count(*)) OVER (), 6) AS ratio FROM ({src}) GROUP BY label")
+
+
+def _balance(df: DataFrame) -> DataFrame:
+    return summary.class_balance(df, "label").withColumn("ratio", r6("ratio"))
+
+
+@query("balance_train", with_ctes(_balance_sql("SELECT label FROM strat WHERE split = 'train'"), "strat"))
+def q_balance_train(spark, d):
+    return _balance(fr.pin(fr.stratified(spark, d)).where(F.col("split") == "train"))
+
+
+@query("balance_test", with_ctes(_balance_sql("SELECT label FROM strat WHERE split = 'test'"), "strat"))
+def q_balance_test(spark, d):
+    return _balance(fr.pin(fr.stratified(spark, d)).where(F.col("split") == "test"))
+
+
 @query("random_split", with_ctes("SELECT * FROM splitted", "splitted"))
 def q_random_split(spark, d):
     return fr.splitted(spark, d)
 
 
-@query("downsample", with_ctes(
-    "SELECT track_id, label FROM strat WHERE split = 'train' AND "
-    f"(label <> 0 OR (label = 0 AND {u_sql(['track_id'], P.SAMPLE_SEED)} < {_d(P.DOWNSAMPLE_RATE)}))",
-    "strat"))
+_DOWN_SQL = ("SELECT track_id, label FROM strat WHERE split = 'train' AND (label <> 0 OR (label = 0 AND "
+             f"{u_sql(['track_id'], P.SAMPLE_SEED)} < {_d(P.DOWNSAMPLE_RATE)}))")
+_UP_SQL = ("SELECT track_id, label FROM strat WHERE split = 'train' AND label = 0 UNION ALL "
+           f"SELECT s.track_id, s.label FROM strat s, range(1, {P.UPSAMPLE_N + 1}) r(i) WHERE s.split = 'train' "
+           f"AND s.label = 1 AND {u_sql(['track_id', 'i'], P.SAMPLE_SEED)} > {_d(P.UPSAMPLE_P)}")
+
+
+def _train(spark, d) -> DataFrame:
+    return fr.stratified(spark, d).where(F.col("split") == "train")
+
+
+def _downsampled(train: DataFrame) -> DataFrame:
+    return sample.downsample(train, "label", 0, P.DOWNSAMPLE_RATE, ["track_id"], P.SAMPLE_SEED)
+
+
+def _upsampled(train: DataFrame) -> DataFrame:
+    return sample.upsample(train, "label", 1, 0, P.UPSAMPLE_N, P.UPSAMPLE_P, ["track_id"], P.SAMPLE_SEED)
+
+
+@query("downsample", with_ctes(_DOWN_SQL, "strat"))
 def q_downsample(spark, d):
-    train = fr.stratified(spark, d).where(F.col("split") == "train")
-    return sample.downsample(train, "label", 0, P.DOWNSAMPLE_RATE, ["track_id"],
-                             P.SAMPLE_SEED).select("track_id", "label")
+    return _downsampled(_train(spark, d)).select("track_id", "label")
 
 
-def _upsample_sql() -> str:
-    draw = ("(('0x' || substr(md5(concat_ws(':', CAST(track_id AS VARCHAR), "
-            f"'{P.SAMPLE_SEED}', CAST(i AS VARCHAR))), 1, 8))::BIGINT / 4294967296.0)")
-    return with_ctes(
-        "SELECT track_id, label FROM strat WHERE split = 'train' AND label = 0 UNION ALL "
-        f"SELECT s.track_id, s.label FROM strat s, range(1, {P.UPSAMPLE_N + 1}) r(i) "
-        f"WHERE s.split = 'train' AND s.label = 1 AND {draw} > {_d(P.UPSAMPLE_P)}", "strat")
+@query("balance_downsampled", with_ctes(_balance_sql(_DOWN_SQL), "strat"))
+def q_balance_downsampled(spark, d):
+    return _balance(fr.pin(_downsampled(_train(spark, d)).select("label")))
 
 
-@query("upsample", _upsample_sql())
+@query("upsample", with_ctes(_UP_SQL, "strat"))
 def q_upsample(spark, d):
-    train = fr.stratified(spark, d).where(F.col("split") == "train")
-    return sample.upsample(train, "label", 1, 0, P.UPSAMPLE_N, P.UPSAMPLE_P, ["track_id"],
-                           P.SAMPLE_SEED).select("track_id", "label")
+    return _upsampled(_train(spark, d)).select("track_id", "label")
+
+
+@query("balance_upsampled", with_ctes(_balance_sql(_UP_SQL), "strat"))
+def q_balance_upsampled(spark, d):
+    return _balance(fr.pin(_upsampled(_train(spark, d)).select("label")))
 
 
 @query("repair_coverage", with_ctes("SELECT * FROM repaired", "repaired"))
@@ -416,7 +484,7 @@ def _standardize_sql() -> str:
 
 @query("standardize", _standardize_sql())
 def q_standardize(spark, d):
-    feats = fr.features(spark, d)
+    feats = fr.pin(fr.features(spark, d))  # read for the statistics and for the rows
     out = standardize(feats, list(fx.FEATURES))
     return out.select("track_id", *[r6(c).alias(c) for c in fx.FEATURES])
 
@@ -479,12 +547,14 @@ def q_threshold_sweep(spark, d):
 
 
 @query("auroc", with_ctes(
-    "SELECT round(sum(pos * (cneg - neg + 0.5 * neg)) / (sum(pos) * sum(neg)), 6) AS auroc FROM ("
+    "SELECT round(sum(pos * (cneg - neg + 0.5 * neg)) / (sum(pos) * sum(neg)), 6) AS auroc, "
+    "CAST(sum(pos) AS BIGINT) AS positive, CAST(sum(neg) AS BIGINT) AS negative, "
+    "(SELECT count(*) FROM scored WHERE score IS NULL OR label IS NULL OR label NOT IN (0, 1)) AS left_out FROM ("
     "SELECT score, pos, neg, sum(neg) OVER (ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) "
     "AS cneg FROM (SELECT score, count(*) FILTER (WHERE label = 1) AS pos, "
     "count(*) FILTER (WHERE label = 0) AS neg FROM scored GROUP BY score))", "scored"))
 def q_auroc(spark, d):
-    return evaluate.auroc(fr.scored(spark, d), "label", "score").select(r6("auroc").alias("auroc"))
+    return evaluate.auroc(fr.scored(spark, d), "label", "score").withColumn("auroc", r6("auroc"))
 
 
 @query("per_class_report", with_ctes(

@@ -5,8 +5,8 @@ clean -> profile -> reduce -> split -> repair (recommendation), and
 features -> labels -> split -> resample (classification).
 
 Frames that later steps read several times are pinned with a reliable
-checkpoint (``pin``): the clean facts feed the reduction five times (facts,
-two profiles, two median subqueries), the split feeds four branches of the
+checkpoint (``pin``): the clean facts feed the reduction three times (facts,
+two profiles), each profile its median and the reduction, the split feeds four branches of the
 repair, and the repaired split feeds train, test and list branches.
 Recomputing a join-and-aggregate chain per consumer costs far more at scale
 than writing its result once to the shared checkpoint folder. Nothing is
@@ -33,9 +33,18 @@ def pin(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+MISMATCH_FIELDS = {"song_id": (9, 18), "track_id": (27, 19)}
+
+
+def line_ids(spark: SparkSession, d: str) -> DataFrame:
+    """The ids on every line, errors or not."""
+    return shape.extract_fixed(fx.mismatch_lines(spark, d), "value", MISMATCH_FIELDS)
+
+
 def mismatches(spark: SparkSession, d: str) -> DataFrame:
-    return shape.extract_fixed(fx.mismatch_lines(spark, d), "value",
-                               {"song_id": (9, 18), "track_id": (27, 19)})
+    """The exclusion list: the ids on the error lines."""
+    lines = shape.keep_prefix(fx.mismatch_lines(spark, d), "value", "ERROR: ")
+    return shape.extract_fixed(lines, "value", MISMATCH_FIELDS)
 
 
 def accepted(spark: SparkSession, d: str) -> DataFrame:
@@ -61,14 +70,16 @@ def item_popularity(spark: SparkSession, d: str) -> DataFrame:
                               ("n_users", "total_plays"))
 
 
-def reduced(spark: SparkSession, d: str, facts: DataFrame | None = None) -> DataFrame:
-    """Facts of popular items and active users, thresholds = exact medians."""
+def reduced(spark: SparkSession, d: str, facts: DataFrame | None = None, keep_stats: bool = False) -> DataFrame:
+    """Facts of popular items and active users, thresholds = exact medians.
+    Each profile is built once, for its median and for the reduction."""
     facts = facts if facts is not None else pin(clean_triplets(spark, d))
-    users = summary.profile_by(facts, "user_id", "play_count", "play_count", ("n_songs", "total_plays"))
-    items = summary.profile_by(facts, "song_id", "user_id", "play_count", ("n_users", "total_plays"))
-    min_items = summary.quantile_value(users, "n_songs", 0.5)
-    min_total = summary.quantile_value(items, "total_plays", 0.5)
-    return match.reduce_facts(facts, "user_id", "song_id", "play_count", min_items, min_total)
+    users = pin(match.user_profile(facts, "user_id", "play_count"))
+    items = pin(match.item_profile(facts, "user_id", "song_id", "play_count"))
+    min_items = summary.quantile_value(users, "user_items", 0.5)
+    min_total = summary.quantile_value(items, "item_total", 0.5)
+    return match.reduce_facts(facts, "user_id", "song_id", "play_count", min_items, min_total,
+                              keep_stats=keep_stats, users=users, items=items)
 
 
 def splitted(spark: SparkSession, d: str) -> DataFrame:

@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
-from tessera.operators import shape
+from tessera.operators import shape, summary
 from tessera.plans import frames as fr
 from tessera.plans.catalog import query
 from tessera.plans.sqlparts import with_ctes
@@ -50,16 +50,40 @@ def q_catalog_read(spark, d):
     return files.read_with_catalog(spark, catalog, data)
 
 
-@query("read_lines", with_ctes("SELECT song_id, track_id FROM mis", "mis"))
+@query("read_lines", with_ctes("SELECT song_id, track_id FROM line_ids", "line_ids"))
 def q_read_lines(spark, d):
     path = scratch_path(spark, "mismatch-lines")
     fx.mismatch_lines(spark, d).write.text(path)
-    return shape.extract_fixed(files.read_lines(spark, path), "value",
-                               {"song_id": (9, 18), "track_id": (27, 19)})
+    return shape.extract_fixed(files.read_lines(spark, path), "value", fr.MISMATCH_FIELDS)
+
+
+@query("read_gzip_glob", with_ctes("SELECT user_id, song_id, play_count FROM clean", "clean"))
+def q_read_gzip_glob(spark, d):
+    """Gzip parts named by a glob, dealt anew after the read."""
+    path = scratch_path(spark, "triplets-gz")
+    fr.clean_triplets(spark, d).write.option("sep", "\t").option("compression", "gzip").csv(path)
+    return files.read_delimited(spark, f"{path}/part-*.csv.gz", TRIPLET_SCHEMA, sep="\t",
+                                partitions=spark.sparkContext.defaultParallelism)
+
+
+@query("catalog_tokens", "SELECT unnest(['string', 'NUMERIC', 'real']) AS token")
+def q_catalog_tokens(spark, d):
+    """S3 + S5 + A15: distinct type tokens over one catalog file per feature of the table."""
+    base = scratch_path(spark, "catalogs")
+    types = {"string": "string", "double": "NUMERIC"}
+    rows = [(c, "real" if k % 2 == 0 and t == "double" else types[t])
+            for k, (c, t) in enumerate(fx.track_features(spark, d).dtypes)]
+    for k, row in enumerate(rows):
+        spark.createDataFrame([row], "name string, token string").coalesce(1).write.csv(f"{base}/attributes-{k}")
+    tokens = files.read_untyped(spark, f"{base}/attributes-*").select(F.col("_c1").alias("token"))
+    return summary.distinct_values(tokens, "token")
 
 
 @query("inventory")
 def q_inventory(spark, d):
-    paths = [f"{d.rstrip('/')}/{t}.parquet" for t in fx.TABLES]
-    return files.inventory(spark, paths, fmt="parquet").select(
-        F.regexp_extract("path", r"([^/]+)\.parquet$", 1).alias("dataset"), "bytes", "rows")
+    return files.dataset_sizes(spark, {t: f"{d.rstrip('/')}/{t}.parquet" for t in fx.TABLES})
+
+
+@query("inventory_rows", " UNION ALL ".join(f"SELECT '{t}' AS dataset, count(*) AS rows FROM {t}" for t in fx.TABLES))
+def q_inventory_rows(spark, d):
+    return q_inventory(spark, d).select("dataset", "rows")

@@ -25,7 +25,6 @@ GENRE_POSITIVE = "Brand#1"
 HISTOGRAM_WIDTH = 100.0
 TOP_ROWS_N = 20
 TOP_PER_USER = 3
-ITEM_LIST_K = 10
 LOOKUP_USER = "U000000007"
 # Share of users held out entirely (cold users), so coverage repair has work.
 COLD_USER_FRAC = 0.1

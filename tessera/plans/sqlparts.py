@@ -18,14 +18,13 @@ from tessera.sources.fixtures import (
 
 def u_sql(key_cols: list[str], seed) -> str:
     """DuckDB twin of ``functions.uniform``."""
-    parts = ", ".join([f"CAST({c} AS VARCHAR)" for c in key_cols] + [f"'{seed}'"])
-    return f"(('0x' || substr(md5(concat_ws(':', {parts})), 1, 8))::BIGINT / 4294967296.0)"
+    return f"(('0x' || substr({h_sql(key_cols, seed)}, 1, 8))::BIGINT / 4294967296.0)"
 
 
 def h_sql(key_cols: list[str], seed) -> str:
     """DuckDB twin of ``functions.hash_key``."""
-    parts = ", ".join([f"CAST({c} AS VARCHAR)" for c in key_cols] + [f"'{seed}'"])
-    return f"md5(concat_ws(':', {parts}))"
+    parts = " || ".join(f"coalesce(length(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), 'n')" for c in key_cols)
+    return f"md5({parts} || '#{seed}')"
 
 
 def _d(x: float) -> str:
@@ -37,8 +36,11 @@ CTES: list[tuple[str, tuple[str, ...], str]] = [
     ("trip", (), TRIPLETS_SQL),
     ("mis_lines", (), MISMATCH_LINES_SQL),
     ("acc_lines", (), ACCEPTED_LINES_SQL),
-    ("mis", ("mis_lines",),
+    ("line_ids", ("mis_lines",),
      "SELECT trim(substr(value, 9, 18)) AS song_id, trim(substr(value, 27, 19)) AS track_id FROM mis_lines"),
+    ("mis", ("mis_lines",),
+     "SELECT trim(substr(value, 9, 18)) AS song_id, trim(substr(value, 27, 19)) AS track_id FROM mis_lines "
+     "WHERE starts_with(value, 'ERROR: ')"),
     ("acc", ("acc_lines",),
      "SELECT trim(substr(value, 11, 18)) AS song_id, trim(substr(value, 29, 19)) AS track_id "
      "FROM acc_lines WHERE starts_with(value, '< ERROR: ')"),

@@ -24,23 +24,29 @@ TYPE_TOKENS: dict[str, DataType] = {
 }
 
 
-def read_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+def dealt(df: DataFrame, partitions: int | None) -> DataFrame:
+    """Deal the rows anew over ``partitions`` tasks where a number is given."""
+    return df.repartition(partitions) if partitions else df
+
+
+def read_lines(spark: SparkSession, path: str | Sequence[str], partitions: int | None = None) -> DataFrame:
     """One string column ``value`` per text line."""
-    return spark.read.text(path)
+    return dealt(spark.read.text(path), partitions)
 
 
 def read_delimited(spark: SparkSession, path: str | Sequence[str], schema: StructType,
-                   sep: str = "\t", header: bool = False) -> DataFrame:
+                   sep: str = "\t", header: bool = False, partitions: int | None = None) -> DataFrame:
     """Delimited file with an explicit schema.
 
     Permissive mode, as in the reference: an unparsable field or a missing
     trailing field becomes null instead of failing the job.
     """
-    return (spark.read.schema(schema)
-            .option("sep", sep)
-            .option("header", str(header).lower())
-            .option("mode", "PERMISSIVE")
-            .csv(path))
+    frame = (spark.read.schema(schema)
+             .option("sep", sep)
+             .option("header", str(header).lower())
+             .option("mode", "PERMISSIVE")
+             .csv(path))
+    return dealt(frame, partitions)
 
 
 def read_untyped(spark: SparkSession, path: str | Sequence[str], header: bool = False,
@@ -57,13 +63,15 @@ def schema_from_catalog(spark: SparkSession, catalog_path: str,
     """Build a ``StructType`` from a ``(name, type token)`` catalog file.
 
     The catalog describes columns, so it has one row per column; collecting it
-    is bounded by the schema width, not by the data.
+    is bounded by the schema width, not by the data. Lines count in the order
+    of file names and, within a file, of their position.
     """
     rows = (read_untyped(spark, catalog_path)
-            .select(F.monotonically_increasing_id().alias("pos"),
+            .select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+                    F.monotonically_increasing_id().alias("pos"),
                     F.col("_c0").alias("name"), F.col("_c1").alias("token"))
             .collect())
-    rows.sort(key=lambda r: r["pos"])
+    rows.sort(key=lambda r: (r["file"], r["block"], r["pos"]))
     unknown = sorted({r["token"] for r in rows if r["token"] not in type_map}, key=str)
     if unknown:
         raise KeyError(f"unknown type token(s) in {catalog_path}: {unknown}")
@@ -73,8 +81,13 @@ def schema_from_catalog(spark: SparkSession, catalog_path: str,
 def read_with_catalog(spark: SparkSession, catalog_path: str, data_path: str | Sequence[str],
                       type_map: Mapping[str, DataType] = TYPE_TOKENS, sep: str = ",",
                       header: bool = True) -> DataFrame:
-    """Headered delimited data typed by its attribute catalog."""
+    """Headered delimited data typed by its attribute catalog. A header
+    that disagrees with the catalog fails, as columns are read by position."""
     schema = schema_from_catalog(spark, catalog_path, type_map)
+    if header:
+        found = read_untyped(spark, data_path, header=True, sep=sep).columns
+        if found != schema.names:
+            raise ValueError(f"header {found} is not the catalog's {schema.names}")
     return read_delimited(spark, data_path, schema, sep=sep, header=header)
 
 
@@ -105,6 +118,20 @@ def _normalise_path(c):
     return F.regexp_replace(c, r"^file:/+", "/")
 
 
+def dataset_sizes(spark: SparkSession, datasets: Mapping[str, str], fmt: str = "parquet") -> DataFrame:
+    """``(dataset, bytes, rows)`` per named dataset, a file or a folder of files."""
+    parts = []
+    for name, path in datasets.items():
+        files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+                 .agg(F.sum("length").alias("bytes")))
+        rows = spark.read.format(fmt).load(path).select(F.count(F.lit(1))).scalar()
+        parts.append(files.select(F.lit(name).alias("dataset"), F.coalesce("bytes", F.lit(0)).alias("bytes"), rows.alias("rows")))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionAll(p)
+    return out
+
+
 def inventory(spark: SparkSession, paths: str | Sequence[str], fmt: str = "text") -> DataFrame:
     """``(path, bytes, rows)`` per file.
 

@@ -7,7 +7,7 @@ twin (``*_SQL``), which the query catalog composes into oracle queries.
 | reference input      | analogue                                                     |
 |----------------------|--------------------------------------------------------------|
 | play-count triplets  | orders ⋈ lineitem summed per (customer, part)                |
-| mismatch text lines  | fixed-position lines built from small parts                  |
+| mismatch text lines  | fixed-position lines of all parts, small ones marked as errors |
 | accepted text lines  | same, prefixed ``< ``, plus noise lines the prefix filter drops |
 | track features       | part attributes plus lineitem aggregates per part            |
 | genre labels         | part brand per track                                         |
@@ -28,15 +28,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin a scan across the cluster only when its file layout gives
-    fewer splits than cores (a few large row groups). At scale a scan has
-    thousands of splits and this is a no-op, so no full shuffle is added;
-    counting splits plans the scan without running a job."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def _user_id(c):
     return F.concat(F.lit("U"), F.lpad(c.cast("string"), 9, "0"))
 
@@ -55,7 +46,7 @@ def triplets(spark: SparkSession, sf_dir: str) -> DataFrame:
     Aggregates on the numeric keys and formats the string ids afterwards, so
     the shuffle hashes longs rather than strings.
     """
-    lines = spread(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity"))
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     return (lines.join(orders, lines.l_orderkey == orders.o_orderkey)
             .groupBy("o_custkey", "l_partkey")
@@ -75,36 +66,39 @@ GROUP BY o.o_custkey, l.l_partkey
 
 
 def mismatch_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Text lines ``ERROR: <SONG TRACK> name``: song id at 9 (18), track at 27 (19)."""
-    part = table(spark, sf_dir, "part").where(F.col("p_size") <= 3)
-    return part.select(F.concat(F.lit("ERROR: <"), _song_id(F.col("p_partkey")), F.lit(" "),
+    """Text lines ``ERROR: <SONG TRACK> name`` of small parts and ``CHECK: <...``
+    of all others: song id at 9 (18), track at 27 (19)."""
+    part = table(spark, sf_dir, "part")
+    head = F.when(F.col("p_size") <= 3, "ERROR: <").otherwise("CHECK: <")
+    return part.select(F.concat(head, _song_id(F.col("p_partkey")), F.lit(" "),
                                 _track_id(F.col("p_partkey")), F.lit("> "),
                                 F.col("p_name")).alias("value"))
 
 
 MISMATCH_LINES_SQL = """
-SELECT 'ERROR: <' || 'SO' || lpad(CAST(p_partkey AS VARCHAR), 16, '0') || ' '
+SELECT CASE WHEN p_size <= 3 THEN 'ERROR: <' ELSE 'CHECK: <' END
+       || 'SO' || lpad(CAST(p_partkey AS VARCHAR), 16, '0') || ' '
        || 'TR' || lpad(CAST(p_partkey AS VARCHAR), 16, '0') || '> ' || p_name AS value
-FROM part WHERE p_size <= 3
+FROM part
 """
 
 
 def accepted_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines ``< ERROR: <SONG TRACK>`` (ids at 11 and 29) for small parts of
-    size 3 or 4, and ``# name`` noise lines for the other parts of those sizes."""
-    part = table(spark, sf_dir, "part").where(F.col("p_size").between(3, 4))
+    size 3 or 4, and ``# name`` noise lines for all other parts."""
+    part = table(spark, sf_dir, "part")
     accepted = F.concat(F.lit("< ERROR: <"), _song_id(F.col("p_partkey")), F.lit(" "),
                         _track_id(F.col("p_partkey")), F.lit(">"))
     noise = F.concat(F.lit("# "), F.col("p_name"))
-    return part.select(F.when(F.col("p_type") == "SMALL", accepted).otherwise(noise).alias("value"))
+    return part.select(F.when((F.col("p_type") == "SMALL") & F.col("p_size").between(3, 4), accepted).otherwise(noise).alias("value"))
 
 
 ACCEPTED_LINES_SQL = """
-SELECT CASE WHEN p_type = 'SMALL'
+SELECT CASE WHEN p_type = 'SMALL' AND p_size BETWEEN 3 AND 4
             THEN '< ERROR: <' || 'SO' || lpad(CAST(p_partkey AS VARCHAR), 16, '0') || ' '
                  || 'TR' || lpad(CAST(p_partkey AS VARCHAR), 16, '0') || '>'
             ELSE '# ' || p_name END AS value
-FROM part WHERE p_size BETWEEN 3 AND 4
+FROM part
 """
 
 
@@ -115,8 +109,8 @@ def track_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     hot part does not skew the shuffle); parts without lines get zeros. Sums
     of two-decimal prices are rounded to two decimals so every engine agrees.
     """
-    lines = (spread(table(spark, sf_dir, "lineitem")
-                    .select("l_partkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax"))
+    lines = (table(spark, sf_dir, "lineitem")
+             .select("l_partkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax")
              .groupBy("l_partkey")
              .agg(F.count(F.lit(1)).alias("n"),
                   F.sum("l_quantity").alias("q"),

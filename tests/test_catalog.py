@@ -21,6 +21,11 @@ def test_query_matches_sql(spark, con, name):
     compare(df, con, ORACLES[name])
 
 
+def test_point_lookup_is_pushed_to_the_scan(spark):
+    plan = entry.queries()["point_lookup"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(user_id," in plan
+
+
 def test_oracle_keys_are_queries():
     assert set(ORACLES) <= set(entry.queries())
 

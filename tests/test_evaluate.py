@@ -66,3 +66,25 @@ def test_apply_threshold_on_vector(spark):
                                StructType([StructField("p", VectorUDT())]))
     out = evaluate.apply_threshold(df, positive_probability("p"), 0.5).collect()
     assert [r["custom_prediction"] for r in out] == [1, 0]
+
+
+def test_auroc_reports_what_it_leaves_out(spark):
+    df = spark.createDataFrame([(1, 0.9), (0, 0.1), (1, None), (None, 0.5), (2, 0.7), (0, 0.2)], "label int, score double")
+    row = evaluate.auroc(df).first()
+    assert (row["auroc"], row["positive"], row["negative"], row["left_out"]) == (1.0, 1, 2, 3)
+    none = evaluate.auroc(df.where("label = 1")).first()
+    assert none["auroc"] is None and none["negative"] == 0
+
+
+def test_auroc_of_counts_above_a_bigint_product(spark):
+    n = 4_000_000_000
+    hist = spark.createDataFrame([(0.1, 0, n), (0.5, n, n), (0.9, n, 0)], "_s double, _pos bigint, _neg bigint")
+    row = evaluate.auroc_of_counts(hist).first()
+    assert math.isclose(row["auroc"], 0.875) and row["positive"] == 2 * n
+
+
+def test_sweep_equals_single_reports(spark):
+    df = spark.createDataFrame([(k % 2, (k * 37 % 100) / 100.0) for k in range(80)] + [(1, None)], "label int, p double")
+    for r in evaluate.threshold_sweep(df, "p", [0.2, 0.5, 1.0]).collect():
+        one = evaluate.binary_report(evaluate.apply_threshold(df, "p", r["threshold"], "prediction")).first()
+        assert tuple(r)[1:] == tuple(one)

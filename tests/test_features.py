@@ -40,10 +40,45 @@ def test_correlation_pairs_equal_mllib(spark):
         assert math.isclose(r, m[i, j], abs_tol=1e-9)
 
 
-def test_greedy_drop_rule_matches_documented_example():
-    cols = [f"c{i}" for i in range(10)]
-    flagged = [(1, 2), (2, 3), (3, 4), (6, 7), (8, 9)]
-    assert summary.columns_to_drop(flagged, cols) == ["c2", "c4", "c7", "c9"]
+def test_greedy_drop_rule():
+    cols = list("abcdef")
+    assert summary.columns_to_drop([(0, 1), (1, 2), (2, 3), (0, 4), (4, 5)], cols) == ["b", "d", "e"]
+    assert summary.columns_to_drop([], cols) == []
+
+
+def test_correlation_leaves_out_nulls_per_pair_at_any_width(spark):
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(60, 101))
+    rows = [[float(v) for v in r] for r in x]
+    for k in range(0, 60, 3):
+        rows[k][100] = None  # nulls in one unrelated column
+    rows[1][0] = None
+    wide = spark.createDataFrame([tuple(r) for r in rows], ", ".join(f"c{i} double" for i in range(101)))
+    narrow = summary.correlation_pairs(wide, ["c0", "c1", "c100"]).where("col_i = 'c0' and col_j = 'c1'").first()["r"]
+    full = summary.correlation_pairs(wide, wide.columns).where("i = 0 and j = 1").first()["r"]
+    keep = np.arange(60) != 1
+    assert math.isclose(narrow, full, abs_tol=1e-12) and math.isclose(full, np.corrcoef(x[keep, 0], x[keep, 1])[0, 1], abs_tol=1e-9)
+    assert summary.correlation_pairs(wide, wide.columns).count() == 101 * 100 // 2
+
+
+def test_quantiles_nulls_ties_and_no_values(spark):
+    df = spark.createDataFrame([(1.0, None), (1.0, None), (2.0, None), (None, None), (5.0, None)], "x double, y double")
+    got = {(r["column"], r["probability"]): r["value"] for r in summary.quantiles(df, ["x", "y"], [0.0, 0.5, 0.51, 1.0]).collect()}
+    assert [got["x", p] for p in (0.0, 0.5, 0.51, 1.0)] == [1.0, 1.0, 2.0, 5.0] and got["y", 0.5] is None
+    plan = summary.quantiles(df, ["x"], [0.5])._jdf.queryExecution().toString()
+    assert "percentile" not in plan
+
+
+def test_whole_ranked_lists_and_cut_ones(spark):
+    rows = [("hot", f"i{k:04d}", k % 50) for k in range(900)] + [("u", "b", 1), ("u", "a", 1), ("u", "c", 2), (None, "n", 1)]
+    df = spark.createDataFrame(rows, "user string, item string, w int")
+    for k in (None, 2, 1000):
+        got = {}
+        for r in summary.ranked_items(df, "user", "item", "w", k).collect():
+            got.setdefault(r["user"], {})[r["position"]] = r["item"]
+        for user in ("hot", "u", None):
+            mine = [i for _, i in sorted((-w, i) for u, i, w in rows if u == user)][:k]
+            assert [got[user][p] for p in sorted(got[user])] == mine and sorted(got[user]) == list(range(1, len(mine) + 1))
 
 
 def test_quantiles_exact_equal_approxquantile_zero(spark):

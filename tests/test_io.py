@@ -72,11 +72,33 @@ def test_inventory_counts_lines_and_bytes(spark, tmp_dir):
     assert inv[0]["rows"] == 3 and inv[0]["bytes"] == os.path.getsize(p1)
 
 
-def test_spread_only_for_under_split_inputs(spark):
-    from tessera.sources.fixtures import spread
-    cores = spark.sparkContext.defaultParallelism
-    wide = spark.range(0, 1000, 1, cores * 2)
-    assert spread(wide) is wide
-    narrow = spark.range(0, 1000, 1, 1)
-    assert spread(narrow).rdd.getNumPartitions() == cores
-    assert sorted(r[0] for r in spread(narrow).collect()) == list(range(1000))
+def test_rows_are_dealt_anew_only_on_request(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "lines")
+    spark.range(100).selectExpr("CAST(id AS STRING) AS value").coalesce(1).write.text(path)
+    assert files.read_lines(spark, path).rdd.getNumPartitions() == 1
+    wide = files.read_lines(spark, path, partitions=7)
+    assert wide.rdd.getNumPartitions() == 7 and wide.count() == 100
+
+
+def test_catalog_order_follows_file_names_and_header_must_agree(spark, tmp_dir):
+    cat, data = os.path.join(tmp_dir, "cat"), os.path.join(tmp_dir, "data.csv")
+    os.mkdir(cat)
+    for name, lines in (("b.csv", "y,real\nz,string\n" * 1), ("a.csv", "x,STRING\n")):
+        with open(os.path.join(cat, name), "w") as f:
+            f.write(lines)
+    with open(data, "w") as f:
+        f.write("x,y,z\nq,1.5,w\n")
+    row = files.read_with_catalog(spark, cat, data).first()
+    assert (row["x"], row["y"], row["z"]) == ("q", 1.5, "w")
+    with open(data, "w") as f:
+        f.write("x,z,y\nq,w,1.5\n")
+    with pytest.raises(ValueError):
+        files.read_with_catalog(spark, cat, data)
+
+
+def test_dataset_sizes_of_folders(spark, tmp_dir):
+    one, two = os.path.join(tmp_dir, "one.parquet"), os.path.join(tmp_dir, "two.parquet")
+    spark.range(10).repartition(3).write.parquet(one)
+    spark.range(0).write.parquet(two)
+    got = {r["dataset"]: (r["bytes"] > 0, r["rows"]) for r in files.dataset_sizes(spark, {"one": one, "two": two}).collect()}
+    assert got["one"] == (True, 10) and got["two"][1] == 0

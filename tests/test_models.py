@@ -37,3 +37,52 @@ def test_als_recommendations_shape(spark):
     assert len(recs) == 20 and all(len(r["items"]) == 5 for r in recs)
     scored = models.score_pairs(model, df, cold="drop")
     assert scored.count() == len(rows)
+
+
+def test_scaler_is_fitted_on_the_rows_before_resampling(spark):
+    df = _separable(spark, 200)
+    up = df.unionAll(df.where("label = 1")).unionAll(df.where("label = 1"))
+    model = models.fit_logistic(up, ["x", "y"], "label", fit_on=df)
+    mean = df.agg(F.avg("x")).first()[0]
+    assert abs(model.stages[1].mean[0] - mean) < 1e-9
+    assert abs(models.fit_logistic(up, ["x", "y"], "label").stages[1].mean[0] - mean) > 0.1
+
+
+def test_copies_never_cross_folds(spark):
+    df = spark.range(300).select((F.col("id") % 60).cast("string").alias("id"))
+    folds = df.withColumn("f", models.fold_of(["id"], 5, 7))
+    assert folds.groupBy("id").agg(F.countDistinct("f").alias("n")).where("n > 1").count() == 0
+    assert {r["f"] for r in folds.select("f").distinct().collect()} == {0, 1, 2, 3, 4}
+
+
+def test_tuning_tries_every_setting_and_keeps_the_best(spark):
+    df = _separable(spark, 120)
+    grid = {"maxDepth": [1, 2], "stepSize": [0.01, 0.5]}
+    best, cv = models.tune_gbt(df, ["x", "y"], "label", ["id"], grid=grid, folds=2, seed=3, parallelism=2, maxIter=2)
+    assert len(cv.avgMetrics) == 4 and models.predict(best, df).count() == 120
+    assert [len(v) for v in models.GBT_GRID.values()] == [3, 3, 2]
+
+
+def test_equals_a_plain_pipeline_of_the_same_seed(spark):
+    from pyspark.ml.classification import GBTClassifier, LogisticRegression
+    from pyspark.ml.feature import StandardScaler, VectorAssembler
+
+    df = _separable(spark, 150).cache()
+    raw = VectorAssembler(inputCols=["x", "y"], outputCol="assembled").transform(df)
+    plain = GBTClassifier(featuresCol="assembled", labelCol="label", seed=5, maxIter=4).fit(raw).transform(raw)
+    ours = models.predict(models.fit_gbt(df, ["x", "y"], "label", seed=5, maxIter=4), df)
+    assert sorted(r["id"] + str(r["prediction"]) for r in plain.collect()) == sorted(r["id"] + str(r["prediction"]) for r in ours.collect())
+    scaled = StandardScaler(inputCol="assembled", outputCol="s", withMean=True, withStd=True).fit(raw).transform(raw)
+    lr = LogisticRegression(featuresCol="s", labelCol="label").fit(scaled)
+    assert abs(lr.intercept - models.fit_logistic(df, ["x", "y"], "label").stages[-1].intercept) < 1e-6
+
+
+def test_score_pairs_leaves_the_model_as_it_is(spark):
+    rows = [(u, i, 1) for u in range(6) for i in range(6) if u != i]
+    df = spark.createDataFrame(rows, "user int, item int, plays int")
+    model = models.fit_als(df, "user", "item", "plays", seed=1, max_iter=2, rank=2)
+    cold = spark.createDataFrame([(0, 1, 1), (99, 1, 1)], df.schema)
+    assert models.score_pairs(model, cold, cold="drop").count() == 1
+    assert model.getColdStartStrategy() == "nan" and models.score_pairs(model, cold).count() == 2
+    some = models.recommend_top_k(model, 3, users=cold.select("user")).collect()
+    assert [r["user"] for r in some] == [0] and len(set(some[0]["items"])) == 3
