@@ -70,3 +70,25 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     base = checkpoint_dir(spark)
     import uuid
     return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+PACKAGE_ZIP = "tessera-package.zip"
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in Python workers, wherever the driver
+    found it: one small archive of its sources, added once a session."""
+    import zipfile
+
+    sc = spark.sparkContext
+    if any(f.endswith(PACKAGE_ZIP) for f in sc.listFiles):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="tessera-src-"), PACKAGE_ZIP)
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, names in os.walk(root):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.relpath(full, os.path.dirname(root)))
+    sc.addPyFile(path)

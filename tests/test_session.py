@@ -50,3 +50,13 @@ def test_existing_dir_wins():
 
 def test_local_session_gets_temp_dir():
     assert checkpoint_dir(_Session(_Context("local[2]"))).startswith("/")
+
+
+def test_package_is_shipped_once(spark):
+    from tessera.session import PACKAGE_ZIP, ship_package
+
+    ship_package(spark)
+    ship_package(spark)
+    assert sum(f.endswith(PACKAGE_ZIP) for f in spark.sparkContext.listFiles) == 1
+    got = spark.range(4).rdd.mapPartitions(lambda _: [__import__("tessera.functions.columns").__name__]).collect()
+    assert set(got) == {"tessera"}
