@@ -226,11 +226,11 @@ def q_relevant_items(spark, d):
     return summary.ranked_items(test, "user_id", "song_id", "play_count")
 
 
-@query("item_list_lookup", with_ctes(f"SELECT * FROM ({_ITEMS_SQL}) WHERE user_id = '{P.LOOKUP_USER}'", "repaired"))
+@query("item_list_lookup", with_ctes(f"SELECT * FROM ({_ITEMS_SQL}) WHERE user_id = '{P.LIST_LOOKUP_USER}'", "repaired"))
 def q_item_list_lookup(spark, d):
     """P9 on the list output: one user's ranked items."""
     test = fr.repaired(spark, d).where(F.col("split") == "test")
-    return shape.lookup(summary.ranked_items(test, "user_id", "song_id", "play_count"), "user_id", P.LOOKUP_USER)
+    return shape.lookup(summary.ranked_items(test, "user_id", "song_id", "play_count"), "user_id", P.LIST_LOOKUP_USER)
 
 
 def _describe_sql(src: str, cols: list[str]) -> str:
