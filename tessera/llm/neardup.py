@@ -260,7 +260,7 @@ def audit(nodes: DataFrame, counts: DataFrame, threshold: float, queries: int, s
 
 
 def near_groups(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", threshold: float = 0.9,
-                overlap: int = 2, shard_rows: int = 1200, max_centroids: int = 4096, degree: int = 24, alpha: float = 1.2,
+                overlap: int = 3, shard_rows: int = 1200, max_centroids: int = 4096, degree: int = 24, alpha: float = 1.2,
                 audit_queries: int = 1024, least_recall: float = 0.95, seed: int = 17) -> DataFrame:
     """One row per row: ``id, n_links, component``: the number of other vectors
     at cosine ``threshold`` or more and the smallest id that links reach.
