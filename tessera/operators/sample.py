@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.columns import hash_key, uniform, uniform_at
@@ -75,11 +75,13 @@ def random_split(df: DataFrame, id_cols: Sequence[str], weights: Sequence[float]
     return df.withColumn(out, last if expr is None else expr.otherwise(last))
 
 
-def downsample(df: DataFrame, label: str, cls, rate: float, id_cols: Sequence[str],
+def downsample(df: DataFrame, label: str, cls, rate: float | Column, id_cols: Sequence[str],
                seed: int = 0) -> DataFrame:
-    """M3: keep rows of other labels, and rows of ``cls`` with draw < ``rate``."""
+    """M3: keep rows of other labels, and rows of ``cls`` with draw < ``rate``
+    (a number or a scalar-subquery Column)."""
     u = uniform(id_cols, seed)
-    keep = (F.col(label) != F.lit(cls)) | ((F.col(label) == F.lit(cls)) & (u < F.lit(float(rate))))
+    rate = rate if isinstance(rate, Column) else F.lit(float(rate))
+    keep = (F.col(label) != F.lit(cls)) | ((F.col(label) == F.lit(cls)) & (u < rate))
     return df.where(keep)
 
 

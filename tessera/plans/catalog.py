@@ -419,18 +419,21 @@ def q_random_split(spark, d):
 
 
 _DOWN_SQL = ("SELECT track_id, label FROM strat WHERE split = 'train' AND (label <> 0 OR (label = 0 AND "
-             f"{u_sql(['track_id'], P.SAMPLE_SEED)} < {_d(P.DOWNSAMPLE_RATE)}))")
+             f"{u_sql(['track_id'], P.SAMPLE_SEED)} < "
+             f"(SELECT avg(label) * {_d(P.DOWNSAMPLE_FACTOR)} FROM strat WHERE split = 'train')))")
 _UP_SQL = ("SELECT track_id, label FROM strat WHERE split = 'train' AND label = 0 UNION ALL "
            f"SELECT s.track_id, s.label FROM strat s, range(1, {P.UPSAMPLE_N + 1}) r(i) WHERE s.split = 'train' "
            f"AND s.label = 1 AND {u_sql(['track_id', 'i'], P.SAMPLE_SEED)} > {_d(P.UPSAMPLE_P)}")
 
 
 def _train(spark, d) -> DataFrame:
-    return fr.stratified(spark, d).where(F.col("split") == "train")
+    return fr.pin(fr.stratified(spark, d)).where(F.col("split") == "train")
 
 
 def _downsampled(train: DataFrame) -> DataFrame:
-    return sample.downsample(train, "label", 0, P.DOWNSAMPLE_RATE, ["track_id"], P.SAMPLE_SEED)
+    """The rate follows from the balance of ``train``, which should be pinned."""
+    rate = train.select(F.avg("label") * F.lit(P.DOWNSAMPLE_FACTOR)).scalar()
+    return sample.downsample(train, "label", 0, rate, ["track_id"], P.SAMPLE_SEED)
 
 
 def _upsampled(train: DataFrame) -> DataFrame:

@@ -8,7 +8,8 @@ Reference-equal values are marked; the rest are seeds and fixture choices.
 STRAT_FRAC = 0.8
 TRAIN_FRAC = 0.7
 REPAIR_FRAC = 0.7
-DOWNSAMPLE_RATE = 4 * 0.096847
+# Kept share of the majority label, in units of the minority's share of the rows.
+DOWNSAMPLE_FACTOR = 4.0
 UPSAMPLE_N = 15
 UPSAMPLE_P = 10 / 15
 CORR_THRESHOLD = 0.8

@@ -8,8 +8,8 @@ SQL over the shared tables; it is the oracle, not part of the Spark path.
 from __future__ import annotations
 
 from tessera.plans.params import (
-    COLD_SEED, COLD_USER_FRAC, DOWNSAMPLE_RATE, GENRE_POSITIVE, SCORE_SEED, SPLIT_SEED, STRAT_FRAC, STRAT_SEED,
-    TRAIN_FRAC, REPAIR_FRAC, REPAIR_SEED, UPSAMPLE_N, UPSAMPLE_P, SAMPLE_SEED,
+    COLD_SEED, COLD_USER_FRAC, GENRE_POSITIVE, SCORE_SEED, SPLIT_SEED, STRAT_FRAC, STRAT_SEED,
+    TRAIN_FRAC, REPAIR_FRAC, REPAIR_SEED,
 )
 from tessera.sources.fixtures import (
     ACCEPTED_LINES_SQL, GENRE_LABELS_SQL, MISMATCH_LINES_SQL, TRACK_FEATURES_SQL, TRIPLETS_SQL,
@@ -125,4 +125,4 @@ def with_ctes(final: str, *names: str) -> str:
     return "WITH " + ",\n".join(parts) + "\n" + final
 
 
-__all__ = ["with_ctes", "u_sql", "h_sql", "DOWNSAMPLE_RATE", "UPSAMPLE_N", "UPSAMPLE_P", "SAMPLE_SEED"]
+__all__ = ["with_ctes", "u_sql", "h_sql"]
