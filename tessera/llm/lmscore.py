@@ -1,150 +1,256 @@
 """Cross-entropy difference between a target and a background language model.
 
-Both are interpolated bigram models with one shared vocabulary: the words with
-the highest counts over all documents, ``max_words`` at most, everything else
-being one unknown word.
-They are matched in vocabulary, order, smoothing, bigram slots and mass (the
+Both are interpolated bigram models with one shared vocabulary: every word of
+the corpus. They are matched in vocabulary, order, smoothing and mass (the
 background's counts are scaled to the target's total). A document's score is
-the mean over its tokens of the target's loss minus the background's: the lower,
-the more it looks like the target.
+the mean over its tokens of the target's loss minus the background's: the
+lower, the more it looks like the target.
 
-Counts cover all documents. Bigrams are counted in ``slots`` hashed slots that
-both models share, so a model has a fixed size however large the corpus is.
+Counts are exact, over all documents, and grow with them; no model is ever in
+one place. Documents are cut into blocks of whole texts. A block sends its
+distinct words and word pairs, as 64-bit hashes with their counts, to shards by
+hash; a shard adds up the counts of all blocks and sends each block the sums of
+the keys it asked for; the block then scores its texts with the part of both
+models that they use. Keys are hashed, so that frequent words load no shard
+more than others, and a block sends a key once, however often it holds it.
 """
 
 from __future__ import annotations
 
-from collections import Counter
+from collections import defaultdict
 from collections.abc import Iterator
-from dataclasses import dataclass
+from math import ceil, log2
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import map_batches, map_texts, most_frequent, pin
+from tessera.llm.common import ddl, map_batches, pin, quoted
 
-FLUSH = 200_000
+#: Rows after which a block ends, however few tokens they have.
+BLOCK_ROWS = 100_000
+_MIX = tuple(np.uint64(c) for c in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xBF58476D1CE4E5B9))
 
 
 def tokens(text: str | None) -> list[str]:
     return (text or "").lower().split()
 
 
-def bigram_slots(ids: np.ndarray, slots: int) -> np.ndarray:
-    """Slot of each (previous token, token) pair; the first token follows id 0."""
-    prev = np.concatenate([[0], ids[:-1]]).astype(np.uint64)
+def word_hash(word: str) -> int:
+    """Key of a word; that of the empty word stands for the start of a text."""
+    import xxhash
+
+    return xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass"))
+
+
+def pair_keys(before: np.ndarray, words: np.ndarray) -> np.ndarray:
+    """Keys of word pairs from the keys of their words."""
     with np.errstate(over="ignore"):
-        h = (prev * np.uint64(0x9E3779B97F4A7C15)) ^ (ids.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))
-        h ^= h >> np.uint64(29)
-        h *= np.uint64(0xBF58476D1CE4E5B9)
-    return ((h >> np.uint64(32)) % np.uint64(slots)).astype(np.int64)
-
-
-@dataclass
-class PairOfModels:
-    """``vocabulary``: word -> id from 2 on; 0 starts a text, 1 is unknown.
-    ``unigrams``, ``contexts``, ``bigrams``: one row per model (target, background)."""
-
-    vocabulary: dict[str, int]
-    unigrams: np.ndarray
-    contexts: np.ndarray
-    bigrams: np.ndarray
-    mixture: float
-
-    def ids(self, text: str | None) -> np.ndarray:
-        get = self.vocabulary.get
-        return np.array([get(w, 1) for w in tokens(text)], np.int64)
-
-    def losses(self, text: str | None) -> np.ndarray:
-        """Loss per token under both models, in nats; shape (2, tokens)."""
-        ids = self.ids(text)
-        if not len(ids):
-            return np.zeros((2, 0))
-        pair = self.bigrams[:, bigram_slots(ids, self.bigrams.shape[1])]
-        context = self.contexts[:, np.concatenate([[0], ids[:-1]])]
-        share = np.where(context > 0, np.minimum(pair / np.maximum(context, 1e-9), 1.0), 0.0)
-        return -np.log(self.mixture * share + (1 - self.mixture) * self.unigrams[:, ids])
-
-    def score(self, text: str | None) -> tuple[float, int]:
-        loss = self.losses(text)
-        return (float((loss[0] - loss[1]).mean()), loss.shape[1]) if loss.shape[1] else (0.0, 0)
-
-
-def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-    counts: Counter = Counter()
-    for batch in batches:
-        for text in batch["text"]:
-            counts.update(tokens(text.as_py()))
-            if len(counts) >= FLUSH:
-                yield {"word": list(counts), "n": list(counts.values())}
-                counts.clear()
-    yield {"word": list(counts), "n": list(counts.values())}
-
-
-def _count_pairs(vocabulary, slots: int):
-    """Counts of tokens, contexts and slots in one task; arrays of fixed size."""
+        h = (before * _MIX[0]) ^ ((words ^ (words >> np.uint64(31))) * _MIX[1])
+        h = (h ^ (h >> np.uint64(29))) * _MIX[2]
+    return h ^ (h >> np.uint64(32))
+
+
+def pack(values: np.ndarray) -> bytes:
+    """Whole numbers from 0 on as compressed byte planes: small ones cost little."""
+    planes = np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8).T)
+    return pa.compress(planes.tobytes(), codec="zstd", asbytes=True) if len(values) else b""
+
+
+def unpack(data: bytes, n: int) -> np.ndarray:
+    if not n:
+        return np.zeros(0, np.uint64)
+    planes = np.frombuffer(pa.decompress(data, 8 * n, codec="zstd", asbytes=True), np.uint8).reshape(8, n)
+    return np.ascontiguousarray(planes.T).view("<u8").ravel()
+
+
+def _sorted_pack(keys: np.ndarray) -> bytes:
+    return pack(np.diff(keys, prepend=np.uint64(0)))
+
+
+def _sorted_unpack(data: bytes, n: int) -> np.ndarray:
+    return np.cumsum(unpack(data, n), dtype=np.uint64)
+
+
+# A block: its rows, the keys of its words (word 0 is the start of a text), and
+# for each row a flag, its length, and the word numbers of its tokens.
+_BLOCK = "n_rows bigint, n_words bigint, n_tokens bigint, n_target bigint, words binary, text binary, lengths binary, target binary"
+
+
+def _cut(block_tokens: int):
+    """Blocks of the rows ``(kept, text, target)`` of one task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        known = vocabulary.value
-        sums: dict[bool, list[np.ndarray]] = {}
+        task, number = TaskContext.get().partitionId(), 0
+        index, kept, ids, lengths, flags, size = None, [], [], [], [], 0
+
+        def block() -> dict:
+            text = np.concatenate(ids)
+            n, own = np.array(lengths, np.int64), np.array(flags, bool)
+            keys = np.fromiter(map(word_hash, index), np.uint64, len(index))
+            made = {"n_rows": len(n), "n_words": len(keys), "n_tokens": len(text), "n_target": int(n[own].sum()),
+                    "words": keys.tobytes(), "text": pack(text), "lengths": pack(n), "target": pack(own)}
+            rows = pa.ListArray.from_arrays(pa.array([0, len(n)], pa.int32()), pa.concat_arrays(kept))
+            return {"block": [task << 32 | number], "kept": rows} | {k: [v] for k, v in made.items()}
+
         for batch in batches:
-            for text, target in zip(batch["text"], batch["target"].to_pylist()):
-                ids = np.array([known.get(w, 1) for w in tokens(text.as_py())], np.int64)
-                if not len(ids):
-                    continue
-                size = len(known) + 2
-                own = sums.setdefault(target, [np.zeros(size, np.int64), np.zeros(size, np.int64), np.zeros(slots, np.int64)])
-                np.add.at(own[0], ids, 1)
-                np.add.at(own[1], np.concatenate([[0], ids[:-1]]), 1)
-                np.add.at(own[2], bigram_slots(ids, slots), 1)
-        for target, kinds in sums.items():
-            for kind, counts in enumerate(kinds):
-                at = np.flatnonzero(counts)
-                yield {"target": [target] * len(at), "kind": [kind] * len(at), "at": at, "n": counts[at]}
+            start = 0
+            for at, (text, target) in enumerate(zip(batch["text"], batch["target"].to_pylist())):
+                if index is None:
+                    index = defaultdict()
+                    index.default_factory = index.__len__
+                    index[""]
+                words = tokens(text.as_py())
+                ids.append(np.fromiter(map(index.__getitem__, words), np.int64, len(words)))
+                lengths.append(len(words))
+                flags.append(target)
+                size += len(words)
+                if size >= block_tokens or len(lengths) >= BLOCK_ROWS:
+                    kept.append(batch["kept"].slice(start, at + 1 - start))
+                    yield block()
+                    number, start = number + 1, at + 1
+                    index, kept, ids, lengths, flags, size = None, [], [], [], [], 0
+            if start < batch.num_rows:
+                kept.append(batch["kept"].slice(start))
+        if lengths:
+            yield block()
 
     return run
 
 
-def fit(docs: DataFrame, target: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_words: int = 50_000,
-        slots: int = 1 << 19, mixture: float = 0.6, smoothing: float = 0.5) -> PairOfModels:
-    """``target`` holds the ids of the target documents; the background is all
-    documents. Null ids are never in the target, null texts have no tokens.
-
-    ``max_words`` and ``slots`` fix the size of the models, which bounds what
-    reaches the driver and is broadcast. The texts are dealt by id to meet the
-    target's ids, which may be as many as the documents."""
-    spark = docs.sparkSession
-    rows = docs.select(docs[id_col].alias("id"), docs[text_col].cast("string").alias("text"))
-    counts = pin(map_batches(rows.select("text"), _count_words, "word string, n bigint")
-                 .groupBy("word").agg(F.sum("n").alias("n")))
-    top = most_frequent(counts, "n", max_words).orderBy("word").toPandas()
-    vocabulary = {w: k + 2 for k, w in enumerate(top["word"])}
-    shared = spark.sparkContext.broadcast(vocabulary)
-    wanted = target.select(F.col(target.columns[0]).alias("t")).where("t is not null").distinct()
-    # Both sides are dealt by id at every size: neither is bounded.
-    marked = rows.join(wanted.hint("merge"), rows["id"] == wanted["t"], "left").select("text", F.col("t").isNotNull().alias("target"))
-    sums = (map_batches(marked, _count_pairs(shared, slots), "target boolean, kind int, at bigint, n bigint")
-            .groupBy("kind", "at").agg(F.sum(F.when(F.col("target"), F.col("n")).otherwise(0)).alias("t"),
-                                       F.sum("n").alias("b")))
-    got = pin(sums)
-    size = len(vocabulary) + 2
-    tables = [np.zeros((2, size)), np.zeros((2, size)), np.zeros((2, slots))]
-    for kind, table in enumerate(tables):
-        frame = got.where(F.col("kind") == kind).select("at", "t", "b").toPandas()
-        table[0, frame["at"]], table[1, frame["at"]] = frame["t"], frame["b"]
-    mass = tables[0].sum(axis=1)
-    scale = np.array([[1.0], [mass[0] / mass[1] if mass[1] and mass[0] else 1.0]])
-    uni, context, bi = (t * scale for t in tables)
-    uni = (uni + smoothing) / (uni.sum(axis=1, keepdims=True) + smoothing * size)
-    return PairOfModels(vocabulary, uni.astype(np.float32), context.astype(np.float32), bi.astype(np.float32), mixture)
-
-
-def score(docs: DataFrame, models: PairOfModels, text_col: str = "text", keep: tuple[str, ...] = (),
-          score_out: str = "score", tokens_out: str = "n_tokens") -> DataFrame:
+class _Block:
+    """The tokens of a block, with the start of its text before each text's first one."""
+
+    def __init__(self, row: dict) -> None:
+        keys = np.frombuffer(row["words"], np.uint64)
+        self.lengths = unpack(row["lengths"], row["n_rows"]).astype(np.int64)
+        self.target = unpack(row["target"], row["n_rows"]).astype(bool)
+        self.text = unpack(row["text"], row["n_tokens"]).astype(np.int64)
+        self.before = np.roll(self.text, 1)
+        ends = np.cumsum(self.lengths)
+        self.before[(ends - self.lengths)[self.lengths > 0]] = 0
+        #: Distinct word keys in order, and the place of each word number among them.
+        order = np.argsort(keys)
+        self.words, self.place = keys[order], np.argsort(order)
+        self.pairs, self.pair = np.unique(pair_keys(keys[self.before], keys[self.text]), return_inverse=True)
+
+    def counts(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Counts of words in target and all texts, then of pairs. The start of
+        a text counts once for every text with a token."""
+        own = np.repeat(self.target, self.lengths)
+        out = []
+        for mask, rows in ((own, self.target), (slice(None), slice(None))):
+            words = np.bincount(self.text[mask], minlength=len(self.words))
+            words[0] = np.count_nonzero(self.lengths[rows])
+            sums = np.zeros(len(self.words), np.int64)
+            sums[self.place] = words
+            out.append((sums, np.bincount(self.pair[mask], minlength=len(self.pairs))))
+        (tw, tp), (bw, bp) = out
+        return tw, bw, tp, bp
+
+
+def _shard_bounds(keys: np.ndarray, bits: int) -> np.ndarray:
+    """Where each of 2**bits shards, ranges of the key, begins and the last one ends."""
+    starts = np.array([s << (64 - bits) for s in range(1, 1 << bits)], np.uint64)
+    return np.r_[0, np.searchsorted(keys, starts), len(keys)]
+
+
+_ASK = "shard bigint, block bigint, kind int, n bigint, keys binary, t binary, b binary"
+_ANSWER = "shard bigint, block bigint, kind int, n bigint, t binary, b binary"
+
+
+def _ask(bits: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        for batch in batches:
+            for k in range(batch.num_rows):
+                row = batch.slice(k, 1).to_pylist()[0]
+                block = _Block(row)
+                tw, bw, tp, bp = block.counts()
+                made: dict[str, list] = {c: [] for c in ("shard", "block", "kind", "n", "keys", "t", "b")}
+                for kind, keys, t, b in ((0, block.words, tw, bw), (1, block.pairs, tp, bp)):
+                    bounds = _shard_bounds(keys, bits)
+                    for shard in np.flatnonzero(np.diff(bounds)).tolist():
+                        s = slice(bounds[shard], bounds[shard + 1])
+                        for c, v in zip(made, (shard, row["block"], kind, s.stop - s.start, _sorted_pack(keys[s]), pack(t[s]), pack(b[s]))):
+                            made[c].append(v)
+                yield made
+
+    return run
+
+
+def _answer(asked: pa.Table) -> pa.Table:
+    """The sums over all blocks for each block's keys, and in a row without a
+    block the number of distinct keys."""
+    rows = asked.to_pylist()
+    ns = [r["n"] for r in rows]
+    keys, place = np.unique(np.concatenate([_sorted_unpack(r["keys"], r["n"]) for r in rows]), return_inverse=True)
+    sums = {}
+    for c in ("t", "b"):
+        total = np.zeros(len(keys), np.uint64)
+        np.add.at(total, place, np.concatenate([unpack(r[c], r["n"]) for r in rows]))
+        sums[c] = [pack(x) for x in np.split(total[place], np.cumsum(ns)[:-1])] + [b""]
+    shard, kind = rows[0]["shard"], rows[0]["kind"]
+    return pa.table({"shard": pa.array([shard] * (len(rows) + 1), pa.int64()), "block": pa.array([r["block"] for r in rows] + [None], pa.int64()),
+                     "kind": pa.array([kind] * (len(rows) + 1), pa.int32()), "n": pa.array([*ns, len(keys)], pa.int64()),
+                     "t": pa.array(sums["t"], pa.binary()), "b": pa.array(sums["b"], pa.binary())})
+
+
+def _score(size: int, n_target: int, n_all: int, mixture: float, smoothing: float):
+    scale = n_target / n_all if n_target and n_all else 1.0
+    mass = (n_target, n_all * scale)
+
+    def run(blocks: pa.Table, answers: pa.Table) -> pa.Table:
+        parts = sorted(answers.to_pylist(), key=lambda r: (r["kind"], r["shard"]))
+        out = []
+        for row in blocks.drop_columns(["kept"]).to_pylist():
+            block, loss = _Block(row), []
+            for c, f, m in (("t", 1.0, mass[0]), ("b", scale, mass[1])):
+                of = [np.concatenate([np.zeros(0, np.uint64), *(unpack(r[c], r["n"]) for r in parts if r["kind"] == k)]).astype(float) for k in (0, 1)]
+                words, pairs = of[0][block.place] * f, of[1] * f
+                before, pair = words[block.before], pairs[block.pair]
+                share = np.divide(pair, before, out=np.zeros(len(pair)), where=before > 0)
+                p = (words[block.text] + smoothing) / (m + smoothing * size)
+                loss.append(-np.log(mixture * share + (1 - mixture) * p))
+            rows = np.repeat(np.arange(len(block.lengths)), block.lengths)
+            sums = np.bincount(rows, loss[0] - loss[1], len(block.lengths))
+            out.append((sums / np.maximum(block.lengths, 1), block.lengths))
+        kept = blocks["kept"].combine_chunks().flatten()
+        return pa.table({"kept": kept, "score": np.concatenate([s for s, _ in out]), "n": np.concatenate([n for _, n in out])})
+
+    return run
+
+
+def score(docs: DataFrame, target: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = (),
+          score_out: str = "score", tokens_out: str = "n_tokens", mixture: float = 0.6, smoothing: float = 0.5,
+          block_tokens: int = 1_000_000, shard_tokens: int = 2_000_000) -> DataFrame:
     """One row per row: the columns ``keep``, the mean loss difference (target
-    minus background) of the whole text and its number of tokens. Null and
-    empty texts: 0.0 and 0."""
-    shared = docs.sparkSession.sparkContext.broadcast(models)
-    return map_texts(docs, keep, docs[text_col], lambda: shared.value.score, f"`{score_out}` double, `{tokens_out}` bigint")
+    minus background, in nats) of the whole text and its number of tokens.
+
+    ``target`` holds the ids of the target documents in its first column; the
+    background is all documents. A block of texts ends at ``block_tokens`` or
+    with its task; there is a shard of counts for every ``shard_tokens``. A pair's share is its count over that of its
+    first word, ends of texts included. Null ids are never in the target and
+    ids that repeat there count once; null and empty texts have no tokens and
+    score 0.0. Repeated rows count and return as often as they occur. Without
+    target documents the target model is uniform. No rows give no rows.
+    """
+    kept = F.struct(*quoted(keep)) if keep else F.struct(F.lit(True).alias("__none"))
+    rows = docs.select(docs[id_col].alias("__id"), docs[text_col].cast("string").alias("text"), kept.alias("kept"))
+    wanted = target.select(F.col(target.columns[0]).alias("__t")).where("__t is not null").distinct()
+    # Both sides are dealt by id at every size: neither is bounded.
+    marked = (rows.join(wanted.hint("merge"), rows["__id"] == wanted["__t"], "left")
+              .select("kept", "text", F.col("__t").isNotNull().alias("target")))
+    one = f"struct<{(ddl(docs, keep) or '__none boolean, ')[:-2]}>"
+    blocks = pin(map_batches(marked, _cut(block_tokens), f"block bigint, kept array<{one}>, {_BLOCK}"))
+    total = blocks.agg(F.coalesce(F.sum("n_tokens"), F.lit(0)).alias("all"), F.coalesce(F.sum("n_target"), F.lit(0)).alias("target")).first()
+    bits = max(0, ceil(log2(max(1, total["all"]) / shard_tokens)))
+    asked = map_batches(blocks.drop("kept"), _ask(bits), _ASK)
+    answers = pin(asked.groupBy("shard", "kind").applyInArrow(_answer, _ANSWER))
+    # Every word but the start of a text.
+    size = (answers.where("block is null and kind = 0").agg(F.sum("n")).first()[0] or 1) - 1
+    run = _score(max(1, size), total["target"], total["all"], mixture, smoothing)
+    scored = (blocks.groupBy("block").cogroup(answers.where("block is not null").groupBy("block"))
+              .applyInArrow(run, f"kept {one}, score double, n bigint"))
+    return scored.select(*[F.col("kept")[c].alias(c) for c in keep], F.col("score").alias(score_out), F.col("n").alias(tokens_out))

@@ -30,7 +30,7 @@ def op2_lm_score(spark: SparkSession, d: str) -> DataFrame:
     """Target: documents labelled of good quality; background: all documents."""
     docs = read(spark, d, "documents")
     target = read(spark, d, "labels").where("quality = 1").select("doc_id")
-    return lmscore.score(docs, lmscore.fit(docs, target), keep=("doc_id",))
+    return lmscore.score(docs, target, keep=("doc_id",))
 
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame) -> toxicity.ToxicityModel:

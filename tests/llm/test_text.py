@@ -70,47 +70,63 @@ def test_held_out_accuracy(spark):
 
 # --- LM scoring -------------------------------------------------------------
 
+def lm_brute(rows, target, mixture=0.6, smoothing=0.5):
+    """Score and number of tokens of each ``(id, text)`` from dense counts."""
+    texts = [(i in target, ["", *(t or "").lower().split()]) for i, t in rows]
+    uni, bi = [Counter(), Counter()], [Counter(), Counter()]
+    for own, words in texts:
+        for m in (0, 1) if own else (1,):
+            uni[m].update(words if len(words) > 1 else [])
+            bi[m].update(zip(words, words[1:]))
+    size = len(uni[1].keys() - {""})
+    total = [sum(n for w, n in u.items() if w) for u in uni]
+    scale = [1.0, total[0] / total[1] if total[0] else 1.0]
+    out = []
+    for _, words in texts:
+        diff = 0.0
+        for prev, w in zip(words, words[1:]):
+            loss = [-math.log(mixture * (bi[m][prev, w] / uni[m][prev] if uni[m][prev] else 0.0) + (1 - mixture)
+                              * (uni[m][w] * scale[m] + smoothing) / (total[m] * scale[m] + smoothing * size)) for m in (0, 1)]
+            diff += loss[0] - loss[1]
+        out.append((diff / max(1, len(words) - 1), len(words) - 1))
+    return out
+
+
+def check_lm(spark, rows, target, **sizes):
+    docs = spark.createDataFrame([(k, i, t, "x") for k, (i, t) in enumerate(rows)], "`a b` bigint, doc_id bigint, text string, score string")
+    ids = spark.createDataFrame([(i,) for i in target], "t bigint")
+    got = {r["a b"]: r for r in lmscore.score(docs, ids, keep=("a b", "doc_id"), **sizes).collect()}
+    want = lm_brute(rows, set(target) - {None})
+    assert sorted(got) == list(range(len(rows)))
+    for k, (score, n) in enumerate(want):
+        assert got[k]["n_tokens"] == n and got[k]["score"] == pytest.approx(score, abs=1e-9) and got[k]["doc_id"] == rows[k][0]
+    return [got[k]["score"] for k in range(len(rows))]
+
+
 def test_lm_scores_match_dense_counts(spark):
-    rows = [(1, "a b a b c"), (2, "a b c"), (3, "x y x y z q"), (4, None), (5, ""), (None, "a x"), (6, "x y")]
-    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
-    target = spark.createDataFrame([(1,), (2,), (2,), (4,), (None,)], "t bigint")
-    models = lmscore.fit(docs, target, max_words=5, slots=1 << 18)
-    counts = Counter(w for _, t in rows for w in (t or "").split())
-    vocab = sorted(w for w, n in counts.items() if n >= 2)  # those with one do not fit into five as well
-    assert models.vocabulary == {w: k + 2 for k, w in enumerate(vocab)}
-    size = len(vocab) + 2
-    uni, con, bi = ([Counter(), Counter()] for _ in range(3))
-    for i, t in rows:
-        ids = [models.vocabulary.get(w, 1) for w in (t or "").split()]
-        for m in (0, 1) if i in (1, 2) else (1,):
-            uni[m].update(ids)
-            con[m].update([0, *ids][:len(ids)])
-            bi[m].update(zip([0, *ids], ids))
-    scale = [1.0, sum(uni[0].values()) / sum(uni[1].values())]
-    for i, t in rows:
-        ids = [models.vocabulary.get(w, 1) for w in (t or "").split()]
-        total = 0.0
-        for prev, w in zip([0, *ids], ids):
-            loss = []
-            for m in (0, 1):
-                mass = sum(uni[m].values()) * scale[m]
-                p = (uni[m][w] * scale[m] + 0.5) / (mass + 0.5 * size)
-                share = bi[m][prev, w] / con[m][prev] if con[m][prev] else 0.0
-                loss.append(-math.log(0.6 * share + 0.4 * p))
-            total += loss[0] - loss[1]
-        got, n = models.score(t)
-        assert n == len(ids) and got == pytest.approx(total / len(ids) if ids else 0.0, abs=1e-4)
-    assert models.score("a b c")[0] < 0 < models.score("x y z")[0]
-    scored = lmscore.score(docs, models, keep=("doc_id",)).collect()
-    assert len(scored) == 7 and {(r["score"], r["n_tokens"]) for r in scored if r["doc_id"] in (4, 5)} == {(0.0, 0)}
+    rows = [(1, "a b a b c"), (2, "a B c"), (3, "x y x y z q"), (4, None), (5, ""), (None, "a x"), (6, "x y"), (1, "a b a b c"), (7, "z " * 3000)]
+    got = check_lm(spark, rows, [1, 2, 2, 4, None])
+    assert got[1] < 0 < got[2] and got[3] == got[4] == 0.0
+
+
+def test_lm_over_blocks_and_shards(spark):
+    rng = np.random.default_rng(5)
+    rows = [(k, " ".join(rng.choice(["the", "of", *(f"w{j}" for j in range(200))], rng.integers(0, 60)))) for k in range(120)]
+    check_lm(spark, rows, range(0, 120, 3), block_tokens=100, shard_tokens=300)
+
+
+def test_lm_packs_numbers():
+    for values in ([], [0], [1, 2**63, 2**64 - 1, 0, 7]):
+        x = np.array(values, np.uint64)
+        assert (lmscore.unpack(lmscore.pack(x), len(x)) == x).all()
+        assert (lmscore._sorted_unpack(lmscore._sorted_pack(np.sort(x)), len(x)) == np.sort(x)).all()
 
 
 def test_lm_without_documents_or_target(spark):
-    docs = spark.createDataFrame([(1, "a b")], "doc_id bigint, text string")
+    check_lm(spark, [(1, "a b"), (2, "b")], [])
+    check_lm(spark, [(1, None), (2, "")], [1])
     none = spark.createDataFrame([], "doc_id bigint, text string")
-    assert math.isfinite(lmscore.fit(docs, none.select("doc_id")).score("a b")[0])
-    assert lmscore.fit(none, none.select("doc_id")).score("a")[1] == 1
-    assert lmscore.score(none, lmscore.fit(docs, docs.select("doc_id")), keep=("doc_id",)).count() == 0
+    assert lmscore.score(none, none.select("doc_id"), keep=("doc_id",)).count() == 0
 
 
 # --- toxicity ---------------------------------------------------------------
