@@ -1,18 +1,18 @@
 """Cross-entropy difference between a target and a background language model.
 
 Both are interpolated bigram models with one shared vocabulary: every word of
-the corpus. They are matched in vocabulary, order, smoothing and mass (the
-background's counts are scaled to the target's total). A document's score is
-the mean over its tokens of the target's loss minus the background's: the
-lower, the more it looks like the target.
-
-Counts are exact, over all documents, and grow with them; no model is ever in
-one place. Documents are cut into blocks of whole texts. A block sends its
-distinct words and word pairs, as 64-bit hashes with their counts, to shards by
-hash; a shard adds up the counts of all blocks and sends each block the sums of
-the keys it asked for; the block then scores its texts with the part of both
-models that they use. Keys are hashed, so that frequent words load no shard
-more than others, and a block sends a key once, however often it holds it.
+the corpus. They are matched in vocabulary, order, smoothing (towards the
+words of the whole corpus) and mass (the background's counts are scaled to the
+target's total). A document's score is the mean over its tokens of the target's
+loss minus the background's: the lower, the more it looks like the target.
+
+Counts cover all documents and grow with them; no model is ever in one place.
+Documents are cut into blocks of whole texts. A block sends its distinct words
+and word pairs, as 56-bit hashes with their counts, to shards by hash; a shard
+adds up the counts of all blocks and sends each block the sums of the keys it
+asked for; the block then scores its texts with the part of both models that
+they use. Keys are hashed, so that frequent words load no shard more than
+others, and a block sends a key once, however often it holds it.
 """
 
 from __future__ import annotations
@@ -29,6 +29,8 @@ from pyspark.sql import functions as F
 
 from tessera.llm.common import ddl, map_batches, pin, quoted
 
+#: Bits of a key; fewer cost less to send, and 10^12 pairs still collide with one in 70,000.
+KEY_BITS = 56
 #: Rows after which a block ends, however few tokens they have.
 BLOCK_ROWS = 100_000
 _MIX = tuple(np.uint64(c) for c in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xBF58476D1CE4E5B9))
@@ -42,7 +44,7 @@ def word_hash(word: str) -> int:
     """Key of a word; that of the empty word stands for the start of a text."""
     import xxhash
 
-    return xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass"))
+    return xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass")) >> (64 - KEY_BITS)
 
 
 def pair_keys(before: np.ndarray, words: np.ndarray) -> np.ndarray:
@@ -50,7 +52,7 @@ def pair_keys(before: np.ndarray, words: np.ndarray) -> np.ndarray:
     with np.errstate(over="ignore"):
         h = (before * _MIX[0]) ^ ((words ^ (words >> np.uint64(31))) * _MIX[1])
         h = (h ^ (h >> np.uint64(29))) * _MIX[2]
-    return h ^ (h >> np.uint64(32))
+    return (h ^ (h >> np.uint64(32))) >> np.uint64(64 - KEY_BITS)
 
 
 def pack(values: np.ndarray) -> bytes:
@@ -74,30 +76,31 @@ def _sorted_unpack(data: bytes, n: int) -> np.ndarray:
     return np.cumsum(unpack(data, n), dtype=np.uint64)
 
 
-# A block: its rows, the keys of its words (word 0 is the start of a text), and
-# for each row a flag, its length, and the word numbers of its tokens.
-_BLOCK = "n_rows bigint, n_words bigint, n_tokens bigint, n_target bigint, words binary, text binary, lengths binary, target binary"
+# A block: ids, numbers of tokens and kept columns of its rows, the keys of its
+# words (word 0 is the start of a text), and the word numbers of all tokens.
+_BLOCK = "lengths array<bigint>, n_words bigint, n_tokens bigint, words binary, text binary"
 
 
 def _cut(block_tokens: int):
-    """Blocks of the rows ``(kept, text, target)`` of one task."""
+    """Blocks of the rows ``(id, kept, text)`` of one task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         task, number = TaskContext.get().partitionId(), 0
-        index, kept, ids, lengths, flags, size = None, [], [], [], [], 0
+        index, parts, ids, lengths, size = None, [], [], [], 0
 
         def block() -> dict:
             text = np.concatenate(ids)
-            n, own = np.array(lengths, np.int64), np.array(flags, bool)
             keys = np.fromiter(map(word_hash, index), np.uint64, len(index))
-            made = {"n_rows": len(n), "n_words": len(keys), "n_tokens": len(text), "n_target": int(n[own].sum()),
-                    "words": keys.tobytes(), "text": pack(text), "lengths": pack(n), "target": pack(own)}
-            rows = pa.ListArray.from_arrays(pa.array([0, len(n)], pa.int32()), pa.concat_arrays(kept))
-            return {"block": [task << 32 | number], "kept": rows} | {k: [v] for k, v in made.items()}
+            made = {"block": task << 32 | number, "lengths": lengths, "n_words": len(keys), "n_tokens": len(text),
+                    "words": pack(keys), "text": pack(text)}
+            whole = pa.Table.from_batches(parts).combine_chunks()
+            lists = {c: pa.ListArray.from_arrays(pa.array([0, len(lengths)], pa.int32()), whole[n].combine_chunks())
+                     for c, n in (("ids", "id"), ("kept", "kept"))}
+            return {k: [v] for k, v in made.items()} | lists
 
         for batch in batches:
             start = 0
-            for at, (text, target) in enumerate(zip(batch["text"], batch["target"].to_pylist())):
+            for at, text in enumerate(batch["text"]):
                 if index is None:
                     index = defaultdict()
                     index.default_factory = index.__len__
@@ -105,15 +108,14 @@ def _cut(block_tokens: int):
                 words = tokens(text.as_py())
                 ids.append(np.fromiter(map(index.__getitem__, words), np.int64, len(words)))
                 lengths.append(len(words))
-                flags.append(target)
                 size += len(words)
                 if size >= block_tokens or len(lengths) >= BLOCK_ROWS:
-                    kept.append(batch["kept"].slice(start, at + 1 - start))
+                    parts.append(batch.select(["id", "kept"]).slice(start, at + 1 - start))
                     yield block()
                     number, start = number + 1, at + 1
-                    index, kept, ids, lengths, flags, size = None, [], [], [], [], 0
+                    index, parts, ids, lengths, size = None, [], [], [], 0
             if start < batch.num_rows:
-                kept.append(batch["kept"].slice(start))
+                parts.append(batch.select(["id", "kept"]).slice(start))
         if lengths:
             yield block()
 
@@ -121,136 +123,132 @@ def _cut(block_tokens: int):
 
 
 class _Block:
-    """The tokens of a block, with the start of its text before each text's first one."""
+    """The tokens of a block, and before each the one it follows in its text."""
 
     def __init__(self, row: dict) -> None:
-        keys = np.frombuffer(row["words"], np.uint64)
-        self.lengths = unpack(row["lengths"], row["n_rows"]).astype(np.int64)
-        self.target = unpack(row["target"], row["n_rows"]).astype(bool)
+        keys = unpack(row["words"], row["n_words"])
+        self.lengths = np.array(row["lengths"], np.int64)
         self.text = unpack(row["text"], row["n_tokens"]).astype(np.int64)
         self.before = np.roll(self.text, 1)
         ends = np.cumsum(self.lengths)
         self.before[(ends - self.lengths)[self.lengths > 0]] = 0
         #: Distinct word keys in order, and the place of each word number among them.
-        order = np.argsort(keys)
-        self.words, self.place = keys[order], np.argsort(order)
+        self.words, self.place = np.unique(keys, return_inverse=True)
         self.pairs, self.pair = np.unique(pair_keys(keys[self.before], keys[self.text]), return_inverse=True)
 
-    def counts(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Counts of words in target and all texts, then of pairs. The start of
-        a text counts once for every text with a token."""
-        own = np.repeat(self.target, self.lengths)
-        out = []
-        for mask, rows in ((own, self.target), (slice(None), slice(None))):
-            words = np.bincount(self.text[mask], minlength=len(self.words))
-            words[0] = np.count_nonzero(self.lengths[rows])
-            sums = np.zeros(len(self.words), np.int64)
-            sums[self.place] = words
-            out.append((sums, np.bincount(self.pair[mask], minlength=len(self.pairs))))
-        (tw, tp), (bw, bp) = out
-        return tw, bw, tp, bp
+    def counts(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Counts of words and of pairs in the marked rows. The start of a text
+        counts once for every text with a token."""
+        own = np.repeat(rows, self.lengths)
+        words = np.bincount(self.place[self.text[own]], minlength=len(self.words))
+        words[self.place[0]] += np.count_nonzero(self.lengths[rows])
+        return words, np.bincount(self.pair[own], minlength=len(self.pairs))
+
+
+def _rows(blocks: pa.Table) -> list[dict]:
+    return blocks.select(["block", "lengths", "n_words", "n_tokens", "words", "text"]).to_pylist()
 
 
 def _shard_bounds(keys: np.ndarray, bits: int) -> np.ndarray:
     """Where each of 2**bits shards, ranges of the key, begins and the last one ends."""
-    starts = np.array([s << (64 - bits) for s in range(1, 1 << bits)], np.uint64)
+    starts = np.array([s << (KEY_BITS - bits) for s in range(1, 1 << bits)], np.uint64)
     return np.r_[0, np.searchsorted(keys, starts), len(keys)]
 
 
 _ASK = "shard bigint, block bigint, kind int, n bigint, keys binary, t binary, b binary"
 _ANSWER = "shard bigint, block bigint, kind int, n bigint, t binary, b binary"
+_ASK_TYPES = {"shard": pa.int64(), "block": pa.int64(), "kind": pa.int32(), "n": pa.int64(), "keys": pa.binary(), "t": pa.binary(),
+              "b": pa.binary()}
 
 
 def _ask(bits: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        for batch in batches:
-            for k in range(batch.num_rows):
-                row = batch.slice(k, 1).to_pylist()[0]
-                block = _Block(row)
-                tw, bw, tp, bp = block.counts()
-                made: dict[str, list] = {c: [] for c in ("shard", "block", "kind", "n", "keys", "t", "b")}
-                for kind, keys, t, b in ((0, block.words, tw, bw), (1, block.pairs, tp, bp)):
-                    bounds = _shard_bounds(keys, bits)
-                    for shard in np.flatnonzero(np.diff(bounds)).tolist():
-                        s = slice(bounds[shard], bounds[shard + 1])
-                        for c, v in zip(made, (shard, row["block"], kind, s.stop - s.start, _sorted_pack(keys[s]), pack(t[s]), pack(b[s]))):
-                            made[c].append(v)
-                yield made
+    def run(blocks: pa.Table, target: pa.Table) -> pa.Table:
+        made: list[tuple] = []
+        for row in _rows(blocks):
+            block = _Block(row)
+            own = np.zeros(len(block.lengths), bool)
+            own[target["pos"].to_numpy()] = True
+            for kind, keys, t, b in zip((0, 1), (block.words, block.pairs), block.counts(own), block.counts(np.ones_like(own))):
+                bounds = _shard_bounds(keys, bits)
+                for shard in np.flatnonzero(np.diff(bounds)).tolist():
+                    s = slice(bounds[shard], bounds[shard + 1])
+                    made.append((shard, row["block"], kind, s.stop - s.start, _sorted_pack(keys[s]), pack(t[s]), pack(b[s])))
+        columns = list(zip(*made)) or [()] * len(_ASK_TYPES)
+        return pa.table({c: pa.array(v, t) for (c, t), v in zip(_ASK_TYPES.items(), columns)})
 
     return run
 
 
 def _answer(asked: pa.Table) -> pa.Table:
-    """The sums over all blocks for each block's keys, and in a row without a
-    block the number of distinct keys."""
-    rows = asked.to_pylist()
-    ns = [r["n"] for r in rows]
-    keys, place = np.unique(np.concatenate([_sorted_unpack(r["keys"], r["n"]) for r in rows]), return_inverse=True)
-    sums = {}
+    """The sums over all blocks for each block's keys, in the order it sent them."""
+    ns = asked["n"].to_numpy()
+    packed = lambda c, of: [of(d, n) for d, n in zip(asked[c].to_pylist(), ns.tolist())]
+    keys, place = np.unique(np.concatenate(packed("keys", _sorted_unpack)), return_inverse=True)
+    out = asked.drop_columns(["keys", "t", "b"])
     for c in ("t", "b"):
         total = np.zeros(len(keys), np.uint64)
-        np.add.at(total, place, np.concatenate([unpack(r[c], r["n"]) for r in rows]))
-        sums[c] = [pack(x) for x in np.split(total[place], np.cumsum(ns)[:-1])] + [b""]
-    shard, kind = rows[0]["shard"], rows[0]["kind"]
-    return pa.table({"shard": pa.array([shard] * (len(rows) + 1), pa.int64()), "block": pa.array([r["block"] for r in rows] + [None], pa.int64()),
-                     "kind": pa.array([kind] * (len(rows) + 1), pa.int32()), "n": pa.array([*ns, len(keys)], pa.int64()),
-                     "t": pa.array(sums["t"], pa.binary()), "b": pa.array(sums["b"], pa.binary())})
+        np.add.at(total, place, np.concatenate(packed(c, unpack)))
+        out = out.append_column(c, pa.array([pack(x) for x in np.split(total[place], np.cumsum(ns)[:-1])], pa.binary()))
+    return out
 
 
-def _score(size: int, n_target: int, n_all: int, mixture: float, smoothing: float):
+def _score(n_target: int, n_all: int, mixture: float, prior: float):
     scale = n_target / n_all if n_target and n_all else 1.0
-    mass = (n_target, n_all * scale)
 
     def run(blocks: pa.Table, answers: pa.Table) -> pa.Table:
         parts = sorted(answers.to_pylist(), key=lambda r: (r["kind"], r["shard"]))
-        out = []
-        for row in blocks.drop_columns(["kept"]).to_pylist():
+        of = lambda c, kind: np.concatenate(
+            [np.zeros(0, np.uint64), *(unpack(r[c], r["n"]) for r in parts if r["kind"] == kind)]).astype(float)
+        scores, lengths = [], []
+        for row in _rows(blocks):
             block, loss = _Block(row), []
-            for c, f, m in (("t", 1.0, mass[0]), ("b", scale, mass[1])):
-                of = [np.concatenate([np.zeros(0, np.uint64), *(unpack(r[c], r["n"]) for r in parts if r["kind"] == k)]).astype(float) for k in (0, 1)]
-                words, pairs = of[0][block.place] * f, of[1] * f
-                before, pair = words[block.before], pairs[block.pair]
+            common = of("b", 0)[block.place] / max(1, n_all)
+            for c, f, mass in (("t", 1.0, n_target), ("b", scale, n_all * scale)):
+                words, pair = of(c, 0)[block.place] * f, of(c, 1)[block.pair] * f
+                before = words[block.before]
                 share = np.divide(pair, before, out=np.zeros(len(pair)), where=before > 0)
-                p = (words[block.text] + smoothing) / (m + smoothing * size)
-                loss.append(-np.log(mixture * share + (1 - mixture) * p))
+                p = (words + prior * common) / (mass + prior)
+                loss.append(-np.log(mixture * share + (1 - mixture) * p[block.text]))
             rows = np.repeat(np.arange(len(block.lengths)), block.lengths)
             sums = np.bincount(rows, loss[0] - loss[1], len(block.lengths))
-            out.append((sums / np.maximum(block.lengths, 1), block.lengths))
+            scores.append(sums / np.maximum(block.lengths, 1))
+            lengths.append(block.lengths)
         kept = blocks["kept"].combine_chunks().flatten()
-        return pa.table({"kept": kept, "score": np.concatenate([s for s, _ in out]), "n": np.concatenate([n for _, n in out])})
+        return pa.table({"kept": kept, "score": np.concatenate(scores), "n": np.concatenate(lengths)})
 
     return run
 
 
 def score(docs: DataFrame, target: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = (),
-          score_out: str = "score", tokens_out: str = "n_tokens", mixture: float = 0.6, smoothing: float = 0.5,
-          block_tokens: int = 1_000_000, shard_tokens: int = 2_000_000) -> DataFrame:
+          score_out: str = "score", tokens_out: str = "n_tokens", mixture: float = 0.6, prior: float = 1000.0,
+          block_tokens: int = 2_000_000, shard_tokens: int = 2_000_000) -> DataFrame:
     """One row per row: the columns ``keep``, the mean loss difference (target
     minus background, in nats) of the whole text and its number of tokens.
 
     ``target`` holds the ids of the target documents in its first column; the
-    background is all documents. A block of texts ends at ``block_tokens`` or
-    with its task; there is a shard of counts for every ``shard_tokens``. A pair's share is its count over that of its
-    first word, ends of texts included. Null ids are never in the target and
-    ids that repeat there count once; null and empty texts have no tokens and
-    score 0.0. Repeated rows count and return as often as they occur. Without
-    target documents the target model is uniform. No rows give no rows.
+    background is all documents. A pair's share is its count over that of its
+    first word, ends of texts included; a word's own probability counts
+    ``prior`` tokens spread as in the whole corpus. A block of texts ends at
+    ``block_tokens`` or with its task; there is a shard of counts for every
+    ``shard_tokens``. Null ids are never in the target and ids that repeat
+    there count once; null and empty texts have no tokens and score 0.0.
+    Repeated rows count and return as often as they occur. Without target
+    documents the target model is the prior alone. No rows give no rows.
     """
     kept = F.struct(*quoted(keep)) if keep else F.struct(F.lit(True).alias("__none"))
-    rows = docs.select(docs[id_col].alias("__id"), docs[text_col].cast("string").alias("text"), kept.alias("kept"))
-    wanted = target.select(F.col(target.columns[0]).alias("__t")).where("__t is not null").distinct()
-    # Both sides are dealt by id at every size: neither is bounded.
-    marked = (rows.join(wanted.hint("merge"), rows["__id"] == wanted["__t"], "left")
-              .select("kept", "text", F.col("__t").isNotNull().alias("target")))
+    rows = docs.select(docs[id_col].alias("id"), docs[text_col].cast("string").alias("text"), kept.alias("kept"))
     one = f"struct<{(ddl(docs, keep) or '__none boolean, ')[:-2]}>"
-    blocks = pin(map_batches(marked, _cut(block_tokens), f"block bigint, kept array<{one}>, {_BLOCK}"))
-    total = blocks.agg(F.coalesce(F.sum("n_tokens"), F.lit(0)).alias("all"), F.coalesce(F.sum("n_target"), F.lit(0)).alias("target")).first()
-    bits = max(0, ceil(log2(max(1, total["all"]) / shard_tokens)))
-    asked = map_batches(blocks.drop("kept"), _ask(bits), _ASK)
-    answers = pin(asked.groupBy("shard", "kind").applyInArrow(_answer, _ANSWER))
-    # Every word but the start of a text.
-    size = (answers.where("block is null and kind = 0").agg(F.sum("n")).first()[0] or 1) - 1
-    run = _score(max(1, size), total["target"], total["all"], mixture, smoothing)
-    scored = (blocks.groupBy("block").cogroup(answers.where("block is not null").groupBy("block"))
-              .applyInArrow(run, f"kept {one}, score double, n bigint"))
+    blocks = pin(map_batches(rows, _cut(block_tokens), f"block bigint, ids array<{dict(rows.dtypes)['id']}>, kept array<{one}>, {_BLOCK}"))
+    wanted = target.select(F.col(target.columns[0]).alias("t")).where("t is not null").distinct()
+    placed = blocks.select("block", F.posexplode(F.arrays_zip("ids", "lengths")).alias("pos", "row"))
+    placed = placed.select("block", "pos", F.col("row.ids").alias("id"), F.col("row.lengths").alias("n"))
+    marked = pin(placed.join(wanted, placed["id"] == wanted["t"]).select("block", "pos", "n"))
+    total = lambda df, c: df.agg(F.sum(c)).first()[0] or 0
+    n_all, n_target = total(blocks, "n_tokens"), total(marked, "n")
+    bits = max(0, ceil(log2(max(1, n_all) / shard_tokens)))
+    # Both uses of the blocks share one shuffle.
+    by_block = blocks.groupBy("block")
+    asked = by_block.cogroup(marked.groupBy("block")).applyInArrow(_ask(bits), _ASK)
+    answers = asked.groupBy("shard", "kind").applyInArrow(_answer, _ANSWER)
+    scored = by_block.cogroup(answers.groupBy("block")).applyInArrow(_score(n_target, n_all, mixture, prior), f"kept {one}, score double, n bigint")
     return scored.select(*[F.col("kept")[c].alias(c) for c in keep], F.col("score").alias(score_out), F.col("n").alias(tokens_out))

@@ -70,7 +70,7 @@ def test_held_out_accuracy(spark):
 
 # --- LM scoring -------------------------------------------------------------
 
-def lm_brute(rows, target, mixture=0.6, smoothing=0.5):
+def lm_brute(rows, target, mixture=0.6, prior=1000.0):
     """Score and number of tokens of each ``(id, text)`` from dense counts."""
     texts = [(i in target, ["", *(t or "").lower().split()]) for i, t in rows]
     uni, bi = [Counter(), Counter()], [Counter(), Counter()]
@@ -78,7 +78,6 @@ def lm_brute(rows, target, mixture=0.6, smoothing=0.5):
         for m in (0, 1) if own else (1,):
             uni[m].update(words if len(words) > 1 else [])
             bi[m].update(zip(words, words[1:]))
-    size = len(uni[1].keys() - {""})
     total = [sum(n for w, n in u.items() if w) for u in uni]
     scale = [1.0, total[0] / total[1] if total[0] else 1.0]
     out = []
@@ -86,7 +85,7 @@ def lm_brute(rows, target, mixture=0.6, smoothing=0.5):
         diff = 0.0
         for prev, w in zip(words, words[1:]):
             loss = [-math.log(mixture * (bi[m][prev, w] / uni[m][prev] if uni[m][prev] else 0.0) + (1 - mixture)
-                              * (uni[m][w] * scale[m] + smoothing) / (total[m] * scale[m] + smoothing * size)) for m in (0, 1)]
+                              * (uni[m][w] * scale[m] + prior * uni[1][w] / total[1]) / (total[m] * scale[m] + prior)) for m in (0, 1)]
             diff += loss[0] - loss[1]
         out.append((diff / max(1, len(words) - 1), len(words) - 1))
     return out
