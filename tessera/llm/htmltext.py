@@ -12,6 +12,7 @@ expression over the array of blocks, so that nothing is shuffled.
 from __future__ import annotations
 
 import re
+from collections import defaultdict
 from html.parser import HTMLParser
 
 from pyspark.ml.classification import DecisionTreeClassificationModel, DecisionTreeClassifier
@@ -49,9 +50,12 @@ class _Blocks(HTMLParser):
         super().__init__(convert_charrefs=True)
         #: Open elements: (tag, silent, frame, article, heading, link)
         self.open: list[tuple] = [("", False, False, False, False, False)]
+        #: Places of the open elements by name, and under "*" those of the blocks.
+        self.at: defaultdict[str, list[int]] = defaultdict(list)
         self.text: list[str] = []
         self.linked: list[str] = []
         self.flags = (0.0, 0.0, 0.0)
+        self.blank = True
         self.blocks: list[list] = []
 
     def cut(self) -> None:
@@ -60,7 +64,7 @@ class _Blocks(HTMLParser):
         if words:
             links = len("".join(self.linked).split())
             self.blocks.append([" ".join(words), float(len(words)), min(1.0, links / len(words)), *self.flags])
-        self.text, self.linked = [], []
+        self.text, self.linked, self.blank = [], [], True
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
         if tag in _BLOCKS:
@@ -77,6 +81,8 @@ class _Blocks(HTMLParser):
         named = dict(attrs)
         names = " ".join((named.get(k) or "") for k in ("class", "id", "role")).lower()
         hidden = "hidden" in named or named.get("aria-hidden") == "true" or bool(_HIDDEN.search(named.get("style") or ""))
+        for name in (tag, "*") if tag in _BLOCKS else (tag,):
+            self.at[name].append(len(self.open))
         self.open.append((
             tag, silent or tag in _SILENT or hidden,
             frame or tag in _FRAME or (tag not in ("html", "body", "article", "main") and bool(_NAMES.search(names))),
@@ -86,26 +92,31 @@ class _Blocks(HTMLParser):
         self.handle_starttag(tag, attrs)  # "<div/>" opens a div
 
     def _close(self, tag: str, stop: tuple[str, ...] = ()) -> None:
-        for k in range(len(self.open) - 1, 0, -1):
-            if self.open[k][0] == tag:
-                del self.open[k:]
-                return
-            if self.open[k][0] in stop:
-                return
+        """End the last open element of this name, unless one of ``stop`` began in it."""
+        at = self.at
+        if not at[tag] or any(at[s] and at[s][-1] > at[tag][-1] for s in stop):
+            return
+        k = at[tag][-1]
+        for name, *_ in self.open[k:]:
+            at[name].pop()
+            if name in _BLOCKS:
+                at["*"].pop()
+        del self.open[k:]
 
     def handle_endtag(self, tag: str) -> None:
         if tag in _BLOCKS:
             self.cut()
         elif tag == "br":
             self.handle_data(" ")
-        self._close(tag, stop=() if tag in _BLOCKS or tag in _SILENT else tuple(_BLOCKS))
+        self._close(tag, stop=() if tag in _BLOCKS or tag in _SILENT else ("*",))
 
     def handle_data(self, data: str) -> None:
         _, silent, frame, article, heading, link = self.open[-1]
         if silent:
             return
-        if not self.text or not "".join(self.text).strip():
+        if self.blank:  # the first visible text decides
             self.flags = (float(frame), float(article), float(heading))
+            self.blank = not data.strip()
         self.text.append(data)
         if link:
             self.linked.append(data + " ")

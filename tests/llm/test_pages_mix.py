@@ -38,6 +38,12 @@ def test_blocks_and_neighbours():
     assert by[1]["next_words"] == by[2]["words"] == 4.0 and by[3]["article"] == 1.0 and by[3]["next_words"] == 0.0
 
 
+def test_many_pieces_and_deep_nesting_take_linear_time():
+    assert [b[1] for b in htmltext.blocks("<article><p>" + "<b>word</b> and " * 100_000)] == [200_000.0]
+    assert [b[1] for b in htmltext.blocks("<i>" * 30_000 + "x</b> " * 30_000)] == [30_000.0]
+    assert len(htmltext.blocks("<div>" * 20_000 + "x</div>" * 20_000)) == 20_000
+
+
 def test_unclosed_and_broken_markup():
     assert [b[0] for b in htmltext.blocks("<p><b>a<br><p>b<p>c < d & e <!-- x > y --> f")] == ["a", "b", "c < d & e f"]
     assert [b[0] for b in htmltext.blocks('<script>var t="</p>";</script><style>p{}</style><title>t</title><p>x')] == ["x"]
