@@ -10,7 +10,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from tessera.llm import bpe, langid, lmscore, toxicity
-from tessera.llm.queries import op1_language_id, op3_toxicity, tokenizer_path
+from tessera.llm.queries import op1_language_id, op2_lm_score, op3_toxicity, tokenizer_path
 
 SF = "/root/testdata/sf0.01"
 DOCS = "doc_id bigint, text string, lang string, score string"
@@ -114,6 +114,19 @@ def test_lm_over_blocks_and_shards(spark):
     check_lm(spark, rows, range(0, 120, 3), block_tokens=100, shard_tokens=300)
 
 
+def test_lm_query_matches_dense_counts_and_tells_good_text(spark):
+    d = "/root/testdata/sf0.001"
+    rows = [tuple(r) for r in spark.read.parquet(f"{d}/documents.parquet").select("doc_id", "text").collect()]
+    quality = {r["doc_id"]: r["quality"] for r in spark.read.parquet(f"{d}/labels.parquet").collect()}
+    got = {r["doc_id"]: (r["score"], r["n_tokens"]) for r in op2_lm_score(spark, d).collect()}
+    want = lm_brute(rows, {i for i, q in quality.items() if q == 1})
+    assert len(got) == len(rows)
+    for (i, _), (score, n) in zip(rows, want):
+        assert got[i][1] == n and got[i][0] == pytest.approx(score, abs=1e-9)
+    mean = lambda y: np.mean([got[i][0] for i, q in quality.items() if q == y and i in got])
+    assert mean(1) < mean(0)
+
+
 def test_lm_packs_numbers():
     for values in ([], [0], [1, 2**63, 2**64 - 1, 0, 7]):
         x = np.array(values, np.uint64)
