@@ -72,22 +72,6 @@ def map_texts(df: DataFrame, keep: tuple[str, ...], text: Column, make: Callable
     return map_batches(df.select(*quoted(keep), text.cast("string").alias("__text")), run, ddl(df, keep) + schema)
 
 
-def most_frequent(counts: DataFrame, count: str, size: int) -> DataFrame:
-    """The rows of ``counts`` with the highest counts, ``size`` at most: all
-    rows above the lowest threshold that lets no more through. The threshold
-    comes from a histogram with 64 bins per doubling, some thousand rows at any
-    size of the input. ``counts`` is read twice and should be pinned."""
-    bin_ = F.floor(F.log2(F.col(count)) * 64).cast("int")
-    bins = counts.groupBy(bin_.alias("bin")).count().orderBy(F.desc("bin")).collect()
-    least, taken = None, 0
-    for b in bins:
-        taken += b["count"]
-        if taken > size:
-            break
-        least = b["bin"]
-    return counts.where(F.lit(False) if least is None else bin_ >= least)
-
-
 def quoted(names) -> list[Column]:
     """Columns by their plain names, dots and spaces included."""
     return [F.col("`" + n.replace("`", "``") + "`") for n in names]

@@ -60,6 +60,23 @@ def test_no_training_rows(spark):
     assert {(r["lang_pred"], r["score"]) for r in got} == {("und", 0.0)} and len(got) == 6
 
 
+def test_rare_language_keeps_every_word_and_gram(spark):
+    # More types than any former bound: 60,000 frequent ones of one language, and seldom ones of another.
+    letters = "abcdefghijklmnopqrst"
+    name = lambda i: "".join(letters[i // 20 ** k % 20] for k in range(4))
+    rows = [(i, f"{name(i)} {name(i)}", "en", "x") for i in range(60_000)] + [(60_000, "zuvwx yzzvu", "fr", "x")]
+    model = langid.fit(spark.createDataFrame(rows, DOCS).repartition(4))
+    assert len(model.words) == 60_002 and len(dict(model.grams)[4]) > 60_000
+    docs = spark.createDataFrame([(1, "zuvwx", "", "s"), (2, "xyzzvuy", "", "s"), (3, name(59_999), "", "s"), (4, None, "", "s"),
+                                  (5, "zuvwx abcd " * 3 + "qq 日本", "", "s")], DOCS)
+    for sizes in ({}, {"block_tokens": 1, "shard_keys": 5_000}):
+        got = {r["doc_id"]: r for r in langid.predict(docs, model, keep=("doc_id",), **sizes).collect()}
+        assert [got[k]["lang_pred"] for k in (1, 2, 3, 4)] == ["fr", "fr", "en", "und"]
+        for r in docs.collect():  # shards and blocks give what the whole model gives
+            lang, share = model.score(r["text"])
+            assert got[r["doc_id"]]["lang_pred"] == lang and got[r["doc_id"]]["score"] == pytest.approx(share, abs=1e-6)
+
+
 def test_held_out_accuracy(spark):
     docs = {r["doc_id"]: r["lang"] for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
     got = op1_language_id(spark, SF).collect()
