@@ -246,3 +246,16 @@ def test_audit_counts_true_links(spark):
     none = spark.createDataFrame([], "node bigint, n bigint")
     found, true = neardup.audit(nodes, none, 0.9, 1024, 1)
     assert found == 0 and true == sum(r[1] for r in vectors_brute(rows))
+
+
+def test_large_group_does_not_hide_lost_pairs(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    hot, pairs = rng.normal(size=32), rng.normal(size=(30, 32))
+    rows = [(k, [float(x) for x in hot + 0.02 * rng.normal(size=32)], 0) for k in range(200)]
+    rows += [(1000 + 2 * k + j, [float(x) for x in p + 0.02 * rng.normal(size=32)], 0) for k, p in enumerate(pairs) for j in (0, 1)]
+    links = neardup._links
+    # A search that never finds the isolated pairs.
+    monkeypatch.setattr(neardup, "_links", lambda *a: links(*a).where("a < 1000"))
+    got = neardup.near_groups(spark.createDataFrame(rows, VECTORS), shard_rows=60)
+    assert sorted(map(tuple, got.collect()), key=str) == vectors_brute(rows)
+    assert neardup.worst_recall([(199, 199)] * 200 + [(0, 1)] * 30 + [(0, 0)]) == 0.0 and neardup.worst_recall([(0, 0)]) == 1.0
