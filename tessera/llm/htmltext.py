@@ -41,6 +41,8 @@ _NAMES = re.compile(
     r"notice|cookies?|consent|gdpr|popup|modal|overlay|newsletter|subscribe|subscription|signup|login|search|"
     r"copyright|legal|disclaimer|pagination|pager|toolbar|skip\w*|alert)(?![a-z])")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden")
+#: Decimal references that may have more digits than Python reads as a number.
+_LONG_REFERENCE = re.compile(r"&#([0-9]{1000,})")
 #: Elements that end an open paragraph.
 _ENDS_P = _BLOCKS - {"body", "html", "button", "option", "select", "textarea", "caption", "legend", "summary", "tbody", "td", "tfoot", "th", "thead", "tr"}
 
@@ -66,6 +68,12 @@ class _Blocks(HTMLParser):
             self.blocks.append([" ".join(words), float(len(words)), min(1.0, links / len(words)), *self.flags])
         self.text, self.linked, self.blank = [], [], True
 
+    def parse_marked_section(self, i: int, report: int = 1) -> int:
+        try:
+            return super().parse_marked_section(i, report)
+        except AssertionError:  # no section that the parser knows: a comment up to ">"
+            return self.parse_bogus_comment(i)
+
     def handle_starttag(self, tag: str, attrs: list) -> None:
         if tag in _BLOCKS:
             self.cut()
@@ -122,17 +130,20 @@ class _Blocks(HTMLParser):
             self.linked.append(data + " ")
 
 
+def _short_reference(found: re.Match) -> str:
+    """The same character in few digits; what is no character stays none."""
+    digits = found[1].lstrip("0")
+    return f"&#{digits or 0}" if len(digits) <= 7 else f"&#{0x110000}"
+
+
 def blocks(html: str | None) -> list[tuple]:
     """Blocks of a page in order, as ``(text, *FEATURES)``. None and pages
-    without text have none; what no parser accepts ends the page there."""
+    without text have none; unknown declarations are comments up to ``>``."""
     if not html:
         return []
     p = _Blocks()
-    try:
-        p.feed(html)
-        p.close()
-    except (AssertionError, ValueError):  # malformed declarations
-        pass
+    p.feed(_LONG_REFERENCE.sub(_short_reference, html))
+    p.close()
     p.cut()
     own = p.blocks
     side = lambda k: own[k][1:3] if 0 <= k < len(own) else [0.0, 0.0]

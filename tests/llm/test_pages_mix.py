@@ -51,6 +51,13 @@ def test_unclosed_and_broken_markup():
     assert htmltext.blocks(None) == htmltext.blocks("") == htmltext.blocks("<p> </p>") == []
 
 
+def test_text_behind_broken_declarations_is_kept():
+    for broken in ("<![foo]>", "<![ CDATA [", "<![--x--]>", "<![>", "<!x>", "&#" + "9" * 5000 + ";", f'<a href="&#{"9" * 5000};">'):
+        got = [b[0] for b in htmltext.blocks(f"<p>before</p>{broken}<p>lost up to ></p><p>behind</p><p>the end</p>")]
+        assert got[0] == "before" and got[-2:] == ["behind", "the end"]
+    assert [b[0] for b in htmltext.blocks(f"<p>&#{'0' * 5000}65;B</p>")] == ["AB"]
+
+
 def test_tree_separates_its_table(spark, tree):
     rows = spark.createDataFrame([(f, y) for f, y in htmltext.labelled_blocks()], "f array<double>, y double")
     block = F.struct(*[F.col("f")[k].alias(n) for k, n in enumerate(htmltext.FEATURES)])
