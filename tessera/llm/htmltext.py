@@ -32,6 +32,8 @@ _BLOCKS = frozenset(
     "summary table tbody td textarea tfoot th thead tr ul".split())
 #: Elements whose content is never text of the page.
 _SILENT = frozenset("head script style noscript template title svg math iframe object canvas audio video".split())
+#: Elements that may stand in a head; any other one ends it.
+_IN_HEAD = frozenset("base basefont bgsound head html link meta noframes noscript script style template title".split())
 #: Elements and name parts (class, id, role) of boilerplate.
 _FRAME = frozenset("nav header footer aside form menu dialog button select textarea search".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -74,7 +76,14 @@ class _Blocks(HTMLParser):
         except AssertionError:  # no section that the parser knows: a comment up to ">"
             return self.parse_bogus_comment(i)
 
+    def end_head(self) -> None:
+        """End every open head; it may lack its end tag."""
+        while self.at["head"]:
+            self._close("head")
+
     def handle_starttag(self, tag: str, attrs: list) -> None:
+        if tag == "body" or (tag not in _IN_HEAD and self.open[-1][0] == "head"):
+            self.end_head()
         if tag in _BLOCKS:
             self.cut()
             if tag in _ENDS_P:
@@ -119,6 +128,8 @@ class _Blocks(HTMLParser):
         self._close(tag, stop=() if tag in _BLOCKS or tag in _SILENT else ("*",))
 
     def handle_data(self, data: str) -> None:
+        if self.open[-1][0] == "head" and data.strip():
+            self.end_head()
         _, silent, frame, article, heading, link = self.open[-1]
         if silent:
             return

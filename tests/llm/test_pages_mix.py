@@ -58,6 +58,16 @@ def test_text_behind_broken_declarations_is_kept():
     assert [b[0] for b in htmltext.blocks(f"<p>&#{'0' * 5000}65;B</p>")] == ["AB"]
 
 
+def test_head_without_end_tag(spark, tree):
+    pages = [f"<html><head><title>t</title>{body}" for body in (
+        f"<body><article>{ARTICLE}</article>", f"<article>{ARTICLE}</article>", f"<noscript><img src='x'></noscript><main>{ARTICLE}",
+        f"<img src='x'><article>{ARTICLE}</article>", f"<noscript><body><article>{ARTICLE}</article>")]
+    assert text_of(spark, tree, *pages) == [LINES] * len(pages)
+    silent = "<head>\n<title>t</title><meta name=x>\n<noscript><img>no</noscript><script>a</script></head><p>x</p>"
+    assert [b[0] for b in htmltext.blocks(silent)] == ["x"]
+    assert [b[0] for b in htmltext.blocks("<head><title>t</title>plain text<p>x</p>")] == ["plain text", "x"]
+
+
 def test_tree_separates_its_table(spark, tree):
     rows = spark.createDataFrame([(f, y) for f, y in htmltext.labelled_blocks()], "f array<double>, y double")
     block = F.struct(*[F.col("f")[k].alias(n) for k, n in enumerate(htmltext.FEATURES)])
