@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, exactdedup, htmltext, langid, lmscore, mixing, neardup, simhash, toxicity, urlfilter
+from tessera.llm import bpe, conversation, exactdedup, htmltext, langid, lmscore, mixing, neardup, simhash, toxicity, urlfilter
 from tessera.llm.common import fold, read
 
 TOXIC_FROM = 0.3
@@ -79,9 +79,14 @@ def op10_embedding_neardup(spark: SparkSession, d: str) -> DataFrame:
                          F.coalesce(F.col("id") == F.col("component"), F.lit(False)).alias("kept"))
 
 
+def op11_conversation_repair(spark: SparkSession, d: str) -> DataFrame:
+    pieces = conversation.repair(conversation.damage(read(spark, d, "conversations")))
+    return conversation.digests(pieces).withColumnRenamed("conv", "conv_id")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_language_id, op2_lm_score, op3_toxicity, op4_html_text, op5_url_filter, op6_simhash, op7_bpe, op8_exact_dedup,
-    op9_mixing, op10_embedding_neardup)}
+    op9_mixing, op10_embedding_neardup, op11_conversation_repair)}
 
 ORACLES = {
     "op8_exact_dedup": r"""
