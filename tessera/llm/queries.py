@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, conversation, exactdedup, htmltext, langid, lmscore, mixing, neardup, simhash, toxicity, urlfilter
+from tessera.llm import ann, bpe, conversation, exactdedup, hardneg, htmltext, langid, lmscore, mixing, neardup, simhash, toxicity, urlfilter
 from tessera.llm.common import fold, read
 
 TOXIC_FROM = 0.3
@@ -84,9 +84,24 @@ def op11_conversation_repair(spark: SparkSession, d: str) -> DataFrame:
     return conversation.digests(pieces).withColumnRenamed("conv", "conv_id")
 
 
+def op12_hard_negatives(spark: SparkSession, d: str) -> DataFrame:
+    vec, label = F.col("vec_id"), F.col("label")
+    rows = read(spark, d, "embeddings").select(
+        vec.alias("id"), F.when(vec % 7 == 0, (label + 1) % 10).otherwise(label).alias("label"),
+        hardneg.quantised(F.col("embedding")).alias("code"), (vec % 100 == 0).alias("anchor"))
+    return hardneg.mine(rows, positives=5, negatives=10, low=30, high=90, base=100)
+
+
+def op13_nearest_neighbours(spark: SparkSession, d: str) -> DataFrame:
+    vec = F.col("vec_id")
+    rows = read(spark, d, "embeddings").select(vec.alias("id"), F.col("embedding").alias("vector"), (vec % 50 == 0).alias("query"))
+    return ann.search(rows, k=5).select("query_id", "rank", F.col("id").alias("vec_id"), "score")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_language_id, op2_lm_score, op3_toxicity, op4_html_text, op5_url_filter, op6_simhash, op7_bpe, op8_exact_dedup,
-    op9_mixing, op10_embedding_neardup, op11_conversation_repair)}
+    op9_mixing, op10_embedding_neardup, op11_conversation_repair, op12_hard_negatives,
+    op13_nearest_neighbours)}
 
 ORACLES = {
     "op8_exact_dedup": r"""
@@ -97,4 +112,33 @@ ORACLES = {
           SELECT norm, first(doc_id ORDER BY points DESC, doc_id) AS keep_id, count(*) AS group_size FROM rows GROUP BY norm)
         SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(norm) AS text_sha256
         FROM rows JOIN classes USING (norm)""",
+    "op12_hard_negatives": """
+        WITH rows AS (
+          SELECT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                 [floor(256 * x::DOUBLE) FOR x IN embedding] AS code
+          FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+            AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+        scores AS (
+          SELECT a.id AS anchor_id, c.id, c.label = a.label AS same, list_dot_product(a.code, c.code)::BIGINT AS score
+          FROM rows a JOIN rows c ON a.id <> c.id AND len(a.code) = len(c.code) WHERE a.id % 100 = 0),
+        positives AS (
+          SELECT anchor_id, id AS positive_id, score AS positive_score FROM scores WHERE same
+          QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5),
+        hard AS (
+          SELECT anchor_id, positive_id, id AS negative_id, positive_score, score AS negative_score,
+                 row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id) AS rank
+          FROM positives JOIN scores USING (anchor_id)
+          WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score)
+        SELECT anchor_id, positive_id, rank::INT AS rank, negative_id, positive_score, negative_score FROM hard WHERE rank <= 10""",
+    "op13_nearest_neighbours": """
+        WITH rows AS (
+          SELECT vec_id, [x::DOUBLE FOR x IN embedding] AS v FROM embeddings
+          WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+            AND len([x FOR x IN embedding IF x <> 0]) > 0),
+        scores AS (
+          SELECT q.vec_id AS query_id, c.vec_id, list_cosine_similarity(q.v, c.v) AS score
+          FROM rows q JOIN rows c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 50 = 0),
+        ranked AS (
+          SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank, vec_id, score FROM scores)
+        SELECT query_id, rank::INT AS rank, vec_id, score FROM ranked WHERE rank <= 5""",
 }
