@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import map_texts, pin
+from tessera.llm.common import map_texts, pin, text_of
 from tessera.llm.components import connected_components
 
 #: Shingles hashed at once, so that one very long text needs bounded memory.
@@ -58,17 +58,6 @@ def fingerprint(text: str | None, words: int = 3, seed: int = 42) -> int:
     return int(np.packbits(2 * ones > n, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, id_col: str, text_col: str, words: int = 3) -> DataFrame:
-    """``(id, fp)``, one row per row; ``fp`` holds the 64 bits as a bigint."""
-
-    def make():
-        signed = lambda v: v - (1 << 64) if v >> 63 else v
-        return lambda text: (signed(fingerprint(text, words)),)
-
-    rows = docs.select(docs[id_col].cast("bigint").alias("id"), docs[text_col].alias("text"))
-    return map_texts(rows, ("id",), rows["text"], make, "fp bigint")
-
-
 class BKTree:
     """Distinct integers in a tree: a child's key is its Hamming distance to the parent."""
 
@@ -196,6 +185,22 @@ def links(nodes: DataFrame, radius: int = 3, shard_rows: int = SHARD_ROWS) -> Da
     return shards.mapInPandas(_search(radius), "a bigint, b bigint")
 
 
+def _groups(docs: DataFrame, id_col: str, text_col: str, words: int, radius: int, shard_rows: int) -> DataFrame:
+    """``(id, key, fp, root, component)``, one row per row of ``docs``: ``key`` is
+    the MD5 of the text, ``root`` a fingerprint that stands for the component
+    (an id may be the smallest of several components, if it repeats)."""
+    signed = lambda v: v - (1 << 64) if v >> 63 else v
+    given = docs.select(docs[id_col].cast("bigint").alias("id"), F.unhex(F.md5(text_of(docs, text_col))).alias("key"),
+                        docs[text_col].alias("text"))
+    rows = pin(map_texts(given, ("id", "key"), given["text"], lambda: lambda t: (signed(fingerprint(t, words)),), "fp bigint"))
+    nodes = pin(rows.groupBy("fp").agg(F.min("id").alias("id")))
+    found = connected_components(links(nodes.select("fp", F.col("fp").alias("id")), radius, shard_rows))
+    rooted = pin(nodes.join(found, nodes["fp"] == found["node"], "left").select("fp", "id", F.coalesce("component", "fp").alias("root")))
+    least = rooted.groupBy("root").agg(F.min("id").alias("component"))
+    named = pin(rooted.drop("id").join(least, "root"))
+    return rows.join(named, "fp", "left").select("id", "key", "fp", "root", "component")
+
+
 def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3,
                    radius: int = 3, shard_rows: int = SHARD_ROWS) -> DataFrame:
     """``(id, fp, component)``, one row per row of ``docs``: the fingerprint as
@@ -203,24 +208,33 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     Null and empty texts have fingerprint 0, linked like any other. Repeated
     rows and equal texts share a fingerprint and so a component. Rows with a
-    null id join the component of their fingerprint but name none: where all
-    rows of a fingerprint lack an id, ``component`` is null. Other columns are
+    null id join a component but name none: where all
+    rows of a component lack an id, ``component`` is null. Other columns are
     not read, whatever their names. No rows give no rows.
     """
-    rows = pin(fingerprints(docs, id_col, text_col, words))
-    nodes = pin(rows.groupBy("fp").agg(F.min("id").alias("id")).where(F.col("id").isNotNull()))
-    found = connected_components(links(nodes, radius, shard_rows))
-    named = pin(nodes.join(found, nodes["id"] == found["node"], "left")
-                .select("fp", F.coalesce("component", "id").alias("component")))
-    return rows.join(named, "fp", "left").select("id", "fp", "component")
+    return _groups(docs, id_col, text_col, words, radius, shard_rows).drop("key", "root")
 
 
 def simhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3,
-                  radius: int = 3) -> DataFrame:
-    """The rows of ``docs`` whose id is the smallest of its component, with all
-    their columns: one document of each group stays. Rows with a null id stay,
-    as nothing tells them apart; rows that repeat the id that stays stay with it.
+                  radius: int = 3, shard_rows: int = SHARD_ROWS) -> DataFrame:
+    """One row of each component, with all its columns: the one with the
+    smallest id. Rows are told apart by id and text, not by id alone: where an
+    id repeats with texts of different components, each component keeps its own
+    row, and where it repeats inside one, the text with the smallest MD5 stays.
+
+    Of rows that repeat both id and text one stays. Rows with a null id stay,
+    as no component can be named by them. Null and empty texts are copies of
+    one another. Column names may clash with none here. No rows give no rows.
     """
-    groups = simhash_groups(docs, id_col, text_col, words, radius)
-    gone = groups.where(F.col("id") != F.col("component")).select(F.col("id").alias("__gone")).distinct()
-    return docs.join(gone, docs[id_col].cast("bigint") == F.col("__gone"), "left_anti")
+    keyed = _groups(docs, id_col, text_col, words, radius, shard_rows).where(F.col("id").isNotNull())
+    texts = keyed.groupBy("root", "id", "key").agg(F.count(F.lit(1)).alias("n"))
+    stays = pin(texts.groupBy("root").agg(F.min(F.struct("id", "key", "n")).alias("s")).select("s.*"))
+    own = [docs[id_col].cast("bigint"), F.unhex(F.md5(text_of(docs, text_col)))]
+    of = lambda some: (own[0] == some["id"]) & (own[1] == some["key"])
+    once, again = stays.where("n = 1"), stays.where("n > 1")
+    kept = docs.where(own[0].isNull()).unionAll(docs.join(once, of(once), "left_semi"))
+    if again.isEmpty():
+        return kept
+    names = [f"c{k}" for k in range(len(docs.columns))]
+    repeats = docs.join(again, of(again), "left_semi").select("*", own[0].alias("__id"), own[1].alias("__key")).toDF(*names, "id", "key")
+    return kept.unionAll(repeats.dropDuplicates(["id", "key"]).select(*names))

@@ -171,6 +171,28 @@ def test_simhash_edges_and_dedup(spark):
     assert kept.columns == ["doc_id", "text", "component"]
     assert {r["component"] for r in kept.collect()} == {"b", "d", "e", "f", "g"} | (set() if same else {"a"})
     assert simhash.simhash_groups(spark.createDataFrame([], DOCS)).count() == 0
+    assert simhash.simhash_dedup(spark.createDataFrame([], DOCS)).count() == 0
+
+
+A, B, C = (" ".join(f"{p}{k}" for k in range(200)) for p in "abc")
+
+
+@pytest.mark.parametrize("rows, want", [
+    ([(1, A), (5, A), (5, B)], [(1, A), (5, B)]),
+    ([(1, A), (1, B), (1, C), (2, A), (2, C)], [(1, A), (1, B), (1, C)]),
+    ([(5, A), (5, A), (5, A), (7, B)], [(5, A), (7, B)]),
+    ([(3, None), (3, ""), (3, " \t"), (4, None)], None),
+    ([(2, A)] * 40 + [(9, B)] * 40 + [(None, A), (None, B)], [(2, A), (9, B), (None, A), (None, B)]),
+])
+def test_simhash_dedup_decides_by_row(spark, rows, want):
+    df = spark.createDataFrame([(*r, f"x{k}") for k, r in enumerate(rows)], "doc_id bigint, text string, `__id` string")
+    got = simhash.simhash_dedup(df.repartition(3))
+    assert got.columns == ["doc_id", "text", "__id"]
+    found = sorted(((r["doc_id"], r["text"]) for r in got.collect()), key=str)
+    if want is None:
+        assert len(found) == 1 and found[0][0] == 3
+    else:
+        assert found == sorted(want, key=str)
 
 
 # --- embeddings -------------------------------------------------------------
