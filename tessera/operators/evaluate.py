@@ -109,6 +109,27 @@ def auroc(df: DataFrame, label: str = "label", score: Column | str = "score",
     return auroc_of_counts(hist, partitions).withColumn("left_out", left_out)
 
 
+def auroc_by(df: DataFrame, by: Sequence[str], label: str = "label", score: str = "score",
+             partitions: int | None = None) -> DataFrame:
+    """E3 for every group at once: ``(by..., auroc, positive, negative)``.
+
+    The rank sums of all groups come from one distributed prefix sum over the
+    histogram of (group, score); a group's own sum begins at the least prefix
+    of its rows, so that nothing is computed group by group. ``auroc`` is null
+    without both labels; rows that cannot be ranked are left out.
+    """
+    by = list(by)
+    rows = df.select(*by, F.col(score).cast("double").alias("_s"), F.col(label).alias("_y")).where(
+        F.col("_s").isNotNull() & F.col("_y").isin(0, 1))
+    hist = rows.groupBy(*by, "_s").agg(_count_if(F.col("_y") == 1).alias("_pos"), _count_if(F.col("_y") == 0).alias("_neg"))
+    cum = running_total(hist, [*[F.col(c).asc() for c in by], F.col("_s").asc()], {"_cneg": F.col("_neg")}, partitions)
+    pos, neg, upto = F.col("_pos").cast("double"), F.col("_neg").cast("double"), F.col("_cneg").cast("double")
+    sums = cum.groupBy(*by).agg(F.sum(pos * (upto - neg * 0.5)).alias("_r"), F.min(upto - neg).alias("_before"),
+                                F.sum("_pos").alias("positive"), F.sum("_neg").alias("negative"))
+    area = safe_ratio(F.col("_r") - F.col("_before") * F.col("positive"), F.col("positive").cast("double") * F.col("negative"))
+    return sums.select(*by, area.alias("auroc"), "positive", "negative")
+
+
 def per_class_report(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
     """``(class, tp, predicted, actual, precision, recall)`` for every class
     that occurs as a label or a prediction.

@@ -9,19 +9,25 @@ afterwards (the reference caches and never unpersists).
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
+from itertools import product
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.columns import top_k_by_score, uniform
+from tessera.functions.columns import uniform
+from tessera.operators.evaluate import auroc_by
 from tessera.operators.features import assembler, fit_scaler
+from tessera.operators.topk import top_k_by_norm
+from tessera.session import scratch_path
 
 
 @contextmanager
@@ -110,6 +116,56 @@ def tune_gbt(train: DataFrame, cols: Sequence[str], label: str = "label",
     return PipelineModel(stages=[*prep.stages, cv_model.bestModel]), cv_model
 
 
+def settings_of(grid: dict) -> list[dict]:
+    """Every setting of a grid, the last parameter varying fastest."""
+    return [dict(zip(grid, values)) for values in product(*grid.values())]
+
+
+def validation_scores(train: DataFrame, cols: Sequence[str], label: str, id_cols: Sequence[str], grid: dict,
+                      folds: int = 5, seed: int = 0, parallelism: int = 2, **params) -> DataFrame:
+    """L4: ``(setting, fold, label, score)`` of every row of every fold, scored by
+    the trees of each setting fitted on the other folds. Folds are cut by the
+    hash of the row key, so copies of a row share one. The fits of a fold run
+    side by side; each writes its scores below the checkpoint folder.
+    """
+    prep, settings = _assembled(train, cols), settings_of(grid)
+    data = prep.transform(train).select("assembled", label, fold_of(id_cols, folds, seed).alias("_fold"))
+    path = scratch_path(train.sparkSession, "validation-scores")
+
+    def run(setting: int, fold: int) -> None:
+        gbt = GBTClassifier(featuresCol="assembled", labelCol=label, seed=seed, **(params | settings[setting]))
+        scored = gbt.fit(data.where(F.col("_fold") != fold)).transform(data.where(F.col("_fold") == fold))
+        margin = vector_to_array("rawPrediction").getItem(1)
+        scored.select(F.lit(setting).alias("setting"), F.lit(fold).alias("fold"), F.col(label).alias("label"), margin.alias("score")) \
+            .write.parquet(f"{path}/part={setting}-{fold}")
+
+    with _persisted(data), ThreadPoolExecutor(parallelism) as pool:
+        list(pool.map(inheritable_thread_target(train.sparkSession)(run), *zip(*product(range(len(settings)), range(folds)))))
+    return train.sparkSession.read.parquet(f"{path}/*")
+
+
+def tuning_metrics(scores: DataFrame) -> DataFrame:
+    """L4: ``(setting, fold, auroc)``, exact, from one pass over all scores."""
+    return auroc_by(scores, ["setting", "fold"]).select("setting", "fold", "auroc")
+
+
+def best_setting(metrics: DataFrame) -> int:
+    """The setting with the largest mean AUROC over its folds, the first of equals."""
+    means = metrics.groupBy("setting").agg(F.avg("auroc").alias("mean"))
+    return means.orderBy(F.col("mean").desc_nulls_last(), "setting").first()["setting"]
+
+
+def cross_validate(train: DataFrame, cols: Sequence[str], label: str = "label", id_cols: Sequence[str] = (),
+                   grid: dict | None = None, folds: int = 5, seed: int = 0, parallelism: int = 2,
+                   **params) -> tuple[PipelineModel, DataFrame]:
+    """L4: the model of the best setting, fitted on all rows, and the metrics of
+    every setting and fold."""
+    grid = grid or GBT_GRID
+    metrics = tuning_metrics(validation_scores(train, cols, label, id_cols, grid, folds, seed, parallelism, **params)).checkpoint()
+    best = settings_of(grid)[best_setting(metrics)]
+    return fit_gbt(train, cols, label, seed, **(params | best)), metrics
+
+
 def fit_als(train: DataFrame, user: str, item: str, rating: str, seed: int = 0,
             max_iter: int = 5, reg: float = 0.01, rank: int = 10, alpha: float = 1.0,
             implicit: bool = True, cold_start: str = "nan") -> ALSModel:
@@ -128,24 +184,22 @@ def score_pairs(model: ALSModel, pairs: DataFrame, cold: str = "nan") -> DataFra
 
 
 def recommend_top_k(model: ALSModel, k: int, out: str = "items", users: DataFrame | None = None) -> DataFrame:
-    """The ``k`` best items per training user as an id list (rating desc,
+    """The ``k`` best items per training user as an id list (score desc,
     ties by item id); with ``users`` only for the users in that frame.
 
-    Exact top-k by dot product scores every (user, item) pair; MLlib does it
-    block-wise (a join of user-factor blocks with item-factor blocks that keeps
-    only a bounded top-k queue per user and block), so no pair list is ever
-    materialised. It is the one nested-loop join in the library.
+    Exact: items are visited by falling norm and a user stops where no later
+    item can enter its list (``topk.top_k_by_norm``); no pair list is ever
+    materialised and no join pairs users with items.
     """
-    recs = model.recommendForAllUsers(k) if users is None else model.recommendForUserSubset(users, k)
-    user_col = model.getUserCol()
-    item_col = model.getItemCol()
-    return recs.select(user_col, top_k_by_score("recommendations", k, item=item_col,
-                                                score="rating").alias(out))
+    col = model.getUserCol()
+    factors = model.userFactors
+    if users is not None:
+        factors = factors.join(users.select(F.col(col).cast("int").alias("id")).distinct(), "id", "left_semi")
+    return top_k_by_norm(factors, model.itemFactors, k).select(F.col("id").alias(col), F.col("items").alias(out))
 
 
 def predict(model: PipelineModel, df: DataFrame) -> DataFrame:
     """Apply a fitted pipeline and keep a plain ``probability`` array too."""
-    from pyspark.ml.functions import vector_to_array
     scored = model.transform(df)
     if "probability" in scored.columns:
         scored = scored.withColumn("p1", vector_to_array(F.col("probability")).getItem(1))

@@ -16,6 +16,10 @@ bounded work per task.
 * ``hash_cuts`` — per group, the hash key of its n-th row, from counts of hash
   prefixes and a row number inside one prefix only; a split needs no more.
 
+* ``numbered_in_order`` — row number inside groups in any order: one range
+  partitioning by group and order, numbers inside (partition, group), and an
+  offset for the one group that may go on from the partition before.
+
 * ``running_total`` — global prefix sums in any order: range-partition by the
   order, pin the partitioning with a reliable checkpoint (range bounds are
   sampled, so a recomputation could move rows), sum inside each partition,
@@ -42,6 +46,17 @@ def _null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> D
     return joined.drop(*[f"_rk{i}" for i in range(len(keys))])
 
 
+# Rows of a table that may be broadcast; those of this module hold a digest and a few ids each.
+BROADCAST_ROWS = 1 << 17
+
+
+def checked_broadcast(written: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """``written`` (a checkpoint or a table, as it is counted here) with a
+    broadcast hint if it has at most ``max_rows`` rows, else as it is, for a
+    shuffle join that AQE may split."""
+    return F.broadcast(written) if written.limit(max_rows + 1).count() <= max_rows else written
+
+
 # Rows one task may window-sort per bucket before a group is split further.
 TARGET_BUCKET_ROWS = 1 << 20
 
@@ -80,32 +95,45 @@ def numbered_by_hash(df: DataFrame, by: Sequence[str], key: str, out: str = "row
     return joined.select(*cols)
 
 
-# Leading hex digits of a key that are counted to find a cut.
-CUT_PREFIX = 3
+# Hex digits that one step of the search for a cut adds, and rows that the last step may rank.
+CUT_STEP, CUT_ROWS = 3, 1 << 16
 
 
 def hash_cuts(df: DataFrame, by: Sequence[str], key: str, take, tie: Sequence[str] = (),
-              out: str = "cut") -> DataFrame:
+              out: str = "cut", max_rows: int = CUT_ROWS, step: int = CUT_STEP) -> DataFrame:
     """``(by..., out)``: the struct ``(key, tie...)`` of the row numbered ``take``
     in each group's (key, tie) order; no row where that number is below 1.
 
     ``take`` maps the group size (a Column) to a row number. Rows are counted
-    per group and hash prefix (partial aggregation, at most 16^CUT_PREFIX rows
-    per group); only the rows of the prefix that holds the wanted one, 1/4096 of
-    a large group, are ranked.
+    per group and hash prefix (partial aggregation, at most 16^``step`` rows
+    per group) and the prefix that holds the wanted row stays open. While an
+    open prefix holds more than ``max_rows`` rows, it is counted again by
+    ``step`` more digits, to the whole digest if need be, so the last step
+    ranks at most ``max_rows`` rows of a group however large the group is
+    (rows of one and the same digest apart, which only ``tie`` tells apart).
+    The open prefixes are written each time, one row per group, and broadcast
+    where they are few (``checked_broadcast``).
     """
     by = list(by)
-    prefix = F.substring(F.col(key), 1, CUT_PREFIX)
-    counts = df.groupBy(*by, prefix.alias("_p")).agg(F.count(F.lit(1)).alias("_c"))
-    group = Window.partitionBy(*by)
-    sums = (counts.withColumn("_upto", F.sum("_c").over(group.orderBy("_p")))
-            .withColumn("_need", take(F.sum("_c").over(group)).cast("bigint")))
-    need, upto = F.col("_need"), F.col("_upto")
-    at = (sums.where((need >= 1) & (upto >= need) & (upto - F.col("_c") < need))
-          .select(*by, "_p", (need - upto + F.col("_c")).alias("_r")))
-    inside = _null_safe_join(df.select(*dict.fromkeys([*by, key, *tie]), prefix.alias("_p")), at, [*by, "_p"])
-    row = F.row_number().over(group.orderBy(F.col(key), *[F.col(t) for t in tie]))
-    return (inside.withColumn("_row", row).where(F.col("_row") == F.col("_r"))
+    checkpoint_dir(df.sparkSession)
+    rows, group = df.select(*dict.fromkeys([*by, key, *tie])), Window.partitionBy(*by)
+    first = F.substring(F.col(key), 1, step)
+    sums = rows.groupBy(*by, first.alias("_p")).agg(F.count(F.lit(1)).alias("_c"))
+    sums = sums.withColumn("_need", take(F.sum("_c").over(group)).cast("bigint"))
+    depth = step
+    while True:
+        upto = F.sum("_c").over(group.orderBy("_p"))
+        need = F.col("_need")
+        open_ = (sums.withColumn("_upto", upto).where((need >= 1) & (F.col("_upto") >= need) & (F.col("_upto") - F.col("_c") < need))
+                 .select(*by, "_p", "_c", (need - F.col("_upto") + F.col("_c")).alias("_need")).checkpoint(eager=True))
+        inside = _null_safe_join(rows.withColumn("_p", F.substring(F.col(key), 1, depth)), checked_broadcast(open_), [*by, "_p"])
+        if depth >= 32 or (open_.agg(F.max("_c")).first()[0] or 0) <= max_rows:
+            break
+        depth = min(32, depth + step)
+        sums = inside.groupBy(*by, F.substring(F.col(key), 1, depth).alias("_p")).agg(
+            F.count(F.lit(1)).alias("_c"), F.first("_need").alias("_need"))
+    number = F.row_number().over(group.orderBy(F.col(key), *[F.col(t) for t in tie]))
+    return (inside.withColumn("_row", number).where(F.col("_row") == F.col("_need"))
             .select(*by, F.struct(key, *tie).alias(out)))
 
 
@@ -138,6 +166,40 @@ def running_total(df: DataFrame, order: Sequence[Column], values: Mapping[str, C
                          *[(F.col(f"_o{i}") + F.col(f"_l{i}")).alias(n) for i, n in enumerate(names)])
 
 
+def numbered_in_order(df: DataFrame, by: Sequence[str], order: Sequence[Column], out: str = "row",
+                      partitions: int | None = None) -> DataFrame:
+    """Add ``out``: the 1-based row number inside ``by``, in ``order`` (which
+    should be total inside a group).
+
+    Rows are range-partitioned by (``by``, ``order``), so that a group of any
+    size covers as many partitions as it needs, and written once. A group then
+    has rows in two partitions only if it is the last one of the first and the
+    first one of the next; each partition therefore carries one offset, held in
+    a table of one row per partition. No join on the group, and beside the
+    range exchange only the one that numbers inside (partition, group).
+    """
+    by, spark = list(by), df.sparkSession
+    checkpoint_dir(spark)
+    n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    placed = (df.repartitionByRange(n_parts, *[F.col(c).asc() for c in by], *order)
+              .withColumn("_part", F.spark_partition_id()).checkpoint(eager=True))
+    group = F.struct(*by)
+    ends = placed.groupBy("_part").agg(F.min(group).alias("_head"), F.max(group).alias("_tail"))
+    # One row per partition, here and below.
+    tails = placed.join(F.broadcast(ends), "_part").groupBy("_part").agg(
+        F.first("_head").alias("_head"), F.first("_tail").alias("_tail"),
+        F.count_if(group.eqNullSafe(F.col("_tail"))).alias("_n"))
+    in_row = Window.orderBy("_part")
+    so_far = F.sum("_n").over(Window.partitionBy("_tail").orderBy("_part"))
+    before = tails.withColumn("_sum", so_far).select(
+        "_part", "_head", F.when(F.lag("_tail").over(in_row).eqNullSafe(F.col("_head")), F.lag("_sum").over(in_row))
+        .otherwise(0).alias("_carry"))
+    local = F.row_number().over(Window.partitionBy("_part", *by).orderBy(*order))
+    offset = F.when(group.eqNullSafe(F.col("_head")), F.col("_carry")).otherwise(0)
+    return (placed.withColumn("_row", local).join(F.broadcast(before), "_part")
+            .select(*df.columns, (F.col("_row") + offset).cast("bigint").alias(out)))
+
+
 def dense_index(df: DataFrame, order: Sequence[Column], out: str = "index",
                 partitions: int | None = None) -> DataFrame:
     """0-based position of each row in the global ``order`` (must be total)."""

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.columns import hash_key, uniform, uniform_at
-from tessera.operators.rank import TARGET_BUCKET_ROWS, hash_cuts, numbered_by_hash
+from tessera.operators.rank import TARGET_BUCKET_ROWS, checked_broadcast, hash_cuts, numbered_by_hash
 
 
 def numbered(df: DataFrame, by: Sequence[str], id_cols: Sequence[str], seed: int = 0,
@@ -30,8 +30,11 @@ def numbered(df: DataFrame, by: Sequence[str], id_cols: Sequence[str], seed: int
 
 
 def _taken(df: DataFrame, cuts: DataFrame, by: Sequence[str], key: str, tie: Sequence[str], out: str) -> DataFrame:
-    """Add ``out``: whether the row comes no later than its group's cut; null without a cut."""
-    named = cuts.select(*[F.col(c).alias(f"_by{i}") for i, c in enumerate(by)], F.col("cut").alias("_cut"))
+    """Add ``out``: whether the row comes no later than its group's cut; null
+    without a cut. The cuts, one row per group, are written, and broadcast
+    where they are few."""
+    named = checked_broadcast(cuts.select(*[F.col(c).alias(f"_by{i}") for i, c in enumerate(by)], F.col("cut").alias("_cut"))
+                              .checkpoint(eager=True))
     same = [F.col(c).eqNullSafe(F.col(f"_by{i}")) for i, c in enumerate(by)]
     return (df.join(named, same, "left").withColumn(out, F.struct(key, *tie) <= F.col("_cut"))
             .drop("_cut", *[f"_by{i}" for i in range(len(by))]))

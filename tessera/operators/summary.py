@@ -13,7 +13,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.columns import safe_ratio
-from tessera.operators.rank import dense_index, running_total
+from tessera.operators.correlate import correlation_pairs
+from tessera.operators.rank import numbered_in_order, running_total
+from tessera.session import checkpoint_dir
 
 
 def row_counts(frames: Mapping[str, DataFrame]) -> DataFrame:
@@ -60,6 +62,16 @@ def order_rows(df: DataFrame, *keys: Column) -> DataFrame:
     return df.orderBy(*keys)
 
 
+def positions(ordered: DataFrame, out: str = "position") -> DataFrame:
+    """O3, checked form: the rows of a sorted frame with their 1-based place in it.
+
+    A sort leaves rows in order inside partitions and across them; the frame is
+    written as it lies, and the places are counted up partition by partition."""
+    checkpoint_dir(ordered.sparkSession)
+    placed = ordered.withColumn("_at", F.monotonically_increasing_id()).checkpoint(eager=True)
+    return running_total(placed, [F.col("_at").asc()], {out: F.lit(1).cast("bigint")}).drop("_at")
+
+
 def distinct_counts(df: DataFrame, cols: Sequence[str], approx: bool = False,
                     rsd: float = 0.05) -> DataFrame:
     """A5: exact (or HyperLogLog++) distinct count per column, one job."""
@@ -95,16 +107,14 @@ def ranked_items(df: DataFrame, user: str, item: str, weight: str, k: int | None
     ``(user, position, item)`` with positions from 1; ``k=None`` is the whole list.
 
     No list is ever one row. With ``k`` the cut runs before the shuffle (O7).
-    Whole lists are numbered globally in (user, weight, item) order by
-    distributed prefix sums, and a user's first number is taken off.
+    Whole lists are numbered inside range partitions, with one offset carried
+    over each partition boundary (``rank.numbered_in_order``).
     """
     if k is not None:
         top = top_k_per_group(df, user, [F.col(weight).desc(), F.col(item)], k, rank_col=position)
         return top.select(user, F.col(position).cast("bigint").alias(position), item)
-    placed = dense_index(df.select(user, item, weight), [F.col(user).asc(), F.col(weight).desc(), F.col(item).asc()], "_at")
-    first = placed.groupBy(F.col(user).alias("_user")).agg(F.min("_at").alias("_first"))
-    return (placed.join(first, F.col(user).eqNullSafe(F.col("_user")))
-            .select(user, (F.col("_at") - F.col("_first") + 1).alias(position), item))
+    order = [F.col(weight).desc(), F.col(item).asc()]
+    return numbered_in_order(df.select(user, item, weight), [user], order, position).select(user, position, item)
 
 
 def describe_long(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -161,31 +171,6 @@ def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     return wide.selectExpr(f"stack({len(names)}, {body}) AS (column, probability, value)")
 
 
-def correlation_pairs(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """A10: Pearson ``r`` for every pair ``i < j`` as ``(i, j, col_i, col_j, r)``.
-
-    A pair leaves out the rows in which one of its two columns is null, at any
-    number of columns. Each row hands its pairs of values to a hash aggregation
-    keyed by pair, combined in the task that reads the row, so the plan has the
-    same few expressions for eight columns and for thousands, and what is
-    shuffled is one row per pair and task. No rows give no pairs.
-    """
-    cols = list(cols)
-    if len(cols) < 2:
-        return df.sparkSession.createDataFrame([], "i int, j int, col_i string, col_j string, r double")
-    values = df.select(F.array(*[F.col(c).cast("double") for c in cols]).alias("v"))
-    v, last = F.col("v"), F.lit(len(cols) - 1)
-
-    def with_later(i: Column) -> Column:
-        return F.transform(F.sequence(i + 1, last), lambda j: F.struct(
-            i.alias("i"), j.alias("j"), F.get(v, i).alias("x"), F.get(v, j).alias("y")))
-
-    pairs = F.flatten(F.transform(F.sequence(F.lit(0), last - 1), with_later))
-    r = values.select(F.inline(pairs)).groupBy("i", "j").agg(F.corr("x", "y").alias("r"))
-    names = F.array(*[F.lit(c) for c in cols])
-    return r.select("i", "j", F.get(names, F.col("i")).alias("col_i"), F.get(names, F.col("j")).alias("col_j"), "r")
-
-
 def correlated_pairs(df: DataFrame, cols: Sequence[str], threshold: float = 0.8,
                      absolute: bool = False) -> DataFrame:
     """Pairs with ``r > threshold`` (one-sided unless ``absolute``)."""

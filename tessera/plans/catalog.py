@@ -12,8 +12,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.operators import evaluate, match, sample, shape, summary
-from tessera.operators.features import standardize, string_index_table
+from tessera.operators import evaluate, match, sample, shape, sketch, summary
+from tessera.operators.features import apply_index, fit_index, standardize, string_index_table
 from tessera.plans import frames as fr
 from tessera.plans import params as P
 from tessera.plans.sqlparts import h_sql, u_sql, with_ctes
@@ -73,10 +73,9 @@ def q_select_prefixed(spark, d):
 @query("point_lookup", with_ctes(
     f"SELECT * FROM clean WHERE user_id = '{P.LOOKUP_USER}'", "clean"))
 def q_point_lookup(spark, d):
-    """P9 on stored facts: the equality is a pushed filter of the scan."""
-    path = scratch_path(spark, "facts")
-    fr.clean_triplets(spark, d).write.parquet(path)
-    return shape.lookup(spark.read.parquet(path), "user_id", P.LOOKUP_USER)
+    """The equality is pushed below the aggregate and the join, so that
+    only one user's orders meet the lines."""
+    return shape.lookup(fr.clean_triplets(spark, d), "user_id", P.LOOKUP_USER)
 
 
 @query("binary_label", with_ctes("SELECT track_id, genre, label FROM binlab", "binlab"))
@@ -134,7 +133,7 @@ def q_reduce_facts_stats(spark, d):
 
 @query("uncovered_keys", with_ctes("SELECT user_id, song_id, play_count FROM unc", "unc"))
 def q_uncovered_keys(spark, d):
-    s = fr.cold_split(spark, d)
+    s = fr.pin(fr.cold_split(spark, d))
     test = s.where(F.col("split") == "test").drop("split")
     train = s.where(F.col("split") == "train")
     return match.uncovered(test, train, "user_id")
@@ -228,9 +227,9 @@ def q_relevant_items(spark, d):
 
 @query("item_list_lookup", with_ctes(f"SELECT * FROM ({_ITEMS_SQL}) WHERE user_id = '{P.LIST_LOOKUP_USER}'", "repaired"))
 def q_item_list_lookup(spark, d):
-    """P9 on the list output: one user's ranked items."""
+    """P9 before the list is made: only one user's rows are ranked."""
     test = fr.repaired(spark, d).where(F.col("split") == "test")
-    return shape.lookup(summary.ranked_items(test, "user_id", "song_id", "play_count"), "user_id", P.LIST_LOOKUP_USER)
+    return summary.ranked_items(shape.lookup(test, "user_id", P.LIST_LOOKUP_USER), "user_id", "song_id", "play_count")
 
 
 def _describe_sql(src: str, cols: list[str]) -> str:
@@ -288,6 +287,67 @@ def q_quantiles_approx(spark, d):
                              P.QUANTILE_PROBS, P.QUANTILE_REL_ERR)
 
 
+_WITHIN_SQL = " UNION ALL ".join(
+    f"SELECT '{c}' AS column, {_d(p)} AS probability, count({c}) AS n, true AS within FROM ua"
+    for c in ("n_songs", "total_plays") for p in P.QUANTILE_PROBS)
+
+
+@query("quantile_sketches", with_ctes(_WITHIN_SQL, "ua"))
+def q_quantile_sketches(spark, d):
+    """A9 from stored states: a KLL sketch per part of the users, written, read
+    again and merged; each value's exact rank interval is counted in the data
+    and must come within the tolerance of the probability asked for."""
+    cols = ["n_songs", "total_plays"]
+    users = fr.pin(fr.user_activity(spark, d).withColumn("part", F.pmod(F.xxhash64("user_id"), F.lit(P.STATE_PARTS))))
+    path = scratch_path(spark, "quantile-state")
+    sketch.quantile_state(users, cols, ["part"]).write.parquet(path)
+    found = sketch.merged_quantiles(spark.read.parquet(path), P.QUANTILE_PROBS)
+    return sketch.rank_audit(found, users, P.QUANTILE_REL_ERR).select("column", "probability", "n", "within")
+
+
+_DISTINCT_SQL = """
+    WITH keys AS (SELECT o_custkey, l_partkey, CAST(year(o_orderdate) AS INTEGER) AS year
+                  FROM orders JOIN lineitem ON o_orderkey = l_orderkey),
+    counts AS (SELECT year, count(DISTINCT o_custkey) AS o_custkey, count(DISTINCT l_partkey) AS l_partkey
+               FROM keys GROUP BY GROUPING SETS ((year), ()))
+    SELECT 'o_custkey' AS column, year, o_custkey AS "distinct" FROM counts
+    UNION ALL SELECT 'l_partkey', year, l_partkey FROM counts"""
+
+
+def _monthly_keys(spark, d) -> DataFrame:
+    """Keys of buyers and parts per month of the order."""
+    lines = fx.table(spark, d, "lineitem").select("l_orderkey", "l_partkey")
+    orders = fx.table(spark, d, "orders").select("o_orderkey", "o_custkey", F.trunc("o_orderdate", "month").alias("month"))
+    return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select("month", "o_custkey", "l_partkey")
+
+
+def _yearly(state: DataFrame, counts) -> DataFrame:
+    """Counts per year and, with a null year, over all parts of a state."""
+    years = state.withColumn("year", F.year("month"))
+    return counts(years, ["year"]).unionByName(counts(years, []).withColumn("year", F.lit(None).cast("int")))
+
+
+@query("distinct_bitmaps", _DISTINCT_SQL)
+def q_distinct_bitmaps(spark, d):
+    """A5 from stored monthly bitmaps, merged to years and to the whole: exact."""
+    path = scratch_path(spark, "distinct-bitmaps")
+    sketch.distinct_bitmaps(_monthly_keys(spark, d), ["o_custkey", "l_partkey"], ["month"]).write.parquet(path)
+    return _yearly(spark.read.parquet(path), sketch.bitmap_counts).select("column", "year", "distinct")
+
+
+@query("distinct_sketches", f'SELECT "column", year, true AS within FROM ({_DISTINCT_SQL})')
+def q_distinct_sketches(spark, d):
+    """A5 from stored monthly HyperLogLog states; each merged estimate is held
+    against the exact count of the merged bitmaps."""
+    keys, cols, path = fr.pin(_monthly_keys(spark, d)), ["o_custkey", "l_partkey"], scratch_path(spark, "distinct-sketches")
+    sketch.distinct_sketches(keys, cols, ["month"]).write.parquet(path)
+    exact = _yearly(sketch.distinct_bitmaps(keys, cols, ["month"]), sketch.bitmap_counts).withColumnRenamed("distinct", "exact")
+    about = _yearly(spark.read.parquet(path), sketch.sketch_counts)
+    same = (about["column"] == exact["column"]) & about["year"].eqNullSafe(exact["year"])
+    within = sketch.close_to(F.col("distinct"), F.col("exact"), sketch.sketch_bound())
+    return about.join(exact, same).select(about["column"], about["year"], within.alias("within"))
+
+
 def _corr_sql(where: str = "") -> str:
     cols = list(fx.FEATURES)
     parts = [f"SELECT {i} AS i, {j} AS j, '{cols[i]}' AS col_i, '{cols[j]}' AS col_j, "
@@ -348,6 +408,18 @@ def q_distinct_values(spark, d):
     return summary.distinct_values(fr.genre_ok(spark, d), "genre")
 
 
+_ORDERED_SQL = ("SELECT user_id, song_id, weight, row_number() OVER (ORDER BY user_id ASC NULLS LAST, weight DESC NULLS LAST, "
+                "song_id ASC NULLS LAST) AS position FROM (SELECT user_id, song_id, nullif(play_count % 7, 0) AS weight FROM clean)")
+
+
+@query("ordered_rows", with_ctes(_ORDERED_SQL, "clean"))
+def q_ordered_rows(spark, d):
+    """O3: a multi-key sort with explicit nulls, and each row's place in it."""
+    rows = fr.clean_triplets(spark, d).select("user_id", "song_id", F.nullif(F.col("play_count") % 7, F.lit(0)).alias("weight"))
+    ordered = summary.order_rows(rows, F.col("user_id").asc_nulls_last(), F.col("weight").desc_nulls_last(), F.col("song_id").asc_nulls_last())
+    return summary.positions(ordered)
+
+
 @query("top_rows", with_ctes(
     f"SELECT * FROM clean ORDER BY play_count DESC, user_id, song_id LIMIT {P.TOP_ROWS_N}", "clean"))
 def q_top_rows(spark, d):
@@ -413,6 +485,25 @@ def q_balance_test(spark, d):
     return _balance(fr.pin(fr.stratified(spark, d)).where(F.col("split") == "test"))
 
 
+def _numbered_sql(src: str, by: str, ids: list[str], extra: str) -> str:
+    return (f"SELECT {extra}, row_number() OVER (PARTITION BY {by} ORDER BY {h_sql(ids, P.SAMPLE_SEED)}) AS row, "
+            f"count(*) OVER (PARTITION BY {by}) AS size FROM {src}")
+
+
+@query("number_strata", with_ctes(_numbered_sql("binlab", "label", ["track_id"], "track_id, label"), "binlab"))
+def q_number_strata(spark, d):
+    """Random-order row number and size inside label strata."""
+    rows = fr.pin(fr.binary_labelled(spark, d).select("track_id", "label"))
+    return sample.numbered(rows, ["label"], ["track_id"], P.SAMPLE_SEED)
+
+
+@query("number_users", with_ctes(_numbered_sql("clean", "user_id", ["user_id", "song_id"], "user_id, song_id"), "clean"))
+def q_number_users(spark, d):
+    """The same inside users."""
+    rows = fr.pin(fr.clean_triplets(spark, d).select("user_id", "song_id"))
+    return sample.numbered(rows, ["user_id"], ["user_id", "song_id"], P.SAMPLE_SEED)
+
+
 @query("random_split", with_ctes("SELECT * FROM splitted", "splitted"))
 def q_random_split(spark, d):
     return fr.splitted(spark, d)
@@ -505,6 +596,30 @@ def q_genre_index(spark, d):
     return fr.multiclass(spark, d).select("track_id", "genre", "label")
 
 
+_VOCAB_SQL = ("SELECT c.user_id, c.song_id, {index} AS index FROM cold c {join} JOIN (SELECT user_id, CAST(row_number() OVER "
+              "(ORDER BY count(*) DESC, user_id) - 1 AS DOUBLE) AS index FROM cold WHERE split = 'train' GROUP BY user_id) v "
+              "ON c.user_id = v.user_id WHERE c.split = 'test'")
+_VOCAB_SIZE_SQL = "(SELECT CAST(count(DISTINCT user_id) AS DOUBLE) FROM cold WHERE split = 'train')"
+
+
+def _indexed_test(spark, d, unseen: str) -> DataFrame:
+    """the vocabulary of the training users applied to test rows, some of
+    whose users were never trained on."""
+    cold = fr.pin(fr.cold_split(spark, d))
+    vocab = fit_index(cold.where(F.col("split") == "train"), "user_id")
+    return apply_index(cold.where(F.col("split") == "test").select("user_id", "song_id"), vocab, "user_id", "index", unseen)
+
+
+@query("index_skip", with_ctes(_VOCAB_SQL.format(index="v.index", join=""), "cold"))
+def q_index_skip(spark, d):
+    return _indexed_test(spark, d, "skip")
+
+
+@query("index_keep", with_ctes(_VOCAB_SQL.format(index=f"coalesce(v.index, {_VOCAB_SIZE_SQL})", join="LEFT"), "cold"))
+def q_index_keep(spark, d):
+    return _indexed_test(spark, d, "keep")
+
+
 # --------------------------------------------------------------------------
 # Evaluation on fixed predictions
 # --------------------------------------------------------------------------

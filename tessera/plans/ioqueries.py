@@ -7,10 +7,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
+from tessera.functions.columns import hash_key
 from tessera.operators import shape, summary
 from tessera.plans import frames as fr
+from tessera.plans import params as P
 from tessera.plans.catalog import query
-from tessera.plans.sqlparts import with_ctes
+from tessera.plans.sqlparts import h_sql, with_ctes
 from tessera.session import scratch_path
 from tessera.sources import files
 from tessera.sources import fixtures as fx
@@ -66,19 +68,52 @@ def q_read_gzip_glob(spark, d):
                                 partitions=spark.sparkContext.defaultParallelism)
 
 
-@query("catalog_tokens", "SELECT unnest(['string', 'NUMERIC', 'real']) AS token")
+_TOKEN_SQL = "CASE WHEN p_size % 3 = 0 THEN 'NUMERIC' WHEN p_size % 3 = 1 THEN 'real' ELSE 'string' END"
+
+
+@query("catalog_tokens", f"SELECT DISTINCT {_TOKEN_SQL} AS token FROM part")
 def q_catalog_tokens(spark, d):
-    """S3 + S5 + A15: distinct type tokens over one catalog file per feature of the table."""
-    base = scratch_path(spark, "catalogs")
-    types = {"string": "string", "double": "NUMERIC"}
-    rows = [(c, "real" if k % 2 == 0 and t == "double" else types[t])
-            for k, (c, t) in enumerate(fx.track_features(spark, d).dtypes)]
-    for k, row in enumerate(rows):
-        spark.createDataFrame([row], "name string, token string").coalesce(1).write.csv(f"{base}/attributes-{k}")
-    tokens = files.read_untyped(spark, f"{base}/attributes-*").select(F.col("_c1").alias("token"))
+    """S3 + S5 + A15: the distinct type tokens over many catalog files, one line
+    per part, written by Spark in one folder per brand."""
+    path = scratch_path(spark, "catalogs")
+    size = F.col("p_size")
+    kind = F.when(size % 3 == 0, "NUMERIC").when(size % 3 == 1, "real").otherwise("string")
+    lines = fx.table(spark, d, "part").select("p_brand", F.col("p_name"), kind.alias("token"))
+    lines.write.partitionBy("p_brand").csv(path)
+    tokens = files.read_untyped(spark, f"{path}/p_brand=*").select(F.col("_c1").alias("token"))
     return summary.distinct_values(tokens, "token")
 
 
+_LEVEL_SQL = f"('0x' || substr({h_sql(['user_id', 'song_id'], P.SCORE_SEED)}, 1, 2))::BIGINT"
+_FAULT_SQL = ("SELECT *, CASE WHEN lv < 8 THEN 'missing field' WHEN lv < 16 THEN 'extra field' WHEN lv < 24 THEN 'unparsable play_count' "
+              f"ELSE 'ok' END AS reason FROM (SELECT *, {_LEVEL_SQL} AS lv FROM clean)")
+
+
+def _faulty(spark, d):
+    """Triplet files in which some lines lack a field, have one too many or no number, or an empty one."""
+    level = F.conv(F.substring(hash_key(["user_id", "song_id"], P.SCORE_SEED), 1, 2), 16, 10).cast("bigint")
+    sep, count = F.lit("\t"), F.col("play_count").cast("string")
+    pair = F.concat("user_id", sep, "song_id")
+    line = (F.when(level < 8, pair).when(level < 16, F.concat(pair, sep, count, sep, F.lit("1")))
+            .when(level < 24, F.concat(pair, sep, F.lit("x"), count)).when(level < 32, F.concat(pair, sep))
+            .otherwise(F.concat(pair, sep, count)))
+    path = scratch_path(spark, "faulty-triplets")
+    fr.clean_triplets(spark, d).select(line.alias("value")).write.text(path)
+    return files.read_quarantined(spark, path, TRIPLET_SCHEMA)
+
+
+@query("quarantine_counts", with_ctes(f"SELECT reason, count(*) AS rows FROM ({_FAULT_SQL}) GROUP BY reason", "clean"))
+def q_quarantine_counts(spark, d):
+    return files.quarantine_counts(*_faulty(spark, d))
+
+
+@query("quarantine_good", with_ctes(
+    "SELECT user_id, song_id, CASE WHEN lv >= 32 THEN play_count END AS play_count "
+    f"FROM ({_FAULT_SQL}) WHERE reason = 'ok'", "clean"))
+def q_quarantine_good(spark, d):
+    return _faulty(spark, d)[0]
+
+
 @query("inventory")
 def q_inventory(spark, d):
     return files.dataset_sizes(spark, {t: f"{d.rstrip('/')}/{t}.parquet" for t in fx.TABLES})

@@ -6,11 +6,15 @@ Their relational parts (reports, top-k, ranking) are checked against SQL in
 
 from __future__ import annotations
 
+import math
+
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.operators import evaluate, models, sample, shape, summary
 from tessera.operators.features import string_index
+from tessera.operators.topk import top_k_by_norm
 from tessera.plans import frames as fr
 from tessera.plans import params as P
 from tessera.plans.catalog import _downsampled, _upsampled, query
@@ -33,66 +37,108 @@ def _scored(model, test: DataFrame) -> DataFrame:
     return models.predict(model, test).select("track_id", "label", "prediction", "p1")
 
 
-def checked(name: str, rows_sql: str, fn) -> None:
+def fit_report(model, train: DataFrame, cols: list[str], linear: bool) -> DataFrame:
+    """One row on what the fit made of its own training rows: ``log_loss``,
+    ``constant_loss`` (of the label's share), ``auroc``, ``best_feature`` (the
+    largest AUROC of a single column, in either direction) and, for a linear
+    model, ``residual``: the largest mean of residual times standardised column
+    or 1, all of which a fit to convergence makes 0."""
+    scored = models.predict(model, train).select(*cols, F.col("label").cast("double").alias("label"), "p1",
+                                                 *([vector_to_array("scaled").alias("z")] if linear else []))
+    scored = fr.pin(scored)
+    p, y = F.greatest(F.lit(1e-15), F.least(F.lit(1 - 1e-15), F.col("p1"))), F.col("label")
+    share = scored.agg(F.avg("label")).first()[0]
+    sums = [F.avg(-(y * F.log(p) + (1 - y) * F.log(1 - p))).alias("log_loss")]
+    gap = F.col("p1") - y
+    equations = [gap, *[gap * F.col("z")[k] for k in range(len(cols))]] if linear else []
+    sums += [F.abs(F.avg(e)).alias(f"e{k}") for k, e in enumerate(equations)]
+    named = F.array(F.struct(F.lit("p1").alias("name"), F.col("p1").alias("s")),
+                    *[F.struct(F.lit(c).alias("name"), F.col(c).cast("double").alias("s")) for c in cols])
+    long = scored.select("label", F.explode(named).alias("x")).select("label", "x.name", "x.s")
+    areas = fr.pin(evaluate.auroc_by(long, ["name"], "label", "s"))
+    best = F.max(F.when(F.col("name") != "p1", F.greatest(F.col("auroc"), 1 - F.col("auroc"))))
+    of = areas.agg(F.max(F.when(F.col("name") == "p1", F.col("auroc"))).alias("auroc"), best.alias("best_feature")).first()
+    residual = F.greatest(*[F.col(f"e{k}") for k in range(len(equations))]) if linear else F.lit(None).cast("double")
+    entropy = -(share * math.log(share) + (1 - share) * math.log(1 - share))
+    return scored.agg(*sums).select("log_loss", F.lit(entropy).alias("constant_loss"), F.lit(of["auroc"]).alias("auroc"),
+                                    F.lit(of["best_feature"]).alias("best_feature"), residual.alias("residual"))
+
+
+def learned(report: DataFrame, linear: bool) -> bool:
+    """Whether the report is one of a fitted model: it beats the constant on its
+    own rows, and solves the score equations (linear) or beats every column."""
+    r = report.first()
+    return r["log_loss"] < r["constant_loss"] and (r["residual"] < 1e-3 if linear else r["auroc"] > r["best_feature"])
+
+
+def checked(name: str, rows_sql: str, fit, linear: bool) -> None:
     """Register a model query, and beside it ``check_<name>``: one row with the
     number of scored rows, of probabilities in [0, 1] and of predictions that
-    equal the likelier class, each of which SQL expects to be the test rows."""
-    query(name)(fn)
+    equal the likelier class, each of which SQL expects to be the test rows,
+    and whether the fit learned its training rows (``learned``)."""
+
+    def scores(spark, d):
+        model, _, test, _ = fit(spark, d)
+        return _scored(model, test)
 
     def check(spark, d):
+        model, train, test, cols = fit(spark, d)
         ok = F.col("p1").between(0.0, 1.0)
         agrees = F.col("prediction") == (F.col("p1") > 0.5).cast("double")
-        return fn(spark, d).agg(F.count(F.lit(1)).alias("rows"), F.count(F.when(ok, 1)).alias("in_range"),
-                                F.count(F.when(agrees | (F.col("p1") == 0.5), 1)).alias("argmax"))
+        return _scored(model, test).agg(
+            F.count(F.lit(1)).alias("rows"), F.count(F.when(ok, 1)).alias("in_range"),
+            F.count(F.when(agrees | (F.col("p1") == 0.5), 1)).alias("argmax"),
+            F.lit(learned(fit_report(model, train, cols, linear), linear)).alias("learned"))
 
+    scores.__doc__ = fit.__doc__
+    query(name)(scores)
     query(f"check_{name}", rows_sql)(check)
 
 
-_TEST_ROWS = with_ctes("SELECT count(*) AS rows, count(*) AS in_range, count(*) AS argmax FROM strat WHERE split = 'test'", "strat")
-
-
-def q_fit_logistic(spark, d):
-    train, test, cols = _binary_sets(spark, d)
-    return _scored(models.fit_logistic(train, cols, "label"), test)
-
-
-def q_fit_logistic_down(spark, d):
-    train, test, cols = _binary_sets(spark, d)
-    return _scored(models.fit_logistic(_downsampled(train), cols, "label", fit_on=train), test)
-
-
-def q_fit_logistic_up(spark, d):
-    train, test, cols = _binary_sets(spark, d)
-    return _scored(models.fit_logistic(_upsampled(train), cols, "label", fit_on=train), test)
+_TEST_ROWS = with_ctes("SELECT count(*) AS rows, count(*) AS in_range, count(*) AS argmax, true AS learned "
+                       "FROM strat WHERE split = 'test'", "strat")
 
 
-def q_fit_forest(spark, d):
-    train, test, cols = _binary_sets(spark, d)
-    return _scored(models.fit_forest(_upsampled(train), cols, "label", P.MODEL_SEED), test)
+def _logistic(resample=None):
+    def fit(spark, d):
+        train, test, cols = _binary_sets(spark, d)
+        rows = fr.pin(resample(train)) if resample else train
+        return models.fit_logistic(rows, cols, "label", fit_on=train), rows, test, cols
+    return fit
 
 
-def q_fit_gbt(spark, d):
-    train, test, cols = _binary_sets(spark, d)
-    return _scored(models.fit_gbt(_upsampled(train), cols, "label", P.MODEL_SEED), test)
+def _trees(fit_trees):
+    def fit(spark, d):
+        train, test, cols = _binary_sets(spark, d)
+        rows = fr.pin(_upsampled(train))
+        return fit_trees(rows, cols, "label", P.MODEL_SEED), rows, test, cols
+    return fit
 
 
-checked("fit_logistic", _TEST_ROWS, q_fit_logistic)
-checked("fit_logistic_downsampled", _TEST_ROWS, q_fit_logistic_down)
-checked("fit_logistic_upsampled", _TEST_ROWS, q_fit_logistic_up)
-checked("fit_forest", _TEST_ROWS, q_fit_forest)
-checked("fit_gbt", _TEST_ROWS, q_fit_gbt)
+checked("fit_logistic", _TEST_ROWS, _logistic(), True)
+checked("fit_logistic_downsampled", _TEST_ROWS, _logistic(_downsampled), True)
+checked("fit_logistic_upsampled", _TEST_ROWS, _logistic(_upsampled), True)
+checked("fit_forest", _TEST_ROWS, _trees(models.fit_forest), False)
+checked("fit_gbt", _TEST_ROWS, _trees(models.fit_gbt), False)
 
 
 @query("tune_gbt")
 def q_tune_gbt(spark, d):
-    """The whole grid: 18 settings x 5 folds, 90 fits. Its output has the form
-    of ``fit_gbt``, whose check covers it; a check of its own would fit 90 again."""
+    """The whole grid: 18 settings x 5 folds, 90 fits, and the scores of the best one."""
     train, test, cols = _binary_sets(spark, d)
-    best, _ = models.tune_gbt(_upsampled(train), cols, "label", ["track_id"], grid=models.GBT_GRID,
-                              folds=5, seed=P.MODEL_SEED, parallelism=8)
+    best, _ = models.cross_validate(_upsampled(train), cols, "label", ["track_id"], grid=models.GBT_GRID,
+                                    folds=5, seed=P.MODEL_SEED, parallelism=8)
     return _scored(best, test)
 
 
+@query("tuning_metrics")
+def q_tuning_metrics(spark, d):
+    """AUROC of every setting of the grid on every fold: 90 rows."""
+    train, _, cols = _binary_sets(spark, d)
+    scores = models.validation_scores(_upsampled(train), cols, "label", ["track_id"], models.GBT_GRID, 5, P.MODEL_SEED, 8)
+    return models.tuning_metrics(scores)
+
+
 @query("model_report")
 def q_model_report(spark, d):
     """E1 + E2 + E3 on a real model: upsampled logistic regression, reports
@@ -105,33 +151,46 @@ def q_model_report(spark, d):
     return sweep.withColumn("auroc", auc)
 
 
-def _multiclass_scored(spark, d, cols: list[str] | None = None) -> DataFrame:
+def _multiclass(spark, d):
+    """The fitted model, its weighted training rows and the test rows."""
     multi = fr.pin(fr.multiclass(spark, d))
     split = sample.random_split(multi, ["track_id"], [0.8, 0.2], P.SPLIT_SEED)
-    train = shape.weight_by_label(split.where(F.col("split") == "train"), "label",
-                                  P.WEIGHT_BUCKETS, P.WEIGHT_DEFAULT)
-    test = split.where(F.col("split") == "test")
-    return models.predict(models.fit_multiclass(train, cols or _kept_features(multi), "label", "weight"), test)
+    train = fr.pin(shape.weight_by_label(split.where(F.col("split") == "train"), "label", P.WEIGHT_BUCKETS, P.WEIGHT_DEFAULT))
+    model = models.fit_multiclass(train, _kept_features(multi), "label", "weight")
+    return model, train, split.where(F.col("split") == "test")
 
 
 @query("fit_multiclass")
 def q_fit_multiclass(spark, d):
     """L5 on the columns kept by decorrelation."""
-    return evaluate.per_class_report(_multiclass_scored(spark, d), "label", "prediction")
+    model, _, test = _multiclass(spark, d)
+    return evaluate.per_class_report(models.predict(model, test), "label", "prediction")
+
+
+def multiclass_residual(model, train: DataFrame, label: str = "label", weight: str = "weight") -> float:
+    """The largest sum over rows of weight x (probability - truth) of a class, as
+    a share of all weight: 0 for a weighted multinomial fit to convergence."""
+    rows = models.predict(model, train).select(vector_to_array("probability").alias("p"), F.col(label).alias("y"), F.col(weight).alias("w"))
+    cells = rows.select("y", "w", F.posexplode("p").alias("c", "p"))
+    gap = F.col("w") * (F.col("p") - F.when(F.col("c") == F.col("y"), 1.0).otherwise(0.0))
+    total = rows.agg(F.sum("w")).first()[0]
+    return cells.groupBy("c").agg(F.abs(F.sum(gap)).alias("g")).agg(F.max("g")).first()[0] / total
 
 
 @query("check_fit_multiclass", with_ctes(
-    "SELECT count(*) AS rows, count(*) AS in_range, count(*) AS argmax FROM multi "
+    "SELECT count(*) AS rows, count(*) AS in_range, count(*) AS argmax, true AS learned FROM multi "
     f"WHERE {u_sql(['track_id'], P.SPLIT_SEED)} >= 0.8", "multi"))
 def q_check_fit_multiclass(spark, d):
-    """Scored rows, rows whose probabilities lie in [0, 1] and add up to 1, and
-    rows whose prediction has the largest probability."""
-    from pyspark.ml.functions import vector_to_array
+    """Scored rows, rows whose probabilities lie in [0, 1] and add up to 1, rows
+    whose prediction has the largest probability, and whether the weighted
+    residuals of the training rows add up to 0 in every class."""
+    model, train, test = _multiclass(spark, d)
     p = vector_to_array("probability")
     proper = F.forall(p, lambda x: x.between(0.0, 1.0)) & (F.abs(F.aggregate(p, F.lit(0.0), lambda a, x: a + x) - 1.0) < 1e-6)
     best = F.get(p, F.col("prediction").cast("int")) == F.array_max(p)
-    return _multiclass_scored(spark, d).agg(F.count(F.lit(1)).alias("rows"), F.count(F.when(proper, 1)).alias("in_range"),
-                                            F.count(F.when(best, 1)).alias("argmax"))
+    return models.predict(model, test).agg(
+        F.count(F.lit(1)).alias("rows"), F.count(F.when(proper, 1)).alias("in_range"), F.count(F.when(best, 1)).alias("argmax"),
+        F.lit(multiclass_residual(model, train) < 1e-3).alias("learned"))
 
 
 def _indexed_split(spark, d):
@@ -155,14 +214,26 @@ def q_fit_als(spark, d):
 
 
 @query("check_fit_als", with_ctes(
-    "SELECT (SELECT count(*) FROM repaired WHERE split = 'test') AS rows, count(*) AS scored FROM repaired r "
+    "SELECT (SELECT count(*) FROM repaired WHERE split = 'test') AS rows, count(*) AS scored, true AS learned FROM repaired r "
     "WHERE split = 'test' AND user_id IN (SELECT user_id FROM repaired WHERE split = 'train') "
     "AND song_id IN (SELECT song_id FROM repaired WHERE split = 'train')", "repaired"))
 def q_check_fit_als(spark, d):
-    """Every test row comes back, with a score where user and item were trained."""
+    """Every test row comes back, with a score where user and item were
+    trained; and training pairs score higher than the same users with other items."""
     train, test = _indexed_split(spark, d)
-    scored = models.score_pairs(_als(train), test)
-    return scored.agg(F.count(F.lit(1)).alias("rows"), F.count(F.when(~F.isnan("prediction"), 1)).alias("scored"))
+    model = _als(fr.pin(train))
+    scored = models.score_pairs(model, test)
+    return scored.agg(F.count(F.lit(1)).alias("rows"), F.count(F.when(~F.isnan("prediction"), 1)).alias("scored"),
+                      F.lit(prefers_trained(model, train)).alias("learned"))
+
+
+def prefers_trained(model, train: DataFrame, user: str = "user_index", item: str = "song_index") -> bool:
+    """Whether training pairs score clearly above 0, and twice as high as pairs of
+    the same users with the items moved on by a third of their number."""
+    items = train.agg(F.max(item)).first()[0] + 1
+    moved = train.select(user, ((F.col(item) + F.lit(int(items // 3))) % items).alias(item))
+    mean = lambda pairs: models.score_pairs(model, pairs, "drop").agg(F.avg("prediction")).first()[0]
+    return mean(train.select(user, item)) > max(0.05, 2 * mean(moved))
 
 
 @query("recommend_top_k")
@@ -172,13 +243,27 @@ def q_recommend_top_k(spark, d):
 
 
 @query("check_recommend_top_k", with_ctes(
-    f"SELECT count(DISTINCT user_id) AS users, count(DISTINCT user_id) AS full_lists FROM repaired WHERE split = 'train'", "repaired"))
+    "SELECT count(DISTINCT user_id) AS users, count(DISTINCT user_id) AS full_lists, count(DISTINCT user_id) AS ordered, "
+    "true AS pruned FROM repaired WHERE split = 'train'", "repaired"))
 def q_check_recommend_top_k(spark, d):
-    """Every training user has a list of k distinct items."""
+    """Every training user has a list of k distinct items, whose scores fall
+    and are the products of the model's factors; not all pairs were scored."""
     train, _ = _indexed_split(spark, d)
-    recs = models.recommend_top_k(_als(train), P.RECOMMEND_K)
-    full = F.size(F.array_distinct("items")) == P.RECOMMEND_K
-    return recs.agg(F.count(F.lit(1)).alias("users"), F.count(F.when(full, 1)).alias("full_lists"))
+    model = _als(train)
+    items = fr.pin(model.itemFactors)
+    found = fr.pin(top_k_by_norm(model.userFactors, items, P.RECOMMEND_K))
+    cells = found.select("id", F.posexplode(F.arrays_zip("items", "scores")).alias("at", "x")).select("id", "at", "x.items", "x.scores")
+    dot = F.aggregate(F.zip_with("u", "v", lambda a, b: a.cast("double") * b.cast("double")), F.lit(0.0), lambda a, x: a + x)
+    near = (cells.join(model.userFactors.withColumnRenamed("features", "u"), "id")
+            .join(items.select(F.col("id").alias("items"), F.col("features").alias("v")), "items")
+            .select("id", "at", "scores", (F.abs(dot - F.col("scores")) < 1e-9).alias("same")))
+    falls = near.groupBy("id").agg(F.min("same").alias("same"), F.array_sort(F.collect_list(F.struct("at", "scores"))).alias("l"))
+    steps = F.transform("l", lambda x: x["scores"])
+    ordered = falls.select((F.col("same") & (F.reverse(F.array_sort(steps)) == steps)).alias("ok"))
+    k = P.RECOMMEND_K
+    return found.agg(F.count(F.lit(1)).alias("users"), F.count(F.when(F.size(F.array_distinct("items")) == k, 1)).alias("full_lists"),
+                     F.lit(ordered.where("ok").count()).alias("ordered"),
+                     (F.sum("scored") < F.count(F.lit(1)) * items.count()).alias("pruned"))
 
 
 @query("ranking_report_als")

@@ -28,6 +28,8 @@ TOP_ROWS_N = 20
 TOP_PER_USER = 3
 LOOKUP_USER = "U000000007"
 LIST_LOOKUP_USER = "U000000057"
+# Parts of the data that have a state each.
+STATE_PARTS = 16
 # Share of users held out entirely (cold users), so coverage repair has work.
 COLD_USER_FRAC = 0.1
 

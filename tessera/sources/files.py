@@ -49,6 +49,52 @@ def read_delimited(spark: SparkSession, path: str | Sequence[str], schema: Struc
     return dealt(frame, partitions)
 
 
+REASONS = ("missing field", "extra field")
+#: Text that no field holds.
+END = "\u0001end"
+
+
+def read_quarantined(spark: SparkSession, path: str | Sequence[str], schema: StructType, sep: str = "\t",
+                     header: bool = False) -> tuple[DataFrame, DataFrame]:
+    """S2 with an account of bad rows: ``(good, bad)``.
+
+    ``good`` has the rows that fit the schema; ``bad`` has ``(line, reason)`` of
+    all others: ``missing field`` and ``extra field`` by their number, else
+    ``unparsable <column>`` of the first column whose text is no value of its
+    type. Empty text is null, not a fault. With ``header``, lines equal to the
+    names are left out. A line is a record; quoted line breaks are not read.
+
+    Each line is parsed once as typed columns and once as text, in one
+    expression over the text scan, so both frames agree row by row whichever
+    columns are asked for later (a CSV scan parses only those it needs, and
+    then misses faults).
+    """
+    names = schema.names
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    texts = ", ".join(f"_c{k} string" for k in range(len(names) + 1))
+    options = {"sep": sep, "mode": "PERMISSIVE"}
+    lines = read_lines(spark, path)
+    if header:
+        lines = lines.where(F.col("value") != F.lit(sep.join(names)))
+    # An empty field reads as null, like one that is not there; a last field added to the line tells where it ends.
+    ended = F.concat("value", F.lit(sep + END))
+    parsed = lines.select("value", F.from_csv("value", F.lit(columns), options).alias("typed"), F.from_csv(ended, F.lit(texts), options).alias("text"))
+    text, typed = F.col("text"), F.col("typed")
+    fields = [F.coalesce(text.getField(f"_c{k}"), F.lit("")) for k in range(len(names) + 1)]
+    reason = F.when(F.array_contains(F.array(*fields[:-1]), END), REASONS[0]).when(fields[-1] != END, REASONS[1])
+    for field, name in zip(fields, names):
+        reason = reason.when(typed.getField(name).isNull() & (field != ""), f"unparsable {name}")
+    marked = parsed.select("value", "typed", reason.alias("reason"))
+    good = marked.where(F.col("reason").isNull()).select(*[typed.getField(n).alias(n) for n in names])
+    return good, marked.where(F.col("reason").isNotNull()).select(F.col("value").alias("line"), "reason")
+
+
+def quarantine_counts(good: DataFrame, bad: DataFrame) -> DataFrame:
+    """``(reason, rows)``: bad rows by reason, and the good ones as ``ok``."""
+    counts = bad.groupBy("reason").agg(F.count(F.lit(1)).alias("rows"))
+    return counts.unionByName(good.agg(F.count(F.lit(1)).alias("rows")).select(F.lit("ok").alias("reason"), "rows"))
+
+
 def read_untyped(spark: SparkSession, path: str | Sequence[str], header: bool = False,
                  sep: str = ",") -> DataFrame:
     """S3: all-string columns ``_c0, _c1, ...`` (no inference pass)."""

@@ -88,3 +88,16 @@ def test_sweep_equals_single_reports(spark):
     for r in evaluate.threshold_sweep(df, "p", [0.2, 0.5, 1.0]).collect():
         one = evaluate.binary_report(evaluate.apply_threshold(df, "p", r["threshold"], "prediction")).first()
         assert tuple(r)[1:] == tuple(one)
+
+
+def test_auroc_by_group_equals_each_group_alone(spark):
+    df = spark.range(600).select(
+        (F.col("id") % 5).cast("int").alias("g"), F.when(F.col("id") % 7 == 0, None).otherwise("h").alias("h"),
+        (F.col("id") * 37 % 11 / 10).alias("s"), (F.col("id") * 13 % 3 == 0).cast("int").alias("y"))
+    df = df.unionByName(spark.createDataFrame([(9, "h", 0.5, 1), (9, "h", 0.7, 1), (8, "h", None, 0)], "g int, h string, s double, y int"))
+    got = {(r["g"], r["h"]): r["auroc"] for r in evaluate.auroc_by(df, ["g", "h"], "y", "s", 3).collect()}
+    assert got[9, "h"] is None and (8, "h") not in got and len(got) == 11
+    for (g, h), area in got.items():
+        own = df.where(F.col("g").eqNullSafe(F.lit(g)) & F.col("h").eqNullSafe(F.lit(h)))
+        want = evaluate.auroc(own, "y", "s").first()["auroc"]
+        assert want == area or abs(area - want) < 1e-12

@@ -1,5 +1,7 @@
 """Trained models: shape, determinism, better than chance on separable data."""
 
+import random
+
 from pyspark.sql import functions as F
 
 from tessera.operators import evaluate, models
@@ -86,3 +88,64 @@ def test_score_pairs_leaves_the_model_as_it_is(spark):
     assert model.getColdStartStrategy() == "nan" and models.score_pairs(model, cold).count() == 2
     some = models.recommend_top_k(model, 3, users=cold.select("user")).collect()
     assert [r["user"] for r in some] == [0] and len(set(some[0]["items"])) == 3
+
+
+def test_fold_metrics_equal_the_evaluator_and_the_best_mean_wins(spark):
+    from pyspark.ml.classification import GBTClassifier
+    from pyspark.ml.evaluation import BinaryClassificationEvaluator
+
+    df = _separable(spark, 160).withColumn("x", F.col("x") + F.rand(9) * 2).cache()
+    grid = {"maxDepth": [1, 3], "stepSize": [0.05, 0.5]}
+    best, metrics = models.cross_validate(df, ["x", "y"], "label", ["id"], grid, folds=3, seed=3, parallelism=4, maxIter=3)
+    rows = {(r["setting"], r["fold"]): r["auroc"] for r in metrics.collect()}
+    assert len(rows) == 12
+    data = models._assembled(df, ["x", "y"]).transform(df).withColumn("f", models.fold_of(["id"], 3, 3))
+    judge = BinaryClassificationEvaluator(labelCol="label", numBins=0)
+    for setting, fold in ((0, 0), (3, 2)):
+        gbt = GBTClassifier(featuresCol="assembled", labelCol="label", seed=3, maxIter=3, **models.settings_of(grid)[setting])
+        scored = gbt.fit(data.where(F.col("f") != fold)).transform(data.where(F.col("f") == fold))
+        assert abs(judge.evaluate(scored) - rows[setting, fold]) < 1e-9
+    means = {s: sum(rows[s, f] for f in range(3)) / 3 for s in range(4)}
+    assert models.best_setting(metrics) == max(means, key=lambda s: (means[s], -s))
+    assert best.stages[-1].getOrDefault("maxDepth") == models.settings_of(grid)[models.best_setting(metrics)]["maxDepth"]
+
+
+def test_nothing_stays_persisted(spark):
+    before = spark.sparkContext._jsc.getPersistentRDDs().size()
+    df = _separable(spark, 80)
+    models.fit_logistic(df, ["x", "y"], "label")
+    models.fit_gbt(df, ["x", "y"], "label", seed=3, maxIter=2)
+    models.cross_validate(df, ["x", "y"], "label", ["id"], {"maxDepth": [1]}, folds=2, seed=3, maxIter=1)
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == before
+
+
+def test_top_k_equals_recommend_for_all_users(spark):
+    rng = random.Random(4)  # no two items alike: the other form leaves ties open
+    rows = [(u, i, rng.randint(1, 9)) for u in range(30) for i in range(60) if rng.random() < 0.6]
+    model = models.fit_als(spark.createDataFrame(rows, "user int, item int, plays int"), "user", "item", "plays", seed=1, max_iter=3, rank=4)
+    ours = {r["user"]: r["items"] for r in models.recommend_top_k(model, 5).collect()}
+    theirs = {r["user"]: [x["item"] for x in r["recommendations"]] for r in model.recommendForAllUsers(5).collect()}
+    assert ours == theirs
+    some = models.recommend_top_k(model, 5, users=spark.createDataFrame([(3,), (3,), (99,)], "user int")).collect()
+    assert {r["user"]: r["items"] for r in some} == {3: ours[3]}
+    plan = models.recommend_top_k(model, 5)._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_checks_fail_for_a_model_of_other_labels(spark):
+    from tessera.plans import mlqueries as ml
+
+    df = _separable(spark, 300).withColumn("x", F.col("x") + F.rand(9) * 6).checkpoint()
+    wrong = df.withColumn("label", (F.xxhash64("id") % 2 == 0).cast("int")).checkpoint()
+    for linear, model in ((True, models.fit_logistic(df, ["x", "y"], "label")), (False, models.fit_gbt(df, ["x", "y"], "label", seed=3, maxIter=5))):
+        assert ml.learned(ml.fit_report(model, df, ["x", "y"], linear), linear)
+        assert not ml.learned(ml.fit_report(model, wrong, ["x", "y"], linear), linear)
+    multi = df.select("x", "y", (F.col("id").cast("int") % 3).cast("double").alias("label"), F.lit(1.0).alias("w")).withColumn(
+        "weight", F.when(F.col("label") == 0, 5.0).otherwise(1.0)).checkpoint()
+    model = models.fit_multiclass(multi, ["x", "y"], "label", "weight")
+    assert ml.multiclass_residual(model, multi) < 1e-3 < 0.05 < ml.multiclass_residual(model, multi, weight="w")  # the weights matter
+    rows = [(float(u), float(i), 3) for u in range(40) for i in range(30) if u % 3 == i % 3]
+    pairs = spark.createDataFrame(rows, "user_index double, song_index double, plays int")
+    als = models.fit_als(pairs, "user_index", "song_index", "plays", seed=1, max_iter=5, rank=4)
+    moved = pairs.withColumn("song_index", (F.col("song_index") + 10) % 30)
+    assert ml.prefers_trained(als, pairs) and not ml.prefers_trained(als, moved)
