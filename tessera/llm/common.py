@@ -69,7 +69,8 @@ def map_texts(df: DataFrame, keep: tuple[str, ...], text: Column, make: Callable
             made = list(zip(*[of(t.as_py()) for t in batch.column(len(keep))])) or [()] * len(names)
             yield dict(zip(keep, batch.columns)) | dict(zip(names, made))
 
-    return map_batches(df.select(*quoted(keep), text.cast("string").alias("__text")), run, ddl(df, keep) + schema)
+    last = "__text" + "_" * max((len(k) for k in keep), default=0)  # longer than any kept name
+    return map_batches(df.select(*quoted(keep), text.cast("string").alias(last)), run, ddl(df, keep) + schema)
 
 
 def quoted(names) -> list[Column]:

@@ -42,6 +42,9 @@ _NAMES = re.compile(
     r"side-?bar|aside|widget|related|recommend\w*|share|sharing|social|comments?|commentlist|replies|reply|respond|disqus|"
     r"notice|cookies?|consent|gdpr|popup|modal|overlay|newsletter|subscribe|subscription|signup|login|search|"
     r"copyright|legal|disclaimer|pagination|pager|toolbar|skip\w*|alert)(?![a-z])")
+#: Layout words that tell of a part elsewhere on the page, not of the element that bears them.
+_LAYOUT = re.compile(r"(?<![a-z])(has|no|with|without)[-_][a-z_-]*|[a-z_-]+[-_](wrap|wrapper|container|layout|page|wide)(?![a-z])|"
+                     r"(?<![a-z])(wrap|wrapper|container|layout|page)[-_][a-z_-]*")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden")
 #: Decimal references that may have more digits than Python reads as a number.
 _LONG_REFERENCE = re.compile(r"&#([0-9]{1000,})")
@@ -52,8 +55,8 @@ _ENDS_P = _BLOCKS - {"body", "html", "button", "option", "select", "textarea", "
 class _Blocks(HTMLParser):
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        #: Open elements: (tag, silent, frame, article, heading, link)
-        self.open: list[tuple] = [("", False, False, False, False, False)]
+        #: Open elements: (tag, silent, frame, named, article, heading, link); frame by an element, named by a name around the text
+        self.open: list[tuple] = [("", False, False, False, False, False, False)]
         #: Places of the open elements by name, and under "*" those of the blocks.
         self.at: defaultdict[str, list[int]] = defaultdict(list)
         self.text: list[str] = []
@@ -94,16 +97,16 @@ class _Blocks(HTMLParser):
             self.handle_data(" ")
         if tag in _VOID:
             return
-        _, silent, frame, article, heading, link = self.open[-1]
-        named = dict(attrs)
-        names = " ".join((named.get(k) or "") for k in ("class", "id", "role")).lower()
-        hidden = "hidden" in named or named.get("aria-hidden") == "true" or bool(_HIDDEN.search(named.get("style") or ""))
+        _, silent, frame, named, article, heading, link = self.open[-1]
+        given, content = dict(attrs), tag in ("article", "main")
+        names = _LAYOUT.sub(" ", " ".join((given.get(k) or "") for k in ("class", "id", "role")).lower())
+        hidden = "hidden" in given or given.get("aria-hidden") == "true" or bool(_HIDDEN.search(given.get("style") or ""))
         for name in (tag, "*") if tag in _BLOCKS else (tag,):
             self.at[name].append(len(self.open))
         self.open.append((
             tag, silent or tag in _SILENT or hidden,
-            frame or tag in _FRAME or (tag not in ("html", "body", "article", "main") and bool(_NAMES.search(names))),
-            article or tag in ("article", "main"), heading or tag in ("h1", "h2", "h3", "h4", "h5", "h6"), link or tag == "a"))
+            frame or tag in _FRAME, not content and (named or (tag not in ("html", "body") and bool(_NAMES.search(names)))),
+            article or content, heading or tag in ("h1", "h2", "h3", "h4", "h5", "h6"), link or tag == "a"))
 
     def handle_startendtag(self, tag: str, attrs: list) -> None:
         self.handle_starttag(tag, attrs)  # "<div/>" opens a div
@@ -130,11 +133,11 @@ class _Blocks(HTMLParser):
     def handle_data(self, data: str) -> None:
         if self.open[-1][0] == "head" and data.strip():
             self.end_head()
-        _, silent, frame, article, heading, link = self.open[-1]
+        _, silent, frame, named, article, heading, link = self.open[-1]
         if silent:
             return
         if self.blank:  # the first visible text decides
-            self.flags = (float(frame), float(article), float(heading))
+            self.flags = (float(frame or named), float(article), float(heading))
             self.blank = not data.strip()
         self.text.append(data)
         if link:
@@ -147,13 +150,23 @@ def _short_reference(found: re.Match) -> str:
     return f"&#{digits or 0}" if len(digits) <= 7 else f"&#{0x110000}"
 
 
+def _ended(html: str) -> str:
+    """Unfinished markup as text: a ``<`` behind the last ``>``, and a comment
+    behind the last ``-->`` as a declaration up to ``>``. The parser would
+    search for each one's end up to the end of the page."""
+    tags, comments = html.rfind(">") + 1, html.rfind("-->") + 1
+    head, middle, tail = html[:comments], html[comments:max(tags, comments)], html[max(tags, comments):]
+    return head + middle.replace("<!--", "<!") + tail.replace("<", "&lt;")
+
+
 def blocks(html: str | None) -> list[tuple]:
     """Blocks of a page in order, as ``(text, *FEATURES)``. None and pages
-    without text have none; unknown declarations are comments up to ``>``."""
+    without text have none; unknown declarations are comments up to ``>``, and
+    a tag that the page does not end is text."""
     if not html:
         return []
     p = _Blocks()
-    p.feed(_LONG_REFERENCE.sub(_short_reference, html))
+    p.feed(_LONG_REFERENCE.sub(_short_reference, _ended(html)))
     p.close()
     p.cut()
     own = p.blocks
@@ -218,7 +231,12 @@ def _parse():
 def extract(pages: DataFrame, model: DecisionTreeClassificationModel, html_col: str = "html", keep: tuple[str, ...] = (),
             text_out: str = "text") -> DataFrame:
     """One row per row: the columns ``keep`` and the kept blocks, one a line.
-    Null and empty pages and pages without a kept block give the empty text."""
-    parsed = map_texts(pages, keep, pages[html_col], _parse, f"__blocks array<{BLOCK}>")
-    kept = F.filter("__blocks", lambda b: tree_column(model, b))
+
+    Null and empty pages and pages without a kept block give the empty text.
+    Very long pages are parsed whole, in time that grows with their length.
+    Repeated rows give repeated rows. Columns that are not kept are not read,
+    and no kept name clashes with one used here. No rows give no rows."""
+    blocks_out = "__blocks" + "_" * max((len(k) for k in keep), default=0)  # longer than any kept name
+    parsed = map_texts(pages, keep, pages[html_col], _parse, f"{blocks_out} array<{BLOCK}>")
+    kept = F.filter(blocks_out, lambda b: tree_column(model, b))
     return parsed.select(*quoted(keep), F.array_join(F.transform(kept, lambda b: b["text"]), "\n").alias(text_out))

@@ -94,6 +94,36 @@ def test_boilerplate_inside_the_article_goes(spark, tree):
     assert text_of(spark, tree, f"<article>{inner}</article>") == [LINES]
 
 
+@pytest.mark.parametrize("wrapper", ["has-sidebar", "no-sidebar", "page-with-banner", "content-header-wrap", "with-comments", "sidebar",
+                                     "layout has_footer", "menu-open-container"])
+def test_layout_names_do_not_hide_the_article(spark, tree, wrapper):
+    inner = f'<nav><a href="/">Home</a></nav><{{0}}>{ARTICLE}</{{0}}><footer>&copy; us</footer>'
+    pages = [f'<body><div class="{wrapper}">{inner.format(tag)}</div></body>' for tag in ("article", "main")]
+    assert text_of(spark, tree, *pages) == [LINES] * 2
+
+
+def test_names_inside_the_article_still_count(spark, tree):
+    page = f'<div class="sidebar"><article>{ARTICLE}<div class="related-posts">Other stories that readers liked last week</div></article></div>'
+    assert text_of(spark, tree, page) == [LINES]
+
+
+def test_unfinished_markup_takes_linear_time():
+    import time
+
+    for piece in ("<a ", "</a ", "<!-- ", "<!-- > ", "<!x ", "<a href='", "<?x ", "<p <"):
+        begin = time.monotonic()
+        htmltext.blocks("<p>before</p>" + piece * (1_000_000 // len(piece)))
+        assert time.monotonic() - begin < 2.0, piece
+    assert [b[0] for b in htmltext.blocks("<p>a</p>b <c d <e")] == ["a", "b <c d <e"]
+    assert [b[0] for b in htmltext.blocks("<p>a</p><!-- x --><p>b</p><!-- y > c")] == ["a", "b", "c"]
+
+
+def test_kept_column_of_any_name(spark, tree):
+    df = spark.createDataFrame([(1, "x", f"<article>{ARTICLE}</article>")], "`__blocks` int, `__text` string, html string")
+    got = htmltext.extract(df, tree, keep=("__blocks", "__text")).collect()[0]
+    assert (got["__blocks"], got["text"]) == (1, LINES)
+
+
 def test_empty_pages(spark, tree):
     assert text_of(spark, tree, None, "", "<p></p>", "<nav>x</nav>") == ["", "", "", ""]
     empty = spark.createDataFrame([], PAGES)
