@@ -5,6 +5,9 @@ the corpus. They are matched in vocabulary, order, smoothing (towards the
 words of the whole corpus) and mass (the background's counts are scaled to the
 target's total). A document's score is the mean over its tokens of the target's
 loss minus the background's: the lower, the more it looks like the target.
+A document is scored by models of all other documents: its own counts are taken
+off both (off the target's if it is in the target), so that no score tells its
+own label back.
 
 Counts cover all documents and grow with them; no model is ever in one place.
 Documents are cut into blocks of whole texts. A block sends its distinct words
@@ -155,6 +158,8 @@ def _shard_bounds(keys: np.ndarray, bits: int) -> np.ndarray:
     return np.r_[0, np.searchsorted(keys, starts), len(keys)]
 
 
+#: Answers of words are of kind 0, of pairs 1; rows of this kind name the target's rows of a block.
+MARKED = 2
 _ASK = "shard bigint, block bigint, kind int, n bigint, keys binary, t binary, b binary"
 _ANSWER = "shard bigint, block bigint, kind int, n bigint, t binary, b binary"
 _ASK_TYPES = {"shard": pa.int64(), "block": pa.int64(), "kind": pa.int32(), "n": pa.int64(), "keys": pa.binary(), "t": pa.binary(),
@@ -192,24 +197,39 @@ def _answer(asked: pa.Table) -> pa.Table:
     return out
 
 
-def _score(n_target: int, n_all: int, mixture: float, prior: float):
-    scale = n_target / n_all if n_target and n_all else 1.0
+def _own(rows: np.ndarray, of: np.ndarray, size: int) -> np.ndarray:
+    """For each token, how often its row has the same number ``of``."""
+    _, place, count = np.unique(rows * size + of, return_inverse=True, return_counts=True)
+    return count[place]
+
 
+def _score(n_target: int, n_all: int, mixture: float, prior: float):
     def run(blocks: pa.Table, answers: pa.Table) -> pa.Table:
         parts = sorted(answers.to_pylist(), key=lambda r: (r["kind"], r["shard"]))
         of = lambda c, kind: np.concatenate(
             [np.zeros(0, np.uint64), *(unpack(r[c], r["n"]) for r in parts if r["kind"] == kind)]).astype(float)
+        marked = np.array([r["n"] for r in parts if r["kind"] == MARKED], np.int64)
         scores, lengths = [], []
         for row in _rows(blocks):
             block, loss = _Block(row), []
-            common = of("b", 0)[block.place] / max(1, n_all)
-            for c, f, mass in (("t", 1.0, n_target), ("b", scale, n_all * scale)):
-                words, pair = of(c, 0)[block.place] * f, of(c, 1)[block.pair] * f
-                before = words[block.before]
-                share = np.divide(pair, before, out=np.zeros(len(pair)), where=before > 0)
-                p = (words + prior * common) / (mass + prior)
-                loss.append(-np.log(mixture * share + (1 - mixture) * p[block.text]))
             rows = np.repeat(np.arange(len(block.lengths)), block.lengths)
+            word, pair, before = block.place[block.text], block.pair, block.place[block.before]
+            # What a token's own document has of its word, its pair and its first word (the start: once).
+            own_word, own_pair = _own(rows, word, len(block.words)), _own(rows, pair, len(block.pairs))
+            own_before = np.where(block.before == 0, 1, np.roll(own_word, 1))
+            size = block.lengths[rows]
+            in_target = np.zeros(len(block.lengths))
+            in_target[marked] = 1.0
+            in_target = in_target[rows]
+            all_words, all_pairs = of("b", 0), of("b", 1)
+            common = (all_words[word] - own_word + 1) / (n_all - size + 1)
+            t_mass, b_mass = n_target - size * in_target, (n_all - size).astype(float)
+            scale = np.divide(t_mass, b_mass, out=np.ones(len(rows)), where=(t_mass > 0) & (b_mass > 0))
+            for words, pairs, out, f, mass in ((of("t", 0), of("t", 1), in_target, 1.0, t_mass), (all_words, all_pairs, 1.0, scale, b_mass * scale)):
+                seen, both, first = ((x - own * out) * f for x, own in (
+                    (words[word], own_word), (pairs[pair], own_pair), (words[before], own_before)))
+                share = np.divide(both, first, out=np.zeros(len(both)), where=first > 0)
+                loss.append(-np.log(mixture * share + (1 - mixture) * (seen + prior * common) / (mass + prior)))
             sums = np.bincount(rows, loss[0] - loss[1], len(block.lengths))
             scores.append(sums / np.maximum(block.lengths, 1))
             lengths.append(block.lengths)
@@ -228,7 +248,8 @@ def score(docs: DataFrame, target: DataFrame, id_col: str = "doc_id", text_col:
     ``target`` holds the ids of the target documents in its first column; the
     background is all documents. A pair's share is its count over that of its
     first word, ends of texts included; a word's own probability counts
-    ``prior`` tokens spread as in the whole corpus. A block of texts ends at
+    ``prior`` tokens spread as in the whole corpus, every word once more than it
+    occurs there. All counts are those of the other rows. A block of texts ends at
     ``block_tokens`` or with its task; there is a shard of counts for every
     ``shard_tokens``. Null ids are never in the target and ids that repeat
     there count once; null and empty texts have no tokens and score 0.0.
@@ -249,6 +270,9 @@ def score(docs: DataFrame, target: DataFrame, id_col: str = "doc_id", text_col:
     # Both uses of the blocks share one shuffle.
     by_block = blocks.groupBy("block")
     asked = by_block.cogroup(marked.groupBy("block")).applyInArrow(_ask(bits), _ASK)
-    answers = asked.groupBy("shard", "kind").applyInArrow(_answer, _ANSWER)
+    none = F.lit(None).cast("binary")
+    flags = marked.select(F.lit(0).cast("bigint").alias("shard"), "block", F.lit(MARKED).alias("kind"), F.col("pos").cast("bigint").alias("n"),
+                          none.alias("t"), none.alias("b"))
+    answers = asked.groupBy("shard", "kind").applyInArrow(_answer, _ANSWER).unionByName(flags)
     scored = by_block.cogroup(answers.groupBy("block")).applyInArrow(_score(n_target, n_all, mixture, prior), f"kept {one}, score double, n bigint")
     return scored.select(*[F.col("kept")[c].alias(c) for c in keep], F.col("score").alias(score_out), F.col("n").alias(tokens_out))
