@@ -118,6 +118,29 @@ def _pairs(rows: list) -> tuple[np.ndarray, np.ndarray]:
     return np.repeat(np.arange(len(rows)), lengths), flat
 
 
+def loss_gradient(labels: np.ndarray, own: list, swapped: list, size: int, penalty: float, ridge: float):
+    """The gradient by weights and, last, intercept of: half of each class's mean
+    log loss + ``penalty`` * mean squared score change under swaps + ``ridge`` / 2
+    * squared weights."""
+    n1, n0 = int(labels.sum()), int((1 - labels).sum())
+    r, c = _pairs(own)
+    both = [k for k, s in enumerate(swapped) if s is not None]
+    ra, ca = _pairs([own[k] for k in both])
+    rb, cb = _pairs([swapped[k] for k in both])
+    weight = np.where(labels == 1, 0.5 / n1, 0.5 / n0)
+
+    def at(w: np.ndarray, b: float) -> np.ndarray:
+        z = np.bincount(r, w[c], len(labels)) + b
+        err = weight * (1 / (1 + np.exp(-z)) - labels)
+        g = np.append(np.bincount(c, err[r], size) + ridge * w, err.sum())
+        if both:
+            d = (np.bincount(ra, w[ca], len(both)) - np.bincount(rb, w[cb], len(both))) * (2 * penalty / len(both))
+            g[:-1] += np.bincount(ca, d[ra], size) - np.bincount(cb, d[rb], size)
+        return g
+
+    return at
+
+
 def train(labels: np.ndarray, own: list, swapped: list, columns: list[int], penalty: float = 1.0,
           ridge: float = 1e-4, steps: int = 400, rate: float = 0.1) -> ToxicityModel:
     """Minimise log loss (classes balanced) + ``penalty`` * (score change)² +
@@ -128,20 +151,11 @@ def train(labels: np.ndarray, own: list, swapped: list, columns: list[int], pena
         share = (n1 + 0.5) / (n1 + n0 + 1.0) if n1 + n0 else 0.01
         return ToxicityModel({}, float(np.log(share / (1 - share))))
     size = len(columns)
-    r, c = _pairs(own)
-    both = [k for k, s in enumerate(swapped) if s is not None]
-    ra, ca = _pairs([own[k] for k in both])
-    rb, cb = _pairs([swapped[k] for k in both])
-    weight = np.where(labels == 1, 0.5 / n1, 0.5 / n0)
+    gradient = loss_gradient(labels, own, swapped, size, penalty, ridge)
     w, b = np.zeros(size), 0.0
     m, v = np.zeros(size + 1), np.zeros(size + 1)
     for t in range(1, steps + 1):
-        z = np.bincount(r, w[c], len(labels)) + b
-        err = weight * (1 / (1 + np.exp(-z)) - labels)
-        g = np.append(np.bincount(c, err[r], size) + ridge * w, err.sum())
-        if both:
-            d = (np.bincount(ra, w[ca], len(both)) - np.bincount(rb, w[cb], len(both))) * (2 * penalty / len(both))
-            g[:-1] += np.bincount(ca, d[ra], size) - np.bincount(cb, d[rb], size)
+        g = gradient(w, b)
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         step = rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
         w, b = w - step[:-1], b - step[-1]
@@ -151,9 +165,13 @@ def train(labels: np.ndarray, own: list, swapped: list, columns: list[int], pena
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
         max_positive: int = 6000, max_negative: int = 12000, size: int = 3000, terms=IDENTITY_TERMS,
         penalty: float = 1.0, seed: int = 3) -> ToxicityModel:
-    """Fit on ``docs`` whose id is in ``labels``. Null ids, labels and texts are
-    left out; an id with several labels counts with each of them. With one
-    label or none the model is that label's share."""
+    """Fit on ``docs`` whose id is in ``labels``: at most ``max_positive`` and
+    ``max_negative`` labelled rows in seeded order, and of their words and word
+    beginnings the ``size`` that differ most between the labels. Null ids,
+    labels and texts are left out; an id with several labels counts with each of
+    them; of texts that share an id the first by code units counts, so that what
+    reaches the driver is bounded. With one label or none the model is that
+    label's share."""
     rows = labels.select(F.col(id_col).alias("l_id"), F.col(label_col).cast("int").alias("label"))
     rows = rows.where("l_id is not null and label in (0, 1)")
     pick = lambda y, n: rows.where(F.col("label") == y).orderBy(hash_order(F.col("l_id"), seed), "l_id").limit(n)
@@ -161,7 +179,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     sample = F.broadcast(pin(pick(1, max_positive).unionAll(pick(0, max_negative))))
     texts = docs.select(docs[id_col].alias("id"), docs[text_col].cast("string").alias("text")).where("text is not null")
     wide = "label int, own array<int>, swapped array<int>"
-    found = pin(map_batches(texts.join(sample, texts["id"] == F.col("l_id")).select("label", "text"), _featurise(terms), wide))
+    one = texts.join(sample, texts["id"] == F.col("l_id")).groupBy("l_id", "label").agg(F.min("text").alias("text"))
+    found = pin(map_batches(one.select("label", "text"), _featurise(terms), wide))
     chosen = select_features(found, size)
     place = dict(zip(chosen, range(len(chosen))))
 
@@ -177,7 +196,10 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 def score(docs: DataFrame, model: ToxicityModel, text_col: str = "text", keep: tuple[str, ...] = (),
           score_out: str = "score") -> DataFrame:
     """One row per row: the columns ``keep`` and the probability of label 1 for
-    the whole text (null counts as empty)."""
+    the whole text (null counts as empty, whose score is the intercept's). Very
+    long texts are read whole; repeated rows give repeated rows and equal texts
+    equal scores; columns that are not kept are not read, and kept ones may have
+    any name but ``score_out``; no rows give no rows."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def make():
