@@ -1,12 +1,15 @@
 """URL filter: rules first, then a classifier for what no rule fits.
 
 The classifier is a logistic regression on hashed character n-grams of host and
-path, trained from a small labelled table. Parsing, rules, n-grams, hashing and
+path, trained from a small labelled table (about 1,200 URLs, made by rule from
+word lists). Parsing, rules, n-grams, hashing and
 prediction are DataFrame and MLlib operations.
 """
 
 from __future__ import annotations
 
+import random
+
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import HashingTF
 from pyspark.ml.functions import vector_to_array
@@ -18,30 +21,54 @@ from tessera.llm.common import quoted
 #: Lengths of the n-grams and number of hash slots.
 GRAMS, SLOTS = (3, 4, 5), 1 << 16
 
-#: Small labelled table. Hosts and paths that are to be blocked ...
-BLOCKED = (
-    "casino-win.example.com/en/12", "www.casino-royal.example.org/", "online-casino.net/bonus", "poker-stars.biz/play", "slots-jackpot.com/spin",
-    "free-bets.example.net/en/7", "bets-free.com/today", "sport-betting.org/odds", "lucky-lottery.com/win", "win-cash-now.info/go",
-    "cheap-pills.example.com/en/926/", "blog.cheap-pills.example.org/de/3", "pills-online.net/order", "viagra-shop.com/buy", "cialis-cheap.biz/rx",
-    "adult-x.example.org/fr/1.html", "xxx-videos.com/watch", "www.adult-chat.net/", "porn-tube.com/free", "hot-sex-cams.net/live",
-    "spam-farm.example.net/es/4", "link-farm.example.com/", "spam-links.info/a", "seo-spam.biz/x", "bulk-mail-spam.com/list",
-    "ads-track.example.com/en/99", "track-ads.net/pixel", "adserver.example.org/click", "ad-tracker.com/t?c", "click-track.biz/r",
-    "payday-loans.com/apply", "quick-loan-cash.net/now", "free-download-crack.com/serial", "warez-crack.net/key", "cheap-replica-watches.com/shop",
-    "m.casino-win.example.net/fr/8", "www.free-bets.example.org/en/5", "www.cheap-pills.example.net/es/2", "blog.adult-x.example.com/en/6",
-    "www.spam-farm.example.com/de/1", "m.ads-track.example.org/en/4", "example.com/casino/bonus", "example.org/cheap-pills/buy", "example.net/xxx/free-porn",
-)
-#: ... and ordinary ones.
-ALLOWED = (
-    "www.example.com/en/12", "blog.example.org/de/7.html", "example.net/en/25", "m.example.com/fr/925/", "news.example.org/es/3",
-    "thther.example.org/en/685", "blog.thernd.example.net/de/612", "ththre.example.com/fr/825", "www.thering.example.com/en/843.html", "m.tionsh.example.net/es/4",
-    "library.example.edu/catalog", "university.edu/research/papers", "museum.org/visit", "citynews.com/politics/2020", "weather.gov/forecast",
-    "school.example.org/classes", "recipes.com/bread", "garden.net/plants", "history.org/wars/1812", "science.com/articles/55",
-    "python.org/docs", "wikipedia.org/wiki/Water", "health.gov/vaccines", "travel.com/italy/rome", "music.net/jazz",
-    "books.example.com/en/1", "sports.example.org/football/results", "hospital.org/doctors", "bank.com/accounts", "law.edu/courts",
-    "berlin.de/stadt", "madrid.es/noticias", "paris.fr/culture", "zeitung.de/politik/12", "elpais.es/deportes",
-    "shop.example.com/books/3", "forum.example.net/topic/9", "docs.example.com/api/index.html", "photos.example.org/album/2", "maps.example.com/route",
-    "www.water.example.net/en/210", "m.forest.example.com/fr/9", "blog.winter.example.org/en/777", "www.adam.example.org/de/5", "essex.gov/council",
-)
+#: What the labelled table is made of: words that name what a host sells, by family, ...
+FAMILIES = {
+    "gambling": "casino poker slots roulette jackpot blackjack betting stakes wager lotto bingo odds".split(),
+    "pharmacy": "pills pharmacy meds viagra cialis tablets drugstore painkiller steroids dosage rx generics".split(),
+    "adult": "adult porn xxx sex cams nude erotic escort webcam milf fetish hookup".split(),
+    "credit": "loans payday credit lender debt refinance mortgage cash advance forex trading crypto".split(),
+    "warez": "crack warez keygen torrent serials nulled cracked patch mod apk rip downloads".split(),
+    "fakes": "replica rolex handbags watches knockoff designer outlet sneakers luxury jersey copies brand".split(),
+    "links": "spam links backlinks seo traffic clicks farm mailer bulk directory promo submit".split(),
+    "tracking": "ads track tracker adserver pixel banner affiliate popunder analytics beacon tag redirect".split(),
+}
+#: ... words that push it, ...
+PUSH = "cheap free best win online hot bonus deal instant easy".split()
+#: ... and pages of such hosts; ordinary subjects, and pages of ordinary hosts.
+PUSH_PAGES = "buy-now order-now bonus-now play-now click-now join-now free-offer best-offer cheap-offer win-offer".split()
+SUBJECTS = ("library museum garden school history weather travel music science village river mountain kitchen bakery theatre football "
+            "hospital council market harbour forest winter summer language poetry painting bicycle railway astronomy chemistry biology "
+            "archive parish teacher student journal review gazette herald tribune observer monitor chronicle bulletin almanac atlas").split()
+SYLLABLES = "al an be bor ca den el er fa gan hal in ka la lin ma mer na nor o pa quen ra ri sa sel ta tor un ver wen ya zo th the he es ing ion ent her ed st".split()
+PAGES = "en fr de es it news about docs articles topics archive people events guide".split()
+ZONES = "com org net info biz co.uk de fr es edu".split()
+
+
+def labelled_urls(without: str | None = None, seed: int = 5) -> list[tuple[str, float]]:
+    """The labelled table: URLs and 1.0 (to be blocked) or 0.0, made by rule from
+    the words above; ``without`` leaves out one family. Hosts of both kinds come
+    with and without hyphens, subdomains, numbered and language pages, so that
+    words and the habit of pushing decide, not the form."""
+    rng = random.Random(seed)
+    pick = rng.choice
+    front = lambda: pick(["", "", "", "www.", "m.", "blog."])
+    plain = lambda: pick(["", f"/{pick(PAGES)}/{rng.randint(1, 999)}", f"/{pick(PAGES)}/{rng.randint(1, 99)}.html", f"/{pick(PAGES)}/{pick(SUBJECTS)}", "/"])
+    out = []
+    for family, words in FAMILIES.items():
+        for word in words:
+            for k in range(6):
+                parts = [word, pick([pick(words), "x", "farm", "24"] if k == 5 else PUSH)]
+                rng.shuffle(parts)
+                host = pick(["-", "-", ""]).join(parts) + "." + pick([pick(ZONES), "example." + pick(["com", "org", "net"])])
+                page = f"/{pick(PUSH_PAGES)}" if k < 2 else plain()
+                if family != without:
+                    out.append((f"https://{front()}{host}{page}", 1.0))
+    for _ in range(600):
+        made = "".join(pick(SYLLABLES) for _ in range(rng.randint(2, 4)))
+        name = pick([made, made, pick(SUBJECTS), f"{pick(SUBJECTS)}-{pick(SUBJECTS)}", f"{made}-{pick(SUBJECTS)}", pick(SUBJECTS) + pick(SUBJECTS)])
+        host = pick([name + "." + pick(ZONES), f"{name}.example." + pick(["com", "org", "net"]), "example." + pick(["com", "org", "net"])])
+        out.append((f"https://{front()}{host}{plain()}", 0.0))
+    return out
 
 
 def host_of(url: Column) -> Column:
@@ -72,10 +99,9 @@ def _vectors(rows: DataFrame, host: str, path: str) -> DataFrame:
     return tf.transform(rows.withColumn("__grams", grams(F.col(host), F.col(path))))
 
 
-def fit(spark: SparkSession, blocked: tuple[str, ...] = BLOCKED, allowed: tuple[str, ...] = ALLOWED,
-        ridge: float = 0.02) -> LogisticRegressionModel:
-    """Train on the labelled table (host and path, without a scheme)."""
-    rows = spark.createDataFrame([(f"https://{u}", 1.0) for u in blocked] + [(f"https://{u}", 0.0) for u in allowed], "url string, label double")
+def fit(spark: SparkSession, labelled: list[tuple[str, float]] | None = None, ridge: float = 0.003) -> LogisticRegressionModel:
+    """Train on labelled URLs, by default ``labelled_urls()``."""
+    rows = spark.createDataFrame(labelled if labelled is not None else labelled_urls(), "url string, label double")
     rows = rows.coalesce(1).select(host_of(F.col("url")).alias("h"), path_of(F.col("url")).alias("p"), "label")
     lr = LogisticRegression(featuresCol="__vector", regParam=ridge, maxIter=60, standardization=False)
     return lr.fit(_vectors(rows, "h", "p"))
@@ -100,6 +126,8 @@ def judge(pages: DataFrame, model: LogisticRegressionModel, rules: tuple[tuple[s
     decides (of equally long ones the last by name). No rule: blocked if the
     classifier's probability is ``threshold`` or more. Null URLs and URLs without ``://`` have
     an empty host and path, which no rule fits and the classifier judges.
+    Repeated rows give repeated rows; very long URLs are judged whole; columns
+    that are not kept are not read; no rows give no rows.
     """
     url = F.col(url_col).cast("string")
     rows = pages.select(F.struct(*quoted(keep)).alias("__keep") if keep else F.lit(None).alias("__keep"),

@@ -88,7 +88,7 @@ def test_held_out_accuracy(spark):
 # --- LM scoring -------------------------------------------------------------
 
 def lm_brute(rows, target, mixture=0.6, prior=1000.0):
-    """Score and number of tokens of each ``(id, text)`` from dense counts."""
+    """Score and number of tokens of each ``(id, text)`` from dense counts of all other rows."""
     texts = [(i in target, ["", *(t or "").lower().split()]) for i, t in rows]
     uni, bi = [Counter(), Counter()], [Counter(), Counter()]
     for own, words in texts:
@@ -96,15 +96,20 @@ def lm_brute(rows, target, mixture=0.6, prior=1000.0):
             uni[m].update(words if len(words) > 1 else [])
             bi[m].update(zip(words, words[1:]))
     total = [sum(n for w, n in u.items() if w) for u in uni]
-    scale = [1.0, total[0] / total[1] if total[0] else 1.0]
     out = []
-    for _, words in texts:
-        diff = 0.0
+    for own, words in texts:
+        mine, pairs, n, diff = Counter(words), Counter(zip(words, words[1:])), len(words) - 1, 0.0
+        mass = [total[0] - n * own, total[1] - n]
+        scale = [1.0, mass[0] / mass[1] if mass[0] and mass[1] else 1.0]
         for prev, w in zip(words, words[1:]):
-            loss = [-math.log(mixture * (bi[m][prev, w] / uni[m][prev] if uni[m][prev] else 0.0) + (1 - mixture)
-                              * (uni[m][w] * scale[m] + prior * uni[1][w] / total[1]) / (total[m] * scale[m] + prior)) for m in (0, 1)]
+            loss = []
+            for m, off in ((0, own), (1, 1)):
+                first, both, seen = uni[m][prev] - mine[prev] * off, bi[m][prev, w] - pairs[prev, w] * off, uni[m][w] - mine[w] * off
+                common = (uni[1][w] - mine[w] + 1) / (total[1] - n + 1)
+                loss.append(-math.log(mixture * (both / first if first else 0.0) + (1 - mixture)
+                                      * (seen * scale[m] + prior * common) / (mass[m] * scale[m] + prior)))
             diff += loss[0] - loss[1]
-        out.append((diff / max(1, len(words) - 1), len(words) - 1))
+        out.append((diff / max(1, n), n))
     return out
 
 
@@ -120,9 +125,21 @@ def check_lm(spark, rows, target, **sizes):
 
 
 def test_lm_scores_match_dense_counts(spark):
-    rows = [(1, "a b a b c"), (2, "a B c"), (3, "x y x y z q"), (4, None), (5, ""), (None, "a x"), (6, "x y"), (1, "a b a b c"), (7, "z " * 3000)]
+    rows = [(1, "a b a b c"), (2, "a B c"), (3, "x y x y z q"), (4, None), (5, ""), (None, "a x"), (6, "x y"), (1, "a b a b c"), (7, "z " * 3000),
+            (8, "a b c"), (9, "x y z")]
     got = check_lm(spark, rows, [1, 2, 2, 4, None])
-    assert got[1] < 0 < got[2] and got[3] == got[4] == 0.0
+    assert got[9] < 0 < got[10] and got[3] == got[4] == 0.0  # neither is in the target
+
+
+def test_lm_does_not_tell_a_label_back(spark):
+    """Documents whose words no other has score 0, in the target or not; a copy in the target lowers a score."""
+    rows = [(k, " ".join(f"only{k}x{j}" for j in range(9))) for k in range(20)] + [(100, "p q r s"), (101, "p q r s"), (102, "t u v w"), (103, "t u v w")]
+    got = check_lm(spark, rows, [*range(10), 100, 101])
+    assert all(abs(s) < 1e-9 for s in got[:20]) and got[20] < -0.01 and got[22] > 0.01
+
+
+def test_lm_of_one_document(spark):
+    assert check_lm(spark, [(1, "a b a")], [1]) == [0.0] == check_lm(spark, [(1, "a b a")], [])
 
 
 def test_lm_over_blocks_and_shards(spark):
@@ -131,7 +148,7 @@ def test_lm_over_blocks_and_shards(spark):
     check_lm(spark, rows, range(0, 120, 3), block_tokens=100, shard_tokens=300)
 
 
-def test_lm_query_matches_dense_counts_and_tells_good_text(spark):
+def test_lm_query_matches_dense_counts(spark):
     d = "/root/testdata/sf0.001"
     rows = [tuple(r) for r in spark.read.parquet(f"{d}/documents.parquet").select("doc_id", "text").collect()]
     quality = {r["doc_id"]: r["quality"] for r in spark.read.parquet(f"{d}/labels.parquet").collect()}
@@ -140,8 +157,16 @@ def test_lm_query_matches_dense_counts_and_tells_good_text(spark):
     assert len(got) == len(rows)
     for (i, _), (score, n) in zip(rows, want):
         assert got[i][1] == n and got[i][0] == pytest.approx(score, abs=1e-9)
-    mean = lambda y: np.mean([got[i][0] for i, q in quality.items() if q == y and i in got])
-    assert mean(1) < mean(0)
+
+
+def test_lm_scores_of_other_documents_tell_the_label(spark):
+    """No document's label is in the models that score it: the area under the curve is a held-out one."""
+    d = "/root/testdata/sf0.01"
+    quality = {r["doc_id"]: r["quality"] for r in spark.read.parquet(f"{d}/labels.parquet").collect()}
+    got = sorted((r["score"], quality[r["doc_id"]]) for r in op2_lm_score(spark, d).collect() if r["doc_id"] in quality)
+    good = [k for k, (_, q) in enumerate(got) if q == 1]
+    n1, n0 = len(good), len(got) - len(good)
+    assert 1 - (sum(good) - n1 * (n1 - 1) / 2) / (n1 * n0) > 0.8
 
 
 def test_lm_packs_numbers():
@@ -271,3 +296,55 @@ def test_round_trip_query_shape(spark, reference):
     assert sorted(((r["doc_id"], r["n_tokens"], r["ids_sha256"], r["ids"], r["back"]) for r in got), key=str) == sorted(
         [(1, 2, digest, ids, "a b"), (1, 2, digest, ids, "a b"), (2, 0, empty, [], ""), (None, 0, empty, [], "")], key=str)
     assert bpe.bpe_round_trip(spark.createDataFrame([], DOCS), tokenizer_path(), keep=("doc_id",)).count() == 0
+
+
+# --- toxicity: gradient and bounds ------------------------------------------
+
+def test_gradient_equals_differences_of_the_loss():
+    rng = np.random.default_rng(3)
+    size, n = 7, 12
+    own = [sorted(rng.choice(size, rng.integers(0, 5), replace=False).tolist()) for _ in range(n)]
+    swapped = [None if k % 3 else sorted(rng.choice(size, 3, replace=False).tolist()) for k in range(n)]
+    labels = np.array([1, 0, 0] * 4)
+    weights, b = rng.normal(size=size), 0.3
+
+    def loss(w, b):
+        log, change = [[], []], []
+        for y, mine, other in zip(labels, own, swapped):
+            z = sum(w[c] for c in mine) + b
+            log[y].append(math.log(1 + math.exp(-z if y else z)))
+            if other is not None:
+                change.append((sum(w[c] for c in mine) - sum(w[c] for c in other)) ** 2)
+        return sum(np.mean(x) for x in log) / 2 + 0.8 * np.mean(change) + 0.05 * sum(x * x for x in w) / 2
+
+    got = toxicity.loss_gradient(labels, own, swapped, size, 0.8, 0.05)(weights, b)
+    for k in range(size):
+        step = np.zeros(size)
+        step[k] = 1e-6
+        assert got[k] == pytest.approx((loss(weights + step, b) - loss(weights - step, b)) / 2e-6, abs=1e-7)
+    assert got[-1] == pytest.approx((loss(weights, b + 1e-6) - loss(weights, b - 1e-6)) / 2e-6, abs=1e-7)
+
+
+def test_features_and_score_by_hand(spark):
+    """Chosen features and scores against counts made here."""
+    docs = [(k, ("vile nasty words here" if k % 2 else "kind gentle words here") + f" n{k}") for k in range(40)]
+    frame = spark.createDataFrame(docs, "doc_id bigint, text string")
+    labels = spark.createDataFrame([(k, k % 2) for k in range(40)], "doc_id bigint, toxic int")
+    model = toxicity.fit(frame, labels)
+    got = {r["doc_id"]: r["score"] for r in toxicity.score(frame, model, keep=("doc_id",)).collect()}
+    for k, text in docs:
+        z = model.bias + sum(model.weights.get(h, 0.0) for h in toxicity.features(set(text.split())))
+        assert got[k] == pytest.approx(1 / (1 + math.exp(-z))) and (got[k] > 0.5) == bool(k % 2)
+    one_sided = {w for w in "vile nasty kind gentle".split()}
+    assert set(model.weights) <= toxicity.features(one_sided | {"words", "here"} | {f"n{k}" for k in range(40)})
+    assert toxicity.features(one_sided) <= set(model.weights)  # in 20 texts of one label each
+
+
+def test_an_id_that_repeats_is_read_once(spark, monkeypatch):
+    rows = [(1, "vile text")] * 500 + [(1, "another")] * 500 + [(2, "kind text")] * 500 + [(k, f"plain {k}") for k in range(3, 20)]
+    seen = {}
+    train = toxicity.train
+    monkeypatch.setattr(toxicity, "train", lambda labels, *a, **k: seen.update(n=len(labels)) or train(labels, *a, **k))
+    labels = spark.createDataFrame([(k, int(k == 1)) for k in range(20)], "doc_id bigint, toxic int")
+    toxicity.fit(spark.createDataFrame(rows, "doc_id bigint, text string"), labels)
+    assert seen["n"] == 19
