@@ -145,12 +145,18 @@ def running_total(df: DataFrame, order: Sequence[Column], values: Mapping[str, C
     must be total (add a unique tie-break) for row-exact results. Triggers one
     job to write the checkpoint under the shared checkpoint folder.
     """
-    spark = df.sparkSession
-    checkpoint_dir(spark)
-    n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    pinned = (df.repartitionByRange(n_parts, *order)
-              .withColumn("_part", F.spark_partition_id())
-              .checkpoint(eager=True))
+    return prefix_sums(placed_in_order(df, order, partitions), order, values)
+
+
+def placed_in_order(df: DataFrame, order: Sequence[Column], partitions: int | None = None) -> DataFrame:
+    """The rows range-partitioned by ``order`` and written, with their partition as ``_part``."""
+    checkpoint_dir(df.sparkSession)
+    n_parts = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartitionByRange(n_parts, *order).withColumn("_part", F.spark_partition_id()).checkpoint(eager=True)
+
+
+def prefix_sums(pinned: DataFrame, order: Sequence[Column], values: Mapping[str, Column]) -> DataFrame:
+    """``running_total`` of rows that ``placed_in_order`` has written."""
     names = list(values)
     local_w = Window.partitionBy("_part").orderBy(*order).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
@@ -162,7 +168,7 @@ def running_total(df: DataFrame, order: Sequence[Column], values: Mapping[str, C
     offsets = totals.select("_part", *[F.coalesce(F.sum(f"_t{i}").over(before), F.lit(0)).alias(f"_o{i}")
                                        for i in range(len(names))])
     joined = local.join(F.broadcast(offsets), "_part")
-    return joined.select(*[F.col(c) for c in df.columns],
+    return joined.select(*[F.col(c) for c in pinned.columns if c != "_part"],
                          *[(F.col(f"_o{i}") + F.col(f"_l{i}")).alias(n) for i, n in enumerate(names)])
 
 
@@ -178,11 +184,8 @@ def numbered_in_order(df: DataFrame, by: Sequence[str], order: Sequence[Column],
     a table of one row per partition. No join on the group, and beside the
     range exchange only the one that numbers inside (partition, group).
     """
-    by, spark = list(by), df.sparkSession
-    checkpoint_dir(spark)
-    n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    placed = (df.repartitionByRange(n_parts, *[F.col(c).asc() for c in by], *order)
-              .withColumn("_part", F.spark_partition_id()).checkpoint(eager=True))
+    by = list(by)
+    placed = placed_in_order(df, [*[F.col(c).asc() for c in by], *order], partitions)
     group = F.struct(*by)
     ends = placed.groupBy("_part").agg(F.min(group).alias("_head"), F.max(group).alias("_tail"))
     # One row per partition, here and below.

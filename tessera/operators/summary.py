@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.columns import safe_ratio
 from tessera.operators.correlate import correlation_pairs
-from tessera.operators.rank import numbered_in_order, running_total
+from tessera.operators.rank import numbered_in_order, placed_in_order, prefix_sums, running_total
 from tessera.session import checkpoint_dir
 
 
@@ -159,9 +159,13 @@ def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
         long = df.select(F.explode(F.array(*[F.struct(F.lit(i).alias("c"), F.col(c).cast("double").alias("v"))
                                              for i, c in enumerate(cols)])).alias("x")).select("x.c", "x.v")
         counts = long.where(F.col("v").isNotNull()).groupBy("c", "v").agg(F.count(F.lit(1)).alias("n"))
-        upto = running_total(counts, [F.col("c").asc(), F.col("v").asc()], {"cum": F.col("n")})
+        order = [F.col("c").asc(), F.col("v").asc()]
+        placed = placed_in_order(counts, order)
         # One row of bounds per column of the call.
-        bounds = F.broadcast(upto.groupBy("c").agg((F.max("cum") - F.sum("n")).alias("before"), F.sum("n").alias("total")))
+        totals = placed.groupBy("c").agg(F.sum("n").alias("total"))
+        earlier = Window.orderBy("c").rowsBetween(Window.unboundedPreceding, -1)
+        bounds = F.broadcast(totals.withColumn("before", F.coalesce(F.sum("total").over(earlier), F.lit(0))))
+        upto = prefix_sums(placed, order, {"cum": F.col("n")})
         share = (F.col("cum") - F.col("before")) / F.col("total")
         at = upto.join(bounds, "c").select("c", "v", share.alias("share"))
         place = {c: i for i, c in enumerate(cols)}
