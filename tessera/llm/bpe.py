@@ -164,7 +164,8 @@ def bpe_round_trip(docs: DataFrame, path: str, text_col: str = "text", keep: tup
     and the decoded text themselves.
 
     Null and empty texts have no tokens and decode to the empty text. Whole
-    texts are encoded, whatever their length. Repeated rows give repeated rows.
+    texts are encoded, whatever their length. Repeated rows give repeated rows;
+    columns that are not kept are not read; no rows give no rows.
     ``path`` names the tokenizer file, which executors must be able to open.
     """
     schema = "n_tokens bigint, ids_sha256 string, decoded_sha256 string"

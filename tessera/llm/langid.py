@@ -396,7 +396,11 @@ def predict(docs: DataFrame, model: FittedModel, text_col: str = "text", keep: t
     """One row per row: the columns ``keep``, the predicted language and its
     share (0 to 1). Null texts and texts without a letter are ``und`` with 0.
     A block of texts ends at ``block_tokens`` or with its task; there is a
-    shard of counts for every ``shard_keys`` keys of the model or the blocks."""
+    shard of counts for every ``shard_keys`` keys of the model or the blocks.
+    Equal texts get equal answers, equal sums go to the first language by name;
+    repeated rows give repeated rows; very long texts are read whole; columns
+    that are not kept are not read. No rows give no rows; a model without
+    languages answers ``und`` to all."""
     if not model.languages:
         return docs.select(*quoted(keep), F.lit(UNKNOWN).alias(lang_out), F.lit(0.0).alias(score_out))
     kept = F.struct(*quoted(keep)) if keep else F.struct(F.lit(True).alias("__none"))

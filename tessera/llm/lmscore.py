@@ -36,6 +36,8 @@ from tessera.llm.common import ddl, map_batches, pin, quoted
 KEY_BITS = 56
 #: Rows after which a block ends, however few tokens they have.
 BLOCK_ROWS = 100_000
+#: Tokens that a block scores at once, whole texts.
+SLICE = 1 << 18
 _MIX = tuple(np.uint64(c) for c in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xBF58476D1CE4E5B9))
 
 
@@ -139,6 +141,13 @@ class _Block:
         self.words, self.place = np.unique(keys, return_inverse=True)
         self.pairs, self.pair = np.unique(pair_keys(keys[self.before], keys[self.text]), return_inverse=True)
 
+    def slices(self) -> Iterator[tuple[int, int, slice]]:
+        """First and last row of runs of whole texts of about ``SLICE`` tokens, and where their tokens lie."""
+        ends = np.cumsum(self.lengths)
+        cuts = np.unique(np.r_[0, np.searchsorted(ends, np.arange(SLICE, len(self.text), SLICE)) + 1, len(ends)])
+        for lo, hi in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+            yield lo, hi, slice(int(ends[lo - 1]) if lo else 0, int(ends[hi - 1]))
+
     def counts(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Counts of words and of pairs in the marked rows. The start of a text
         counts once for every text with a token."""
@@ -209,29 +218,28 @@ def _score(n_target: int, n_all: int, mixture: float, prior: float):
         of = lambda c, kind: np.concatenate(
             [np.zeros(0, np.uint64), *(unpack(r[c], r["n"]) for r in parts if r["kind"] == kind)]).astype(float)
         marked = np.array([r["n"] for r in parts if r["kind"] == MARKED], np.int64)
+        t_words, t_pairs, all_words, all_pairs = of("t", 0), of("t", 1), of("b", 0), of("b", 1)
         scores, lengths = [], []
         for row in _rows(blocks):
-            block, loss = _Block(row), []
-            rows = np.repeat(np.arange(len(block.lengths)), block.lengths)
-            word, pair, before = block.place[block.text], block.pair, block.place[block.before]
-            # What a token's own document has of its word, its pair and its first word (the start: once).
-            own_word, own_pair = _own(rows, word, len(block.words)), _own(rows, pair, len(block.pairs))
-            own_before = np.where(block.before == 0, 1, np.roll(own_word, 1))
-            size = block.lengths[rows]
+            block = _Block(row)
             in_target = np.zeros(len(block.lengths))
             in_target[marked] = 1.0
-            in_target = in_target[rows]
-            all_words, all_pairs = of("b", 0), of("b", 1)
-            common = (all_words[word] - own_word + 1) / (n_all - size + 1)
-            t_mass, b_mass = n_target - size * in_target, (n_all - size).astype(float)
-            scale = np.divide(t_mass, b_mass, out=np.ones(len(rows)), where=(t_mass > 0) & (b_mass > 0))
-            for words, pairs, out, f, mass in ((of("t", 0), of("t", 1), in_target, 1.0, t_mass), (all_words, all_pairs, 1.0, scale, b_mass * scale)):
-                seen, both, first = ((x - own * out) * f for x, own in (
-                    (words[word], own_word), (pairs[pair], own_pair), (words[before], own_before)))
-                share = np.divide(both, first, out=np.zeros(len(both)), where=first > 0)
-                loss.append(-np.log(mixture * share + (1 - mixture) * (seen + prior * common) / (mass + prior)))
-            sums = np.bincount(rows, loss[0] - loss[1], len(block.lengths))
-            scores.append(sums / np.maximum(block.lengths, 1))
+            for lo, hi, own in block.slices():
+                rows, loss = np.repeat(np.arange(hi - lo), block.lengths[lo:hi]), []
+                word, pair, before = block.place[block.text[own]], block.pair[own], block.place[block.before[own]]
+                # What a token's own document has of its word, its pair and its first word (the start: once).
+                own_word, own_pair = _own(rows, word, len(block.words)), _own(rows, pair, len(block.pairs))
+                own_before = np.where(block.before[own] == 0, 1, np.roll(own_word, 1))
+                size, is_in = block.lengths[lo:hi][rows], in_target[lo:hi][rows]
+                common = (all_words[word] - own_word + 1) / (n_all - size + 1)
+                t_mass, b_mass = n_target - size * is_in, (n_all - size).astype(float)
+                scale = np.divide(t_mass, b_mass, out=np.ones(len(rows)), where=(t_mass > 0) & (b_mass > 0))
+                for words, pairs, out, f, mass in ((t_words, t_pairs, is_in, 1.0, t_mass), (all_words, all_pairs, 1.0, scale, b_mass * scale)):
+                    seen, both, first = ((x - n * out) * f for x, n in (
+                        (words[word], own_word), (pairs[pair], own_pair), (words[before], own_before)))
+                    share = np.divide(both, first, out=np.zeros(len(both)), where=first > 0)
+                    loss.append(-np.log(mixture * share + (1 - mixture) * (seen + prior * common) / (mass + prior)))
+                scores.append(np.bincount(rows, loss[0] - loss[1], hi - lo) / np.maximum(block.lengths[lo:hi], 1))
             lengths.append(block.lengths)
         kept = blocks["kept"].combine_chunks().flatten()
         return pa.table({"kept": kept, "score": np.concatenate(scores), "n": np.concatenate(lengths)})

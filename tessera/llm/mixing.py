@@ -152,7 +152,9 @@ def mix_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
         weights: tuple[float, ...] = (1, 2, 3), epochs: int = 3, seed: int = 11) -> DataFrame:
     """The mix itself: each row of ``docs`` as often as it is taken, 0 to
-    ``epochs`` times, with all its columns."""
+    ``epochs`` times, with all its columns, whatever their names. Texts without
+    words are not taken; null ids, null sources, ties and repeated rows are
+    treated as by ``mix_counts``. No rows give no rows."""
     _, sources = mix_plan(docs, id_col, text_col, source_col, weights, epochs, seed)
     names = [F.col(f"__r.`{c}`").alias(c) for c in docs.columns]
     rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("__r"),

@@ -142,6 +142,18 @@ def test_lm_of_one_document(spark):
     assert check_lm(spark, [(1, "a b a")], [1]) == [0.0] == check_lm(spark, [(1, "a b a")], [])
 
 
+@pytest.mark.parametrize("tokens", [1 << 18, 7, 1])
+def test_lm_slices_cover_a_block(monkeypatch, tokens):
+    monkeypatch.setattr(lmscore, "SLICE", tokens)
+    block = object.__new__(lmscore._Block)
+    block.lengths = np.array([0, 3, 0, 20, 1, 0, 7, 7, 0])
+    block.text = np.arange(38)
+    got = list(block.slices())
+    assert [lo for lo, *_ in got] == [0, *(hi for _, hi, _ in got[:-1])] and got[-1][1] == 9
+    for lo, hi, own in got:
+        assert (own.start, own.stop) == (block.lengths[:lo].sum(), block.lengths[:hi].sum())
+
+
 def test_lm_over_blocks_and_shards(spark):
     rng = np.random.default_rng(5)
     rows = [(k, " ".join(rng.choice(["the", "of", *(f"w{j}" for j in range(200))], rng.integers(0, 60)))) for k in range(120)]
