@@ -228,12 +228,13 @@ def q_check_fit_als(spark, d):
 
 
 def prefers_trained(model, train: DataFrame, user: str = "user_index", item: str = "song_index") -> bool:
-    """Whether training pairs score clearly above 0, and twice as high as pairs of
-    the same users with the items moved on by a third of their number."""
+    """Whether training pairs score clearly above 0, and half as high again as
+    untrained pairs of the same users, whose items are moved on by a third of their number."""
     items = train.agg(F.max(item)).first()[0] + 1
     moved = train.select(user, ((F.col(item) + F.lit(int(items // 3))) % items).alias(item))
+    moved = moved.join(train, [user, item], "left_anti")
     mean = lambda pairs: models.score_pairs(model, pairs, "drop").agg(F.avg("prediction")).first()[0]
-    return mean(train.select(user, item)) > max(0.05, 2 * mean(moved))
+    return mean(train.select(user, item)) > max(0.05, 1.5 * (mean(moved) or 0.0))
 
 
 @query("recommend_top_k")
