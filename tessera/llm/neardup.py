@@ -3,19 +3,28 @@
 Identical vectors become one node. Nodes are dealt to their ``overlap`` nearest
 centroids; in each shard a flat graph is built by robust pruning (a neighbour
 is dropped if a kept one is closer to it by the factor ``alpha``). A node's
-lists from all its shards are united. Each node then searches its shards:
-greedily from the medoid to its own neighbourhood, and from there over every
-node within the range, until no edge leads to another one. All links are
-verified in double precision, and recall is audited by brute force on a fixed
-number of nodes against all nodes: a node's recall is the share of its links
-that were found, and the worst mean of a class of nodes with about as many
-links counts, so that large groups do not hide lost pairs. If it falls short,
-the overlap is doubled, up to four times the first one; if that does not
-suffice, all nodes are compared with one another in blocks.
+lists from all its shards are united. Searches go in rounds over a table of
+visits (node, shard, entry). In a visit the node's search starts from the
+shard's medoid and its entry, goes greedily to its own neighbourhood, and from
+there over every node within the range (less some slack), until no edge leads
+to another one. From there it crosses over: each node reached within the range,
+and the nearest one if it is nearer than the entry, sends the search into its
+other shards, as their entry. Rounds end when no search has a shard left to visit.
+
+Every node has one home, its slice of its nearest shard. A pair counts only in
+the lesser of its two homes, for both its ends, and a pair found elsewhere sends
+the search there; so each pair counts once, and links and components use the
+same pairs. All links are verified in double precision, and recall is audited
+by brute force on a fixed number of nodes against all nodes: a node's recall is
+the share of its links that were found, and the worst mean of a class of nodes
+with about as many links counts, so that large groups do not hide lost pairs.
+If it falls short, the overlap is doubled, up to four times the first one; if
+that does not suffice, all nodes are compared with one another in blocks.
 
 The centroids come from a bounded sample and number ``max_centroids`` at most.
-A shard above ``shard_rows`` is cut into slices that meet in pairs, so that no
-task holds more than two slices and no pair of a shard is left out.
+A shard above ``shard_rows`` is cut into slices, a visit goes to all of them,
+and visitors are dealt in lots, so that no task holds more than about a slice
+and a lot and no visit is left out.
 """
 
 from __future__ import annotations
@@ -107,55 +116,54 @@ def connect(near: np.ndarray, x: np.ndarray, start: list[int]) -> np.ndarray:
     return near
 
 
-def range_search(x: np.ndarray, near: np.ndarray, start: list[int], threshold: float, beam: int = 24,
-                 slack: float = 0.1, block: int = 256) -> np.ndarray:
-    """Pairs of rows within the range, as a symmetric boolean matrix: for each
-    row ``beam`` greedy steps from ``start``, then an expansion over all rows
-    found at ``threshold - slack`` or more. Verified in double precision."""
-    n, single = len(x), x.astype(np.float32)
-    weight = near.astype(np.float32)
-    found = np.zeros((n, n), bool)
-    for s in range(0, n, block):
-        q = single[s:s + block]
-        sims = np.full((len(q), n), -2.0, np.float32)
-        done = np.zeros((len(q), n), bool)
-        rows = np.arange(len(q))
+def graph_search(q: np.ndarray, x: np.ndarray, near: np.ndarray, start: list[int], entry: np.ndarray, reach: float,
+                 beam: int = 24, block: int = 256) -> np.ndarray:
+    """Cosines of the rows of ``q`` (one each) with the rows of ``x`` that their
+    searches compare, -2 elsewhere, in single precision: ``beam`` greedy steps
+    from ``start`` and the row's ``entry`` (-1: none), then an expansion over
+    all rows found at ``reach`` or more."""
+    n, asked, single, weight = len(x), q.astype(np.float32), x.astype(np.float32), near.astype(np.float32)
+    out = np.full((len(q), n), -2.0, np.float32)
+    for s in range(0, len(q), block):
+        sims, part = out[s:s + block], asked[s:s + block]
+        done, rows = np.zeros(sims.shape, bool), np.arange(len(part))
 
         def visit(new: np.ndarray) -> None:
             a, b = np.nonzero(new)
-            sims[a, b] = np.einsum("ij,ij->i", q[a], single[b])  # noqa: B023
+            sims[a, b] = np.einsum("ij,ij->i", part[a], single[b])  # noqa: B023
 
-        first = np.zeros((len(q), n), bool)
+        first, e = np.zeros(sims.shape, bool), entry[s:s + block]
         first[:, start] = True
+        first[rows[e >= 0], e[e >= 0]] = True
         visit(first)
         for _ in range(beam):
             best = np.where(done, -2.0, sims).argmax(axis=1)
-            if (sims[rows, best] == -2.0).all() or done[rows, best].all():
+            if done[rows, best].all() or (sims[rows, best] == -2.0).all():
                 break
             done[rows, best] = True
             visit(near[best] & (sims == -2.0))
-        while (front := (sims >= threshold - slack) & ~done).any():
+        while (front := (sims >= reach) & ~done).any():
             done |= front
             cols = np.flatnonzero(front.any(axis=0))
             visit((front[:, cols].astype(np.float32) @ weight[cols] > 0) & (sims == -2.0))
-        _verify(found, x, s, sims, threshold)
-    np.fill_diagonal(found, False)
-    return found | found.T
+    return out
 
 
-def _verify(found: np.ndarray, x: np.ndarray, s: int, sims: np.ndarray, threshold: float) -> None:
-    """Mark the pairs within the range among the rows from ``s`` on, in double precision."""
+def verified(q: np.ndarray, x: np.ndarray, sims: np.ndarray, threshold: float) -> np.ndarray:
+    """Which of the compared pairs are within the range, in double precision."""
+    found = np.zeros(sims.shape, bool)
     a, b = np.nonzero(sims >= threshold - MARGIN)
     for t in range(0, len(a), 1 << 18):
-        i, j = a[t:t + (1 << 18)] + s, b[t:t + (1 << 18)]
-        found[i, j] = np.einsum("ij,ij->i", x[i], x[j]) >= threshold
+        i, j = a[t:t + (1 << 18)], b[t:t + (1 << 18)]
+        found[i, j] = np.einsum("ij,ij->i", q[i], x[j]) >= threshold
+    return found
 
 
 def exact_search(x: np.ndarray, threshold: float, block: int = 256) -> np.ndarray:
     """All pairs of rows within the range, as a symmetric boolean matrix."""
-    single, found = x.astype(np.float32), np.zeros((len(x), len(x)), bool)
-    for s in range(0, len(x), block):
-        _verify(found, x, s, single[s:s + block] @ single.T, threshold)
+    single = x.astype(np.float32)
+    found = np.concatenate([verified(x[s:s + block], x, single[s:s + block] @ single.T, threshold)
+                            for s in range(0, len(x), block)])
     np.fill_diagonal(found, False)
     return found | found.T
 
@@ -185,35 +193,75 @@ def _build(degree: int, alpha: float):
     return run
 
 
-def _search(threshold: float):
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("node", ignore_index=True)
-        nodes, x = pdf["node"].to_numpy(), np.array(pdf["unit"].tolist(), np.float64)
-        side, copies, mine = pdf["slice"].to_numpy(), pdf["copies"].to_numpy(), np.array(pdf["shards"].tolist())
-        shard, tile = int(pdf["shard"].iloc[0]), (int(pdf["i"].iloc[0]), int(pdf["j"].iloc[0]))
+#: What a visit returns: ``(a, null, n)`` links of a node, ``(a, b)`` a tree's
+#: edge, ``(a, b, shard, sim)`` a shard that ``a`` is to visit and its entry ``b``.
+VISITED = "a bigint, b bigint, n bigint, shard int, sim float"
+TYPES = {"a": "Int64", "b": "Int64", "n": "Int64", "shard": "Int32", "sim": "float32"}
+
+
+def _cell(shard, slice_):
+    return shard * (1 << 32) + slice_
+
+
+def _visit(threshold: float, slack: float):
+    def run(key: tuple, held: pd.DataFrame, asking: pd.DataFrame) -> pd.DataFrame:
+        if not len(held) or not len(asking):
+            return pd.DataFrame(columns=list(TYPES)).astype(TYPES)
+        held, asking = (f.sort_values("node", ignore_index=True) for f in (held, asking))
+        shard, cell = int(key[0]), _cell(int(key[0]), int(key[1]))
+        nodes, x = held["node"].to_numpy(), np.array(held["unit"].tolist(), np.float64)
+        who, q = asking["node"].to_numpy(), np.array(asking["unit"].tolist(), np.float64)
         place = {v: k for k, v in enumerate(nodes.tolist())}
         near = np.zeros((len(x), len(x)), bool)
-        for k, others in enumerate(pdf["near"]):
+        for k, others in enumerate(held["near"]):
             near[k, [place[o] for o in (others if others is not None else ()) if o in place]] = True
-        start = []
-        for s in set(tile):
-            own = np.flatnonzero(side == s)
-            if len(own):  # the medoid of a slice
-                start.append(int(own[(x[own] @ x[own].mean(axis=0)).argmax()]))
-        found = range_search(x, connect(near, x, start), start, threshold)
-        if tile[0] != tile[1]:
-            found &= side[:, None] != side[None, :]
-        # A pair counts in the first of the shards that both are in.
-        a, b = np.nonzero(found)
-        once = np.ones(len(a), bool)
-        for t in range(0, len(a), 1 << 18):
-            p, q = mine[a[t:t + (1 << 18)]], mine[b[t:t + (1 << 18)]]
-            once[t:t + (1 << 18)] = ~((p[:, :, None] == q[:, None, :]) & (p[:, :, None] < shard)).any(axis=(1, 2))
-        return _found_rows(nodes, found, np.bincount(a[once], copies[b[once]], len(x)).astype(np.int64))
+        start = [int((x @ x.mean(axis=0)).argmax())]  # the medoid
+        entry = np.array([place.get(e, -1) for e in asking["entry"]])
+        sims = graph_search(q, x, connect(near, x, start), start, entry, threshold - slack)
+        _, p, r = np.intersect1d(who, nodes, assume_unique=True, return_indices=True)
+        sims[p, r] = -2.0  # itself
+        found = verified(q, x, sims, threshold)
+        found[np.ix_(p, r)] |= found[np.ix_(p, r)].T
+        # A pair counts in the lesser home, for both ends.
+        at, home = held["home"].to_numpy(), asking["home"].to_numpy()
+        owned = found & (at == cell) & (home >= cell)[:, None]
+        links = [(who, owned @ held["copies"].to_numpy()),
+                 (nodes, asking["copies"].to_numpy()[home > cell] @ owned[home > cell])]
+        out = [pd.DataFrame({"a": ids[n > 0], "n": n[n > 0]}) for ids, n in links]
+        if owned.any():
+            names, where = np.unique(np.r_[who, nodes], return_inverse=True)
+            a, b = np.nonzero(owned)
+            both = np.zeros((len(names), len(names)), bool)
+            both[where[a], where[len(who) + b]] = both[where[len(who) + b], where[a]] = True
+            trees = names[np.array(_trees(both), np.int64)]
+            out.append(pd.DataFrame({"a": trees[:, 0], "b": trees[:, 1]}))
+        # Crossing over: to the other shards of what was reached, and found nodes to the visitor's home.
+        cross, rows = sims >= threshold - slack, np.arange(len(q))
+        best = sims.argmax(axis=1)
+        cross[rows, best] |= sims[rows, best] > asking["best"].to_numpy()
+        out += _onward(np.array(held["shards"].tolist()), shard, who, nodes, np.where(cross, sims, -2.0))
+        back = np.where(found & (home[:, None] < at), sims, -2.0)
+        out += _onward((home >> 32)[:, None], shard, nodes, who, back.T)
+        return pd.concat([f.reindex(columns=list(TYPES)).astype(TYPES) for f in out])
 
     return run
 
 
+def _onward(shards: np.ndarray, here: int, who: np.ndarray, reached: np.ndarray, sims: np.ndarray) -> list[pd.DataFrame]:
+    """For each row of ``sims`` and each shard of the columns above -2: the nearest such column as entry."""
+    used, out = np.flatnonzero((sims > -2.0).any(axis=0)), []
+    pairs = np.array([np.repeat(used, shards.shape[1]), shards[used].ravel()])
+    pairs = pairs[:, pairs[1] != here]
+    pairs = pairs[:, np.argsort(pairs[1], kind="stable")]
+    to, first = np.unique(pairs[1], return_index=True)
+    for s, cols in zip(to, np.split(pairs[0], first[1:])):
+        k = sims[:, cols].argmax(axis=1)
+        top = sims[np.arange(len(who)), cols[k]]
+        hit = top > -2.0
+        out.append(pd.DataFrame({"a": who[hit], "b": reached[cols[k]][hit], "shard": s, "sim": top[hit]}))
+    return out
+
+
 def _found_rows(nodes: np.ndarray, found: np.ndarray, n: np.ndarray) -> pd.DataFrame:
     hit = np.flatnonzero(n)
     trees = np.array(_trees(found), np.int64).reshape(-1, 2)
@@ -234,7 +282,7 @@ def _compare(threshold: float):
 
 
 def _assign(nodes: DataFrame, centroids: np.ndarray, overlap: int) -> DataFrame:
-    """Add ``shards``, the nearest centroids of each node."""
+    """Add ``shards``, the nearest centroids of each node, nearest first."""
     shared = nodes.sparkSession.sparkContext.broadcast(centroids)
     k = min(overlap, len(centroids))
 
@@ -243,32 +291,57 @@ def _assign(nodes: DataFrame, centroids: np.ndarray, overlap: int) -> DataFrame:
         for pdf in batches:
             if len(pdf):
                 sims = np.array(pdf["unit"].tolist(), np.float32) @ c.T
-                yield pdf.assign(shards=np.argpartition(-sims, k - 1, axis=1)[:, :k].tolist())
+                top = np.argpartition(-sims, k - 1, axis=1)[:, :k]
+                order = np.argsort(-np.take_along_axis(sims, top, axis=1), axis=1, kind="stable")
+                yield pdf.assign(shards=np.take_along_axis(top, order, axis=1).tolist())
 
     return nodes.mapInPandas(run, "node bigint, copies bigint, unit array<double>, shards array<int>")
 
 
 def _links(nodes: DataFrame, n: int, threshold: float, overlap: int, shard_rows: int, max_centroids: int, degree: int,
-           alpha: float, seed: int) -> DataFrame:
+           alpha: float, seed: int, slack: float = 0.1) -> DataFrame:
     """``(a, b, n)``: links of a node where ``b`` is null, else a tree's edge."""
     k = max(1, min(max_centroids, ceil(n * overlap / (0.6 * shard_rows))))
     # A bounded sample fits the centroids: 16 vectors each, 16,384 at least.
     sample = nodes.orderBy(hash_order(F.col("node"), seed), "node").limit(max(16384, 16 * k)).select("unit").toPandas()
     x = np.array(sample["unit"].tolist(), np.float32)
     placed = pin(_assign(nodes, kmeans(x, min(k, len(x))), overlap))
-    members = placed.withColumn("shard", F.explode("shards"))
     # One row per centroid.
-    slices = F.broadcast(members.groupBy("shard").agg(F.ceil(F.count(F.lit(1)) / shard_rows).cast("int").alias("slices")))
-    mine = F.pmod(F.xxhash64("node"), F.col("slices")).cast("int")
-    tiles = (members.join(slices, "shard").withColumn("slice", mine)
-             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)))
-             .withColumn("i", F.least("slice", "other")).withColumn("j", F.greatest("slice", "other"))
-             .select("shard", "i", "j", "slice", "node", "copies", "unit", "shards"))
-    built = (tiles.select("shard", "i", "j", "node", "unit").groupBy("shard", "i", "j")
+    slices = pin(placed.select(F.explode("shards").alias("shard")).groupBy("shard")
+                 .agg(F.ceil(F.count(F.lit(1)) / shard_rows).cast("int").alias("slices")))
+    slot = F.pmod(F.xxhash64("node"), F.col("slices")).cast("int")
+    homed = (placed.withColumn("shard", F.col("shards")[0]).join(F.broadcast(slices), "shard")
+             .withColumn("home", _cell(F.col("shard").cast("bigint"), slot)).drop("shard", "slices"))
+    members = homed.withColumn("shard", F.explode("shards")).join(F.broadcast(slices), "shard").withColumn("slice", slot)
+    built = (members.select("shard", "slice", "node", "unit").groupBy("shard", "slice")
              .applyInPandas(_build(degree, alpha), "node bigint, near array<bigint>"))
     graph = built.groupBy("node").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near"))
-    return (tiles.join(graph, "node", "left").groupBy("shard", "i", "j")
-            .applyInPandas(_search(threshold), "a bigint, b bigint, n bigint"))
+    linked = pin(homed.join(graph, "node", "left"))
+
+    visits = linked.select("node", F.explode("shards").alias("shard"), F.lit(None).cast("bigint").alias("entry"),
+                           F.lit(-2.0).cast("float").alias("best"))
+    been, results = visits.select("node", "shard"), None
+    while True:
+        lots = F.broadcast(visits.groupBy("shard").agg(F.ceil(F.count(F.lit(1)) / shard_rows).cast("int").alias("lots"))
+                           .join(slices, "shard"))
+        held = (linked.withColumn("shard", F.explode("shards")).join(lots, "shard").withColumn("slice", slot)
+                .withColumn("lot", F.explode(F.sequence(F.lit(0), F.col("lots") - 1))))
+        asking = (visits.join(linked.select("node", "copies", "unit", "home"), "node").join(lots, "shard")
+                  .withColumn("lot", F.pmod(F.xxhash64("node"), F.col("lots")).cast("int"))
+                  .withColumn("slice", F.explode(F.sequence(F.lit(0), F.col("slices") - 1))))
+        cells, row = ["shard", "slice", "lot"], ["node", "copies", "unit", "home"]
+        there, here = cells + row + ["shards", "near"], cells + row + ["entry", "best"]
+        # toDF: both sides come from one table, so their columns need names of their own.
+        got = pin(held.select(*there).toDF(*there).groupBy(*cells).cogroup(asking.select(*here).toDF(*here).groupBy(*cells))
+                  .applyInPandas(_visit(threshold, slack), VISITED))
+        links = got.where("shard is null").select("a", "b", "n")
+        results = links if results is None else results.unionAll(links)
+        visits = pin(got.where("shard is not null").groupBy(F.col("a").alias("node"), "shard")
+                     .agg(F.max_by("b", F.struct("sim", "b")).alias("entry"), F.max("sim").alias("best"))
+                     .join(been, ["node", "shard"], "left_anti"))
+        if visits.isEmpty():
+            return results
+        been = been.unionAll(visits.select("node", "shard"))
 
 
 def _exact_links(nodes: DataFrame, n: int, threshold: float, shard_rows: int) -> DataFrame:

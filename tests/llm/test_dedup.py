@@ -257,10 +257,33 @@ def test_robust_prune_keeps_the_nearest_and_reaches_all():
     for k, r in enumerate(near):
         graph[k, r[r >= 0]] = True
     joined = neardup.connect(graph, x, [0])
-    found = neardup.range_search(x, joined, [0], 0.9)
+    seen = neardup.graph_search(x, x, joined, [0], np.full(120, -1), 0.8)
+    np.fill_diagonal(seen, -2)
+    found = neardup.verified(x, x, seen, 0.9)
     assert not (found & ~(sims >= 0.9)).any() and found.sum() >= 0.97 * (sims >= 0.9).sum()
 
 
+@pytest.mark.parametrize("shard_rows, max_centroids", [(20, 4096), (40, 12)])
+def test_searches_cross_shards(spark, monkeypatch, shard_rows, max_centroids):
+    """Two shards a node: searches that cross over find what shards alone lose, each pair once, without the all-pairs path."""
+    rng = np.random.default_rng(8)
+    rows = some_vectors(500, 21) + [(2000 + 2 * k + j, [float(x) for x in p + 0.1 * rng.normal(size=16)], 0)
+                                    for k, p in enumerate(rng.normal(size=(60, 16))) for j in (0, 1)]
+    nodes = spark.createDataFrame([(i, 1, neardup.unit_vector(v).tolist()) for i, v, _ in rows],
+                                  "node bigint, copies bigint, unit array<double>")
+    want = {i: n for i, n, _ in vectors_brute(rows)}
+
+    def found():
+        got = neardup._links(nodes, len(rows), 0.9, 2, shard_rows, max_centroids, 24, 1.2, 17)
+        return {r["a"]: r["n"] for r in got.where("b is null").groupBy("a").agg(F.sum("n").alias("n")).collect()}
+
+    crossing = found()
+    assert all(crossing.get(i, 0) <= n for i, n in want.items())
+    assert neardup.worst_recall([(crossing.get(i, 0), n) for i, n in want.items()]) >= 0.95
+    monkeypatch.setattr(neardup, "_onward", lambda *a: [])
+    assert sum(found().values()) < sum(crossing.values()) + (max_centroids < 4096)
+
+
 def test_audit_counts_true_links(spark):
     rows = some_vectors(80, 11)
     nodes = spark.createDataFrame([(i, 1, neardup.unit_vector(v).tolist()) for i, v, _ in rows],
