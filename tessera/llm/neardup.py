@@ -9,7 +9,8 @@ shard's medoid and its entry, goes greedily to its own neighbourhood, and from
 there over every node within the range (less some slack), until no edge leads
 to another one. From there it crosses over: each node reached within the range,
 and the nearest one if it is nearer than the entry, sends the search into its
-other shards, as their entry. Rounds end when no search has a shard left to visit.
+other shards, as their entry (of the nearest ones of a round, the best goes on).
+Rounds end when no search has a shard left to visit.
 
 Every node has one home, its slice of its nearest shard. A pair counts only in
 the lesser of its two homes, for both its ends, and a pair found elsewhere sends
@@ -34,7 +35,7 @@ from math import ceil
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.llm.common import hash_order, pin
@@ -281,6 +282,13 @@ def _compare(threshold: float):
     return run
 
 
+def _centroids(nodes: DataFrame, k: int, seed: int) -> np.ndarray:
+    """Fitted on a bounded sample: 16 vectors each, 16,384 at least."""
+    sample = nodes.orderBy(hash_order(F.col("node"), seed), "node").limit(max(16384, 16 * k)).select("unit").toPandas()
+    x = np.array(sample["unit"].tolist(), np.float32)
+    return kmeans(x, min(k, len(x)))
+
+
 def _assign(nodes: DataFrame, centroids: np.ndarray, overlap: int) -> DataFrame:
     """Add ``shards``, the nearest centroids of each node, nearest first."""
     shared = nodes.sparkSession.sparkContext.broadcast(centroids)
@@ -302,10 +310,7 @@ def _links(nodes: DataFrame, n: int, threshold: float, overlap: int, shard_rows:
            alpha: float, seed: int, slack: float = 0.1) -> DataFrame:
     """``(a, b, n)``: links of a node where ``b`` is null, else a tree's edge."""
     k = max(1, min(max_centroids, ceil(n * overlap / (0.6 * shard_rows))))
-    # A bounded sample fits the centroids: 16 vectors each, 16,384 at least.
-    sample = nodes.orderBy(hash_order(F.col("node"), seed), "node").limit(max(16384, 16 * k)).select("unit").toPandas()
-    x = np.array(sample["unit"].tolist(), np.float32)
-    placed = pin(_assign(nodes, kmeans(x, min(k, len(x))), overlap))
+    placed = pin(_assign(nodes, _centroids(nodes, k, seed), overlap))
     # One row per centroid.
     slices = pin(placed.select(F.explode("shards").alias("shard")).groupBy("shard")
                  .agg(F.ceil(F.count(F.lit(1)) / shard_rows).cast("int").alias("slices")))
@@ -336,8 +341,11 @@ def _links(nodes: DataFrame, n: int, threshold: float, overlap: int, shard_rows:
                   .applyInPandas(_visit(threshold, slack), VISITED))
         links = got.where("shard is null").select("a", "b", "n")
         results = links if results is None else results.unionAll(links)
-        visits = pin(got.where("shard is not null").groupBy(F.col("a").alias("node"), "shard")
-                     .agg(F.max_by("b", F.struct("sim", "b")).alias("entry"), F.max("sim").alias("best"))
+        # All moves within the range, and each search's one nearest step beyond it.
+        moves = (got.where("shard is not null").groupBy(F.col("a").alias("node"), "shard")
+                 .agg(F.max_by("b", F.struct("sim", "b")).alias("entry"), F.max("sim").alias("sim"))
+                 .withColumn("best", F.max("sim").over(Window.partitionBy("node"))))
+        visits = pin(moves.where((F.col("sim") >= threshold - slack) | (F.col("sim") == F.col("best"))).drop("sim")
                      .join(been, ["node", "shard"], "left_anti"))
         if visits.isEmpty():
             return results
