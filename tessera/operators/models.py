@@ -121,12 +121,25 @@ def settings_of(grid: dict) -> list[dict]:
     return [dict(zip(grid, values)) for values in product(*grid.values())]
 
 
+# Tasks per core that fits offer at once: theirs are short and mostly wait for the scheduler and for shuffles.
+TASKS_A_CORE = 2
+
+
+def _side_by_side(data: DataFrame, least: int) -> int:
+    """How many fits of ``data`` run at once: each level of a tree is a job of
+    one task per partition, so few partitions leave most cores idle unless as
+    many more fits share them; never fewer than ``least``."""
+    cores = data.sparkSession.sparkContext.defaultParallelism
+    return max(least, TASKS_A_CORE * cores // max(1, data.rdd.getNumPartitions()))
+
+
 def validation_scores(train: DataFrame, cols: Sequence[str], label: str, id_cols: Sequence[str], grid: dict,
                       folds: int = 5, seed: int = 0, parallelism: int = 2, **params) -> DataFrame:
     """L4: ``(setting, fold, label, score)`` of every row of every fold, scored by
     the trees of each setting fitted on the other folds. Folds are cut by the
-    hash of the row key, so copies of a row share one. The fits of a fold run
-    side by side; each writes its scores below the checkpoint folder.
+    hash of the row key, so copies of a row share one. At least ``parallelism``
+    fits run side by side (``_side_by_side``), those with most work first; each
+    writes its scores below the checkpoint folder.
     """
     prep, settings = _assembled(train, cols), settings_of(grid)
     data = prep.transform(train).select("assembled", label, fold_of(id_cols, folds, seed).alias("_fold"))
@@ -139,8 +152,9 @@ def validation_scores(train: DataFrame, cols: Sequence[str], label: str, id_cols
         scored.select(F.lit(setting).alias("setting"), F.lit(fold).alias("fold"), F.col(label).alias("label"), margin.alias("score")) \
             .write.parquet(f"{path}/part={setting}-{fold}")
 
-    with _persisted(data), ThreadPoolExecutor(parallelism) as pool:
-        list(pool.map(inheritable_thread_target(train.sparkSession)(run), *zip(*product(range(len(settings)), range(folds)))))
+    deepest = sorted(range(len(settings)), key=lambda s: -(params | settings[s]).get("maxDepth", 0))
+    with _persisted(data), ThreadPoolExecutor(_side_by_side(data, parallelism)) as pool:
+        list(pool.map(inheritable_thread_target(train.sparkSession)(run), *zip(*product(deepest, range(folds)))))
     return train.sparkSession.read.parquet(f"{path}/*")
 
 

@@ -110,6 +110,18 @@ def test_fold_metrics_equal_the_evaluator_and_the_best_mean_wins(spark):
     assert best.stages[-1].getOrDefault("maxDepth") == models.settings_of(grid)[models.best_setting(metrics)]["maxDepth"]
 
 
+def test_small_fits_share_the_cores_deepest_first(spark, monkeypatch):
+    pools, depths = [], []
+    pool, gbt = models.ThreadPoolExecutor, models.GBTClassifier
+    monkeypatch.setattr(models, "ThreadPoolExecutor", lambda n: pools.append(n) or pool(1))
+    monkeypatch.setattr(models, "GBTClassifier", lambda **k: depths.append(k["maxDepth"]) or gbt(**k))
+    df, cores = _separable(spark, 60).coalesce(1), spark.sparkContext.defaultParallelism
+    scores = models.validation_scores(df, ["x", "y"], "label", ["id"], {"maxDepth": [1, 2]}, folds=2, seed=3, parallelism=2, maxIter=1)
+    assert pools == [models.TASKS_A_CORE * cores] and depths == [2, 2, 1, 1]
+    assert {(r["setting"], r["n"]) for r in scores.groupBy("setting").agg(F.count("*").alias("n")).collect()} == {(0, 60), (1, 60)}
+    assert models._side_by_side(df.repartition(20 * cores), 3) == 3
+
+
 def test_nothing_stays_persisted(spark):
     before = spark.sparkContext._jsc.getPersistentRDDs().size()
     df = _separable(spark, 80)
