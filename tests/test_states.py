@@ -98,6 +98,30 @@ def test_top_k_equals_brute_force(spark, monkeypatch, group, block):
     assert all(len(r["items"]) == 3 for r in few) and topk.top_k_by_norm(frame(u), frame(v).limit(0), 5).count() == 0
 
 
+def test_top_k_fetches_no_group_behind_the_last_open_user(spark, monkeypatch):
+    monkeypatch.setattr(topk, "BLOCK_ITEMS", 8)
+    monkeypatch.setattr(topk, "FIRST_NUMBERS", 160, raising=False)
+    sizes, run = [], topk._pass
+    monkeypatch.setattr(topk, "_pass", lambda state, group, *a: sizes.append(len(group)) or run(state, group, *a))
+    rng = np.random.default_rng(2)
+    u, v = rng.normal(size=(30, 4)), rng.normal(size=(500, 4))
+    v[:40] *= 100.0
+    frame = lambda x: spark.createDataFrame([(k, r.tolist()) for k, r in enumerate(x)], "id int, features array<float>")
+    got = {r["id"]: r["items"] for r in topk.top_k_by_norm(frame(u.astype(np.float32)), frame(v.astype(np.float32)), 5).collect()}
+    assert [got[k] for k in range(30)] == brute(u.astype(np.float32).astype(float), v.astype(np.float32).astype(float), 5)
+    assert sizes == [40]
+
+
+def test_top_k_sorts_few_scores_of_a_block(monkeypatch):
+    rng, sorted_, lexsort = np.random.default_rng(3), [], np.lexsort
+    monkeypatch.setattr(np, "lexsort", lambda keys, *a, **b: sorted_.append(np.size(keys[0])) or lexsort(keys, *a, **b))
+    u, v = rng.normal(size=(50, 4)), rng.normal(size=(512, 4))
+    v[100:110] = v[90]  # ties
+    held = topk.Lists(u, 5)
+    held.visit(np.arange(512, dtype=np.int32), v, float(np.linalg.norm(v, axis=1).max()))
+    assert held.items.tolist() == brute(u, v, 5) and sum(sorted_) < 50 * 40
+
+
 # --- fitted vocabulary ------------------------------------------------------
 
 @pytest.mark.parametrize("unseen", ["skip", "keep"])
