@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.columns import uniform
+from tessera.operators import boosting
 from tessera.operators.evaluate import auroc_by
 from tessera.operators.features import assembler, fit_scaler
 from tessera.operators.topk import top_k_by_norm
@@ -126,9 +127,9 @@ TASKS_A_CORE = 2
 
 
 def _side_by_side(data: DataFrame, least: int) -> int:
-    """How many fits of ``data`` run at once: each level of a tree is a job of
-    one task per partition, so few partitions leave most cores idle unless as
-    many more fits share them; never fewer than ``least``."""
+    """How many fits of ``data`` MLlib works on at once: each of its steps is a
+    job of one task per partition, so few partitions leave most cores idle unless
+    as many more fits share them; never fewer than ``least``."""
     cores = data.sparkSession.sparkContext.defaultParallelism
     return max(least, TASKS_A_CORE * cores // max(1, data.rdd.getNumPartitions()))
 
@@ -137,25 +138,40 @@ def validation_scores(train: DataFrame, cols: Sequence[str], label: str, id_cols
                       folds: int = 5, seed: int = 0, parallelism: int = 2, **params) -> DataFrame:
     """L4: ``(setting, fold, label, score)`` of every row of every fold, scored by
     the trees of each setting fitted on the other folds. Folds are cut by the
-    hash of the row key, so copies of a row share one. At least ``parallelism``
-    fits run side by side (``_side_by_side``), those with most work first; each
-    writes its scores below the checkpoint folder.
+    hash of the row key, so copies of a row share one. The trees are those of
+    ``GBTClassifier``, grown by ``boosting.forests`` for all fits at once, those
+    with most work first; of parameters that it does not know, by MLlib fit by
+    fit, at least ``parallelism`` of them side by side (``_side_by_side``). The
+    scores are written below the checkpoint folder.
     """
-    prep, settings = _assembled(train, cols), settings_of(grid)
+    spark, prep, settings = train.sparkSession, _assembled(train, cols), settings_of(grid)
     data = prep.transform(train).select("assembled", label, fold_of(id_cols, folds, seed).alias("_fold"))
-    path = scratch_path(train.sparkSession, "validation-scores")
+    path = scratch_path(spark, "validation-scores")
 
-    def run(setting: int, fold: int) -> None:
-        gbt = GBTClassifier(featuresCol="assembled", labelCol=label, seed=seed, **(params | settings[setting]))
-        scored = gbt.fit(data.where(F.col("_fold") != fold)).transform(data.where(F.col("_fold") == fold))
+    def rest(fold: int) -> DataFrame:
+        return data.where(F.col("_fold") != fold)
+
+    def run(fit: tuple) -> None:
+        setting, fold, gbt = fit
+        scored = gbt.fit(rest(fold)).transform(data.where(F.col("_fold") == fold))
         margin = vector_to_array("rawPrediction").getItem(1)
         scored.select(F.lit(setting).alias("setting"), F.lit(fold).alias("fold"), F.col(label).alias("label"), margin.alias("score")) \
             .write.parquet(f"{path}/part={setting}-{fold}")
 
     deepest = sorted(range(len(settings)), key=lambda s: -(params | settings[s]).get("maxDepth", 0))
+    fits = [(setting, fold, GBTClassifier(featuresCol="assembled", labelCol=label, seed=seed, **(params | settings[setting])))
+            for setting, fold in product(deepest, range(folds))]
     with _persisted(data), ThreadPoolExecutor(_side_by_side(data, parallelism)) as pool:
-        list(pool.map(inheritable_thread_target(train.sparkSession)(run), *zip(*product(deepest, range(folds)))))
-    return train.sparkSession.read.parquet(f"{path}/*")
+        side_by_side = lambda f, *over: list(pool.map(inheritable_thread_target(spark)(f), *over))
+        if all(boosting.supported(gbt, data) for _, _, gbt in fits):
+            of = {(fold, gbt.getMaxBins()): gbt for _, fold, gbt in fits}
+            points = dict(zip(of, side_by_side(lambda key: boosting.cuts(of[key], rest(key[0])), of)))
+            grown = [boosting.Fit(setting, fold, (fold, gbt.getMaxBins()), boosting.boosting_of(gbt)) for setting, fold, gbt in fits]
+            trees = boosting.forests(data, "assembled", label, "_fold", grown, points)
+            boosting.scores(data, "assembled", label, "_fold", grown, points, trees).write.parquet(f"{path}/all")
+        else:
+            side_by_side(run, fits)
+    return spark.read.parquet(f"{path}/*")
 
 
 def tuning_metrics(scores: DataFrame) -> DataFrame:
