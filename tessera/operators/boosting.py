@@ -17,12 +17,11 @@ from __future__ import annotations
 
 import pickle
 from collections.abc import Callable, Iterable, Iterator, Sequence
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark import StorageLevel, inheritable_thread_target
+from pyspark import StorageLevel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
@@ -143,9 +142,17 @@ class Best:
     whole: np.ndarray
 
 
+def tried(sizes: Sequence[int]) -> list[tuple[int, int]]:
+    """The columns that have a cut, and their bins; if none has one, the first column."""
+    return [(f, size) for f, size in enumerate(sizes) if size > 1] or [(0, 1)]
+
+
 def best_cut(sums: np.ndarray, column: int, whole: np.ndarray | None, b: Boosting) -> Best:
     """The first best cut of one column. Without ``whole`` (at the root) the
     slot's sums are those of both sides of the first cut."""
+    if sums.shape[1] == 1:
+        whole, none = sums[:, 0], np.zeros(len(sums), dtype=int)
+        return Best(np.full(len(sums), -np.inf), none, none, whole, whole, whole)
     upto = np.cumsum(sums, axis=1)
     below = upto[:, :-1]
     above = upto[:, -1:] - below
@@ -224,13 +231,9 @@ def _grow_tree(bins: np.ndarray, sizes: Sequence[int], r: np.ndarray, b: Boostin
     rows, at, slot, part, squares, cells = None, node, node, r, r * r, bins
     while growing.open:
         best = None
-        for f, size in enumerate(sizes):
-            if size > 1:
-                sums = bin_sums(slot, len(growing.open), cells[f], size, part, squares)
-                best = better(best, best_cut(sums, f, growing.whole if best is None else best.whole, b))
-        if best is None:  # no column has a cut
-            growing.value[0] = float(np.cumsum(r)[-1] / len(r))
-            break
+        for f, size in tried(sizes):
+            sums = bin_sums(slot, len(growing.open), cells[f], size, part, squares)
+            best = better(best, best_cut(sums, f, growing.whole if best is None else best.whole, b))
         growing.split(best)
         at = growing.tree().step(at, cells)
         node[slice(None) if rows is None else rows] = at
@@ -262,7 +265,7 @@ def margins(trees: Iterable[Tree], step: float, bins: np.ndarray) -> np.ndarray:
 
 @dataclass(frozen=True)
 class Fit:
-    """One setting on the rows outside one fold, by the cut points of ``key``."""
+    """One setting on the rows outside one fold, by the cut points of ``key``: the fold and the number of bins."""
 
     setting: int
     fold: int
@@ -274,9 +277,12 @@ class Fit:
 BLOCK_BYTES = 8 << 20
 # Rows of a block of a larger table, few enough that a fit's arrays of them stay in a core's cache.
 BLOCK_ROWS = 1 << 15
-# Folds of a larger table that grow at once: one's tasks run while the driver works on the other's cuts.
-FOLDS_AT_ONCE = 2
-TASKS_A_CORE = 2
+# Of a larger table, so many folds grow at once that their fits' margins take up to so many bytes.
+MARGIN_BYTES = 2 << 30
+# Rows of a task at most; up to there, a task a core.
+TASK_ROWS = 1 << 20
+# Sums of a level that the driver adds up itself, all tasks' together; more are shuffled, a task for so many of one map task.
+SUM_BYTES, MERGED_BYTES = 32 << 20, 4 << 20
 
 
 def _unpacked(batches: Iterable) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -333,7 +339,7 @@ def _dealt(plain: DataFrame, rows: int):
     """The blocks of a table, dealt out evenly and in an order that does not
     depend on the run: so that sums of them do not, either."""
     sc = plain.sparkSession.sparkContext
-    parts = max(TASKS_A_CORE * sc.defaultParallelism, -(-rows // (32 * BLOCK_ROWS)))
+    parts = max(sc.defaultParallelism, -(-rows // TASK_ROWS))
     blocks = plain.mapInArrow(_packed, "block binary").rdd.map(lambda r: bytes(r[0])).persist(StorageLevel.DISK_ONLY)
     numbered = blocks.zipWithIndex().map(lambda b: (b[1], b[0]))
     dealt = numbered.partitionBy(parts, lambda k: k).mapPartitions(lambda own: (b for _, b in sorted(own, key=lambda b: b[0])))
@@ -347,11 +353,10 @@ def _level_sums(trees: dict[int, tuple[Tree, int, np.ndarray, int]], keys: Seque
 
     def run(task: int, blocks: Iterable) -> Iterator:
         total: dict[int, np.ndarray] = {}
-        for cells_of, signs, margin in blocks:
-            sign = signs.astype(np.float64)
+        for cells_of, sign_of, margin in blocks:
             for j, (tree, level, slots, n) in trees.items():
-                cells, r = cells_of[keys[j]], residuals(sign, margin[j])
-                node = np.zeros(len(sign), dtype=np.intp)
+                cells, r = cells_of[keys[j]], residuals(sign_of[keys[j][0]].astype(np.float64), margin[j])
+                node = np.zeros(len(r), dtype=np.intp)
                 for _ in range(level):
                     node = tree.step(node, cells)
                 slot = slots.take(node)
@@ -359,11 +364,10 @@ def _level_sums(trees: dict[int, tuple[Tree, int, np.ndarray, int]], keys: Seque
                 if len(keep) < len(slot):
                     slot, r, cells = slot.take(keep), r.take(keep), cells.take(keep, axis=1)
                 squares = r * r
-                for f, size in enumerate(_sizes(points[keys[j]])):
-                    if size > 1:
-                        sums = bin_sums(slot, n, cells[f], size, r, squares)
-                        k = j * widest + f
-                        total[k] = total[k] + sums if k in total else sums
+                for f, size in tried(_sizes(points[keys[j]])):
+                    sums = bin_sums(slot, n, cells[f], size, r, squares)
+                    k = j * widest + f
+                    total[k] = total[k] + sums if k in total else sums
         for k, sums in total.items():
             yield k, (task, sums)
 
@@ -388,25 +392,26 @@ def _best_of(growing: dict[int, tuple], widest: int) -> Callable:
 
 
 def _by_levels(dealt, fits: Sequence[Fit], points: dict) -> list[list[Tree]]:
-    """The trees of fits that leave out the same fold: each level of the current
-    tree of all of them is one job over the blocks, which hold the fits' margins."""
-    sc, fold, keys = dealt.context, fits[0].fold, [fit.key for fit in fits]
+    """The trees of ``fits``: each level of the current tree of all of them is
+    one job over the blocks, which hold the fits' margins."""
+    sc, parts, keys = dealt.context, dealt.getNumPartitions(), [fit.key for fit in fits]
     own = {key: points[key] for key in keys}
     widest = max(len(at) for at in own.values())
 
     def start(block: bytes):
         values, labels, folds = pickle.loads(block)
-        keep = folds != fold
-        return {key: binned(values[keep], at) for key, at in own.items()}, (2 * labels[keep] - 1).astype(np.int8), [None] * len(keys)
+        rest = {fold: folds != fold for fold, _ in own}
+        return ({key: binned(values[rest[key[0]]], at) for key, at in own.items()},
+                {fold: (2 * labels[keep] - 1).astype(np.int8) for fold, keep in rest.items()}, [None] * len(keys))
 
     def add(trees: dict[int, tuple[Tree, float]]) -> Callable:
         def run(block):
-            cells, signs, margin = block
+            cells, sign_of, margin = block
             moved = list(margin)
             for j, (tree, step) in trees.items():
                 value = tree.value.take(tree.nodes(cells[keys[j]]))
                 moved[j] = value if margin[j] is None else margin[j] + value * step
-            return cells, signs, moved
+            return cells, sign_of, moved
         return run
 
     state, stale = dealt.map(start).persist(StorageLevel.MEMORY_AND_DISK), None
@@ -417,11 +422,15 @@ def _by_levels(dealt, fits: Sequence[Fit], points: dict) -> list[list[Tree]]:
             while going := {j: g for j, g in growing.items() if g.open}:
                 trees = {j: (g.tree(), g.level, g.slots(), len(g.open)) for j, g in going.items()}
                 sums = state.mapPartitionsWithIndex(_level_sums(trees, keys, own))
-                tasks = min(len(going) * widest, sc.defaultParallelism)
-                bests = sums.partitionBy(tasks, lambda k: k).mapPartitions(_best_of({j: (g.whole, g.b) for j, g in going.items()}, widest))
+                best_of = _best_of({j: (g.whole, g.b) for j, g in going.items()}, widest)
+                size = sum(24 * len(g.open) * sum(_sizes(points[keys[j]])) for j, g in going.items())
+                if size * parts <= SUM_BYTES:
+                    bests = best_of(sums.collect())
+                else:
+                    bests = sums.partitionBy(min(-(-size // MERGED_BYTES), sc.defaultParallelism), lambda k: k).mapPartitions(best_of).collect()
                 found: dict[int, Best | None] = dict.fromkeys(going)
                 whole: dict[int, np.ndarray] = {}
-                for k, best in sorted(bests.collect(), key=lambda b: b[0]):
+                for k, best in sorted(bests, key=lambda b: b[0]):
                     j = k // widest
                     best.whole = whole.setdefault(j, best.whole)
                     found[j] = better(found[j], best)
@@ -445,25 +454,19 @@ def forests(data: DataFrame, features: str, label: str, fold: str, fits: Sequenc
     rows, columns = plain.count(), len(next(iter(points.values())))
     if rows * columns * 8 <= BLOCK_BYTES:
         return _as_tasks(spark.sparkContext, tuple(np.concatenate(c) for c in zip(*_unpacked(plain.toArrow().to_batches()))), fits, points)
-    # Without any cut there is nothing to grow by levels: one task is as good.
     blocks, dealt = _dealt(plain, rows)
     dealt.persist(StorageLevel.MEMORY_AND_DISK)
-    groups: dict[int, list[int]] = {}
-    for k, fit in enumerate(fits):
-        groups.setdefault(fit.fold, []).append(k)
-    out: list[list[Tree]] = [[] for _ in fits]
-
-    def run(of: list[int]) -> None:
-        for k, trees in zip(of, _by_levels(dealt, [fits[k] for k in of], points)):
-            out[k] = trees
-
+    folds = sorted({fit.fold for fit in fits})
+    at_once = max(1, MARGIN_BYTES * len(folds) // (8 * rows * len(fits)))
+    done: dict[int, list[Tree]] = {}
     try:
-        with ThreadPoolExecutor(FOLDS_AT_ONCE) as pool:
-            list(pool.map(inheritable_thread_target(spark)(run), groups.values()))
+        for k in range(0, len(folds), at_once):
+            of = [i for i, fit in enumerate(fits) if fit.fold in folds[k:k + at_once]]
+            done |= zip(of, _by_levels(dealt, [fits[i] for i in of], points))
     finally:
         dealt.unpersist()
         blocks.unpersist()
-    return out
+    return [done[i] for i in range(len(fits))]
 
 
 def scores(data: DataFrame, features: str, label: str, fold: str, fits: Sequence[Fit], points: dict,

@@ -60,20 +60,26 @@ def test_jobs_do_not_grow_with_the_trees(spark):
     assert counts[0] == counts[1] > 0
 
 
-def test_a_larger_table_takes_one_job_a_level_for_all_fits_of_a_fold(spark, monkeypatch):
+@pytest.mark.parametrize("margin_bytes, groups", [(boosting.MARGIN_BYTES, 1), (1, 3)])
+def test_a_larger_table_takes_one_job_a_level_for_all_its_fits(spark, monkeypatch, margin_bytes, groups):
     monkeypatch.setattr(boosting, "BLOCK_BYTES", 0)
+    monkeypatch.setattr(boosting, "MARGIN_BYTES", margin_bytes)
     jobs, sums = [], boosting._level_sums
     monkeypatch.setattr(boosting, "_level_sums", lambda trees, *a: jobs.append(len(trees)) or sums(trees, *a))
     df = _noisy(spark, 300).checkpoint()
-    models.validation_scores(df, ["x", "y"], "label", ["id"], GRID, 2, 5, 2, maxIter=3)
-    assert jobs[0] == 8 and len(jobs) <= 2 * 3 * 4
+    found = _scores(df, ["x", "y"], maxIter=2)
+    assert len(found) == 24 and jobs[0] == 24 // groups and len(jobs) <= groups * 2 * 4
 
 
-def test_sums_do_not_depend_on_how_blocks_are_dealt(spark, monkeypatch):
+def test_sums_do_not_depend_on_the_run_or_on_where_they_are_added(spark, monkeypatch):
     monkeypatch.setattr(boosting, "BLOCK_BYTES", 0)
     monkeypatch.setattr(boosting, "BLOCK_ROWS", 64)
     df = _noisy(spark, 700, 3).checkpoint()
-    assert _scores(df, ["x", "y"], maxIter=3) == _scores(df, ["x", "y"], maxIter=3)
+    here = _scores(df, ["x", "y"], maxIter=2)
+    assert _scores(df, ["x", "y"], maxIter=2) == here
+    monkeypatch.setattr(boosting, "SUM_BYTES", 0)
+    monkeypatch.setattr(boosting, "MERGED_BYTES", 1000)
+    assert _scores(df, ["x", "y"], maxIter=2) == here
 
 
 def test_other_parameters_are_left_to_mllib(spark):
@@ -93,11 +99,15 @@ def test_limits_on_splits_hold(spark):
     assert _close(found[7, 1], _by_mllib(df, ["y", "x"], 7, 1, **params))
 
 
-def test_constant_columns_and_one_class_give_a_root_alone(spark):
+@pytest.mark.parametrize("block_bytes", [boosting.BLOCK_BYTES, 0])
+def test_constant_columns_and_one_class_give_a_root_alone(spark, monkeypatch, block_bytes):
+    monkeypatch.setattr(boosting, "BLOCK_BYTES", block_bytes)
     df = _noisy(spark, 120).withColumn("label", F.lit(1)).checkpoint()
     for cols in (["z"], ["x", "y"]):
         found = _scores(df, cols, maxIter=2)
         assert _close(found[7, 0], _by_mllib(df, cols, 7, 0, maxIter=2))
+    df = _noisy(spark, 120).checkpoint()
+    assert _close(_scores(df, ["z"], maxIter=2)[7, 0], _by_mllib(df, ["z"], 7, 0, maxIter=2))
 
 
 def test_labels_other_than_0_and_1_fail_as_in_mllib(spark):
